@@ -57,3 +57,100 @@ SELECT Country, ROUND(SUM(Quantity), 4) AS TotalSales FROM ({osql.RETAIL_LATEST}
 """)
 def q_retail_sales_by_country(spark, sf_dir):
     return _round(retail.sales_by_country(_retail_latest(spark, sf_dir)), ["TotalSales"])
+
+
+def _land_and_ingest_retail(spark: SparkSession, sf_dir: str) -> str:
+    """Land the retail CSV feed, ingest it with the incremental CSV stream, return the raw table."""
+    from stratum.session import scratch_dir
+    from stratum.streaming.sinks import append_stream
+    root = scratch_dir(spark, "retail_raw")
+    csv = fx.land_retail_csv(spark, sf_dir, root)
+    raw = retail.raw_retail_stream(spark, csv)
+    append_stream(raw, f"{root}/raw", f"{root}/ck_raw", partition_by=["Country"]).awaitTermination()
+    return f"{root}/raw"
+
+
+def _folder_of_file(col: str = "inputFileName"):
+    # parent folder of the source file: 'arrival=<year>'
+    return F.element_at(F.split(F.col(col), "/"), -2)
+
+
+@register("retail_raw", osql.RETAIL_RAW)
+def q_retail_raw(spark, sf_dir):
+    raw = spark.read.parquet(_land_and_ingest_retail(spark, sf_dir))
+    return raw.withColumn("inputFileName", _folder_of_file())
+
+
+@register("path_query", osql.RETAIL_PATH_QUERY)
+def q_path_query(spark, sf_dir):
+    from stratum.sources.files import path_query
+    raw = _land_and_ingest_retail(spark, sf_dir)
+    return path_query(spark, """
+        SELECT Country, COUNT(*) AS line_count, ROUND(SUM(Quantity), 4) AS total_quantity,
+               COUNT(DISTINCT element_at(split(inputFileName, '/'), -2)) AS file_folders
+        FROM parquet.`{raw}` GROUP BY Country""", raw=raw)
+
+
+@register("retail_quarantine", osql.RETAIL_QUARANTINE)
+def q_retail_quarantine(spark, sf_dir):
+    return retail.quarantined_retail(_retail_cleaned(spark, sf_dir))
+
+
+@register("quality_split", osql.RETAIL_SPLIT)
+def q_quality_split(spark, sf_dir):
+    from stratum.operators.quality import failed_rules
+    shaped = retail.shape_retail(_retail_cleaned(spark, sf_dir))
+    return shaped.withColumn("failed_rules", F.array_join(failed_rules(retail.QUALITY_RULES), ","))
+
+
+@register("retail_by_country_split", osql.RETAIL_QUALITY)
+def q_retail_by_country_split(spark, sf_dir):
+    from stratum.session import scratch_dir
+    from stratum.sources.files import read_table
+    path = scratch_dir(spark, "retail_split") + "/split_by_country"
+    quality = retail.quality_retail(_retail_cleaned(spark, sf_dir))
+    (retail.quality_split_by_country(quality).write.mode("overwrite")
+        .partitionBy("Country").parquet(path))
+    return read_table(spark, path)
+
+
+@register("apply_changes_late", osql.RETAIL_LATEST)
+def q_apply_changes_late(spark, sf_dir):
+    """Change batches applied newest year first: older rows arrive after newer ones."""
+    from stratum.session import scratch_dir
+    root = scratch_dir(spark, "apply_late")
+    retail.quality_retail(_retail_cleaned(spark, sf_dir)).write.parquet(f"{root}/quality")
+    quality = spark.read.parquet(f"{root}/quality")
+    years = sorted(r[0] for r in quality.select(F.year("InvoiceDatetime")).distinct().collect())
+    target = None
+    for i, y in enumerate(reversed(years)):
+        batch = quality.filter(F.year("InvoiceDatetime") == y)
+        path = f"{root}/v{i}"
+        retail.sales_all_countries(batch, target).write.mode("overwrite").parquet(path)
+        target = spark.read.parquet(path)
+    return target
+
+
+@register("retail_sales_by_day", osql.RETAIL_SALES_BY_DAY)
+def q_retail_sales_by_day(spark, sf_dir):
+    return _round(retail.sales_by_day(_retail_latest(spark, sf_dir)), ["TotalSales"])
+
+
+@register("retail_top_customers", osql.RETAIL_TOP_CUSTOMERS)
+def q_retail_top_customers(spark, sf_dir):
+    return _round(retail.top_ten_customers(_retail_latest(spark, sf_dir)), ["TotalSales"])
+
+
+@register("retail_countries", osql.RETAIL_COUNTRIES)
+def q_retail_countries(spark, sf_dir):
+    return retail.distinct_countries(retail.quality_retail(_retail_cleaned(spark, sf_dir)))
+
+
+@register("retail_dag", osql.RETAIL_TOP_CUSTOMERS)
+def q_retail_dag(spark, sf_dir):
+    """The whole retail graph (streams + complete tables) in dependency order; returns the top ten."""
+    from stratum.session import scratch_dir
+    root = scratch_dir(spark, "retail_dag")
+    csv = fx.land_retail_csv(spark, sf_dir, root)
+    tables = retail.run_retail(spark, csv, root)
+    return _round(tables.read(spark, "top_ten"), ["TotalSales"])

@@ -47,15 +47,19 @@ def cleaned_retail(raw: DataFrame) -> DataFrame:
     return raw.select("*")
 
 
-def quality_retail(cleaned: DataFrame, rules: dict | None = None) -> DataFrame:
-    """Split the invoice text into clean date / time / timestamp, then drop rule violators."""
+def shape_retail(cleaned: DataFrame) -> DataFrame:
+    """Split the invoice text into clean date / time / timestamp columns."""
     parts = split_invoice_datetime("InvoiceDate")
-    shaped = cleaned.select(
+    return cleaned.select(
         "InvoiceNo", "StockCode", "Description", "Quantity",
         parts["CleanDate"].alias("InvoiceDate"), parts["CleanTime"].alias("InvoiceTime"),
         parts["InvoiceDatetime"].alias("InvoiceDatetime"),
         "UnitPrice", "CustomerID", "Country")
-    return expect_or_drop(shaped, rules or QUALITY_RULES)
+
+
+def quality_retail(cleaned: DataFrame, rules: dict | None = None) -> DataFrame:
+    """Shape the rows, then drop every row violating a rule."""
+    return expect_or_drop(shape_retail(cleaned), QUALITY_RULES if rules is None else rules)
 
 
 def quarantined_retail(cleaned: DataFrame) -> DataFrame:
