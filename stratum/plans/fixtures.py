@@ -136,14 +136,24 @@ def alert_body(ev: DataFrame) -> Column:
     return F.when(eid % ALERT_MALFORMED_MOD == 0, F.substring(xml, 1, 120)).otherwise(xml)
 
 
+ALERT_DELIVERY_DAYS = 10          # deliveries (micro-batches) cover 10 days of receive time
+
+
 def alerts_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as (offset string, enqueuedTime, body binary); some messages delivered twice."""
+    """events as (offset string, enqueuedTime, body binary, delivery).
+
+    ``delivery`` numbers the micro-batch a message arrives in (by 10-day blocks of receive time);
+    a replayed message is an exact copy delivered again in the next batch.
+    """
     ev = table(spark, sf_dir, "events")
+    delivery = ((F.dayofmonth("ts") - 1) / ALERT_DELIVERY_DAYS).cast("int")
     env = ev.select(F.col("event_id").cast("string").alias("offset"),
                     F.col("ts").alias("enqueuedTime"),
                     F.encode(alert_body(ev), "UTF-8").alias("body"),
+                    delivery.alias("delivery"),
                     F.col("event_id"))
-    replays = env.filter(F.col("event_id") % ALERT_REPLAY_MOD == 0)
+    replays = (env.filter(F.col("event_id") % ALERT_REPLAY_MOD == 0)
+                  .withColumn("delivery", F.col("delivery") + 1))
     return env.unionByName(replays).drop("event_id")
 
 

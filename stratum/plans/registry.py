@@ -154,3 +154,149 @@ def q_retail_dag(spark, sf_dir):
     csv = fx.land_retail_csv(spark, sf_dir, root)
     tables = retail.run_retail(spark, csv, root)
     return _round(tables.read(spark, "top_ten"), ["TotalSales"])
+
+
+# ------------------------------------------------------------------------------- voltage alerts
+from stratum.functions.xml import DEDUPE_COLUMNS  # noqa: E402
+from stratum.operators import aggregates as agg  # noqa: E402
+from stratum.operators.changes import dedupe, retention  # noqa: E402
+from stratum.plans import voltage  # noqa: E402
+
+FLAT_COLS = [c.strip() for c in osql.FLAT_COLS.split(",")]
+BRONZE_COLS = [c.strip().strip('"') for c in osql.BRONZE_COLS.split(",")]
+AS_OF = "2024-04-15"
+
+
+def _bronze(spark, sf_dir, with_delivery=False):
+    return voltage.bronze(fx.alerts_envelope(spark, sf_dir), keep=["delivery"] if with_delivery else [])
+
+
+def _lookup(spark, sf_dir):
+    from stratum.session import scratch_dir
+    root = scratch_dir(spark, "alert_lookup")
+    return voltage.alert_lookup(spark, fx.land_alert_lookup(spark, sf_dir, root))
+
+
+@register("envelope_ingest", f"SELECT {osql.BRONZE_COLS} FROM ({osql.BRONZE})")
+def q_envelope_ingest(spark, sf_dir):
+    return voltage.bronze(fx.alerts_envelope(spark, sf_dir).drop("delivery"))
+
+
+@register("voltage_flatten", osql.FLATTEN)
+def q_voltage_flatten(spark, sf_dir):
+    return voltage.flattened(_bronze(spark, sf_dir))
+
+
+@register("voltage_silver", osql.SILVER)
+def q_voltage_silver(spark, sf_dir):
+    return voltage.silver(_bronze(spark, sf_dir))
+
+
+@register("dedupe_subset", f"SELECT DISTINCT mpan, alert_code FROM ({osql.FLATTEN})")
+def q_dedupe_subset(spark, sf_dir):
+    return dedupe(voltage.flattened(_bronze(spark, sf_dir)), ["mpan", "alert_code"]).select("mpan", "alert_code")
+
+
+@register("alert_lookup", osql.LOOKUP)
+def q_alert_lookup(spark, sf_dir):
+    return _lookup(spark, sf_dir)
+
+
+@register("join_inner_lookup", osql.JOIN_INNER)
+def q_join_inner_lookup(spark, sf_dir):
+    return voltage.join_lookup(voltage.silver(_bronze(spark, sf_dir)), _lookup(spark, sf_dir))
+
+
+@register("join_left_customer", osql.JOIN_LEFT)
+def q_join_left_customer(spark, sf_dir):
+    j = voltage.join_lookup(voltage.silver(_bronze(spark, sf_dir)), _lookup(spark, sf_dir))
+    return voltage.join_connectivity(j, fx.connectivity(spark, sf_dir))
+
+
+@register("region_case", osql.REGION)
+def q_region_case(spark, sf_dir):
+    return voltage.enriched(voltage.silver(_bronze(spark, sf_dir)), _lookup(spark, sf_dir),
+                            fx.connectivity(spark, sf_dir))
+
+
+def _gold_run(spark, sf_dir):
+    """Upsert the enriched alerts delivery by delivery (the foreachBatch function, driven in order)."""
+    from stratum.session import scratch_dir
+    root = scratch_dir(spark, "voltage_gold")
+    env_path = f"{root}/envelope"
+    fx.alerts_envelope(spark, sf_dir).write.partitionBy("delivery").parquet(env_path)
+    env = spark.read.parquet(env_path)
+    lookup = _lookup(spark, sf_dir)
+    conn = fx.connectivity(spark, sf_dir)
+    deliveries = sorted(r[0] for r in env.select("delivery").distinct().collect())
+    table = None
+    for d in deliveries:
+        batch = voltage.enriched(voltage.silver(voltage.bronze(env.filter(F.col("delivery") == d))),
+                                 lookup, conn)
+        if table is None:
+            table = voltage.gold_table(spark, f"{root}/view", batch.schema)
+        table.merge_batch(batch, int(d))
+    return table
+
+
+@register("voltage_gold", osql.GOLD_VIEW)
+def q_voltage_gold(spark, sf_dir):
+    return _gold_run(spark, sf_dir).read()
+
+
+@register("merge_log_report", osql.MERGE_LOG)
+def q_merge_log_report(spark, sf_dir):
+    from stratum.operators.reports import merge_report
+    rep = merge_report(_gold_run(spark, sf_dir).log.read())
+    return rep.select("version", "operation", "num_rows_inserted", "num_rows_updated", "num_rows_deleted")
+
+
+@register("commit_log_report", osql.COMMIT_LOG)
+def q_commit_log_report(spark, sf_dir):
+    """Bronze written delivery by delivery, each write recorded in the table's commit log."""
+    from stratum.operators.reports import commit_report
+    from stratum.session import scratch_dir
+    from stratum.streaming.upsert import CommitLog, append_batch
+    root = scratch_dir(spark, "bronze_log")
+    env_path = f"{root}/envelope"
+    fx.alerts_envelope(spark, sf_dir).write.partitionBy("delivery").parquet(env_path)
+    env = spark.read.parquet(env_path)
+    log = CommitLog(spark, f"{root}/bronze_commits")
+    for d in sorted(r[0] for r in env.select("delivery").distinct().collect()):
+        append_batch(voltage.bronze(env.filter(F.col("delivery") == d)), f"{root}/bronze", log,
+                     "bronze", int(d), voltage.BRONZE_PARTITION_BY)
+    return commit_report(log.read()).select("version", "operation", "num_rows_written")
+
+
+def _history(spark, sf_dir):
+    """Gold history: flattened alerts appended, partitioned by event date; read with its schema."""
+    from stratum.session import scratch_dir
+    from stratum.sources.catalog import overwrite_table, read_partitioned
+    path = scratch_dir(spark, "voltage_history") + "/history"
+    flat = voltage.flattened(_bronze(spark, sf_dir))
+    overwrite_table(flat, path, voltage.GOLD_PARTITION_BY)
+    return read_partitioned(spark, path, flat.schema).select(*flat.columns)
+
+
+@register("voltage_history", osql.FLATTEN)
+def q_voltage_history(spark, sf_dir):
+    return _history(spark, sf_dir)
+
+
+@register("schema_evolution", f"""
+SELECT {osql.FLAT_COLS}, CASE WHEN delivery >= 1 THEN 'delivery-' || CAST(delivery AS VARCHAR) END AS source_batch
+FROM ({osql._FLAT_BASE})""")
+def q_schema_evolution(spark, sf_dir):
+    """Later batches add a column; the table is read back with the merged schema (missing = NULL)."""
+    from stratum.session import scratch_dir
+    from stratum.sources.catalog import overwrite_table
+    path = scratch_dir(spark, "schema_evolution") + "/history"
+    flat = voltage.flattened(_bronze(spark, sf_dir, with_delivery=True), keep=["delivery"])
+    first = flat.filter(F.col("delivery") == 0).drop("delivery")
+    later = (flat.filter(F.col("delivery") >= 1)
+                 .withColumn("source_batch", F.concat(F.lit("delivery-"), F.col("delivery").cast("string")))
+                 .drop("delivery"))
+    overwrite_table(first, path + "/part=0")
+    overwrite_table(later, path + "/part=1")
+    merged = spark.read.option("mergeSchema", True).parquet(path + "/part=0", path + "/part=1")
+    return merged.select(*FLAT_COLS, "source_batch")
