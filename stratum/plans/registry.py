@@ -300,3 +300,80 @@ def q_schema_evolution(spark, sf_dir):
     overwrite_table(later, path + "/part=1")
     merged = spark.read.option("mergeSchema", True).parquet(path + "/part=0", path + "/part=1")
     return merged.select(*FLAT_COLS, "source_batch")
+
+
+# ------------------------------------------------------------------------ reconciliation, retention
+@register("recon_bronze_received", osql.hourly(f"SELECT * FROM ({osql.BRONZE})", "ReceivedTime",
+                                               "received_start_time", "received_end_time"))
+def q_recon_bronze_received(spark, sf_dir):
+    return agg.count_by_window(_bronze(spark, sf_dir), "ReceivedTime", "1 hour", "1 hour",
+                               "received_start_time", "received_end_time")
+
+
+@register("recon_view_event", osql.hourly(osql.GOLD_VIEW, "event_timestamp", "start_time", "end_time"))
+def q_recon_view_event(spark, sf_dir):
+    return agg.count_by_window(_gold_run(spark, sf_dir).read(), "event_timestamp", "1 hour")
+
+
+@register("recon_history_received", osql.hourly(osql.FLATTEN, "received_timestamp", "start_time", "end_time"))
+def q_recon_history_received(spark, sf_dir):
+    return agg.count_by_window(_history(spark, sf_dir), "received_timestamp", "1 hour")
+
+
+@register("recon_history_event", osql.hourly(osql.FLATTEN, "event_timestamp",
+                                             "event_start_time", "event_end_time"))
+def q_recon_history_event(spark, sf_dir):
+    return agg.count_by_window(_history(spark, sf_dir), "event_timestamp", "1 hour", None,
+                               "event_start_time", "event_end_time")
+
+
+@register("recon_compare", f"""
+WITH a AS ({osql.hourly(f"SELECT * FROM ({osql.BRONZE})", "ReceivedTime", "start_time", "end_time")}),
+b AS ({osql.hourly(osql.FLATTEN, "received_timestamp", "start_time", "end_time")})
+SELECT COALESCE(a.start_time, b.start_time) AS start_time,
+       COALESCE(a.count, 0) AS bronze_messages, COALESCE(b.count, 0) AS history_events,
+       COALESCE(a.count, 0) - COALESCE(b.count, 0) AS difference
+FROM a FULL JOIN b ON a.start_time = b.start_time
+""")
+def q_recon_compare(spark, sf_dir):
+    """Bronze messages vs gold-history events per received hour (full outer join + difference)."""
+    a = agg.count_by_window(_bronze(spark, sf_dir), "ReceivedTime", "1 hour")
+    b = agg.count_by_window(_history(spark, sf_dir), "received_timestamp", "1 hour")
+    return agg.reconcile(a, b, "start_time", "bronze_messages", "history_events")
+
+
+@register("retention_delete", f"""
+SELECT {osql.BRONZE_COLS} FROM ({osql.BRONZE})
+WHERE NOT COALESCE(CAST(ReceivedDate AS DATE) < DATE '2024-01-15', FALSE)""")
+def q_retention_delete(spark, sf_dir):
+    """Bronze after DELETE WHERE months_between(as_of, ReceivedDate) > 3 (as_of fixed: 2024-04-15)."""
+    return retention(_bronze(spark, sf_dir), "ReceivedDate", 3, as_of=AS_OF, kind="date")
+
+
+@register("retention_delete_ts", f"""
+SELECT {osql.FLAT_COLS} FROM ({osql._FLAT_BASE})
+WHERE NOT COALESCE(event_timestamp < TIMESTAMP '2024-01-15 00:00:00', FALSE)""")
+def q_retention_delete_ts(spark, sf_dir):
+    """Gold history after DELETE WHERE months_between(as_of, event_timestamp) > 3."""
+    return retention(_history(spark, sf_dir), "event_timestamp", 3, as_of=AS_OF + " 00:00:00",
+                     kind="timestamp")
+
+
+@register("table_counts", f"""
+SELECT 'bronze' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM ({osql.BRONZE})
+UNION ALL SELECT 'history', CAST(count(*) AS BIGINT) FROM ({osql.FLATTEN})
+UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM ({osql.SILVER})
+""")
+def q_table_counts(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return agg.table_counts({"bronze": b, "history": voltage.flattened(b), "silver": voltage.silver(b)})
+
+
+@register("recent_alerts", f"""
+SELECT * FROM ({osql.BRONZE.replace(', delivery', '')}) WHERE ReceivedTime > TIMESTAMP '2024-01-29 12:00:00'
+ORDER BY ReceivedTime DESC, "Offset" DESC LIMIT 100""")
+def q_recent_alerts(spark, sf_dir):
+    """Ad-hoc: newest 100 bronze messages after a cut-off (filter + order + limit)."""
+    b = _bronze(spark, sf_dir)
+    return (b.filter(F.col("ReceivedTime") > F.lit("2024-01-29 12:00:00").cast("timestamp_ntz"))
+              .orderBy(F.col("ReceivedTime").desc(), F.col("Offset").desc()).limit(100))
