@@ -377,3 +377,51 @@ def q_recent_alerts(spark, sf_dir):
     b = _bronze(spark, sf_dir)
     return (b.filter(F.col("ReceivedTime") > F.lit("2024-01-29 12:00:00").cast("timestamp_ntz"))
               .orderBy(F.col("ReceivedTime").desc(), F.col("Offset").desc()).limit(100))
+
+
+# ------------------------------------------------------------------------------- JSON template
+from stratum.plans import json_template as jt  # noqa: E402
+
+
+def _json_bronze(spark, sf_dir):
+    """Land the JSON feed; freeze the schema inferred from the early files; stream all files in."""
+    from stratum.session import scratch_dir
+    from stratum.streaming.sinks import append_stream
+    root = scratch_dir(spark, "json_ingest")
+    path = fx.land_json(spark, sf_dir, root)
+    schema = jt.frozen_schema(spark, f"{path}/late=false")
+    append_stream(jt.raw_stream(spark, path, schema), f"{root}/bronze", f"{root}/ck").awaitTermination()
+    return spark.read.parquet(f"{root}/bronze")
+
+
+@register("json_ingest", f"SELECT last_updated, n_field, _rescued_data FROM ({osql.JSON_RECORDS})")
+def q_json_ingest(spark, sf_dir):
+    b = _json_bronze(spark, sf_dir)
+    return b.select("last_updated", F.size("data.field").alias("n_field"), "_rescued_data")
+
+
+@register("json_rescue", f"SELECT last_updated, _rescued_data FROM ({osql.JSON_RECORDS}) WHERE _rescued_data IS NOT NULL")
+def q_json_rescue(spark, sf_dir):
+    return _json_bronze(spark, sf_dir).filter(F.col("_rescued_data").isNotNull()) \
+        .select("last_updated", "_rescued_data")
+
+
+@register("json_flatten", osql.JSON_FLATTEN)
+def q_json_flatten(spark, sf_dir):
+    df, _ = jt.clean(_json_bronze(spark, sf_dir))
+    return df
+
+
+@register("expect_metrics", osql.JSON_EXPECT)
+def q_expect_metrics(spark, sf_dir):
+    return jt.clean_metrics(_json_bronze(spark, sf_dir))
+
+
+@register("json_apply_changes", osql.JSON_APPLY)
+def q_json_apply_changes(spark, sf_dir):
+    from stratum.session import scratch_dir
+    from pyspark.sql.types import _parse_datatype_string
+    path = scratch_dir(spark, "json_other") + "/other_raw"
+    fx.other_records(spark, sf_dir).write.text(path)
+    raw = jt.raw_batch(spark, path, _parse_datatype_string(jt.OTHER_SCHEMA))
+    return jt.stuff_clean(jt.exploded_other(raw))
