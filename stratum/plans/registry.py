@@ -425,3 +425,238 @@ def q_json_apply_changes(spark, sf_dir):
     fx.other_records(spark, sf_dir).write.text(path)
     raw = jt.raw_batch(spark, path, _parse_datatype_string(jt.OTHER_SCHEMA))
     return jt.stuff_clean(jt.exploded_other(raw))
+
+
+# ------------------------------------------------------------------------------------- IoT
+from stratum.plans import iot  # noqa: E402
+
+
+def _iot_csv(spark, sf_dir):
+    from stratum.session import scratch_dir
+    root = scratch_dir(spark, "iot")
+    return root, fx.land_iot_csv(spark, sf_dir, root)
+
+
+def _stamped_view(df):
+    return df.select(*fx.IOT_CSV_COLUMNS, F.length("id").alias("id_length"),
+                     F.col("timestamp").isNotNull().alias("has_ingest_time"))
+
+
+@register("csv_infer", osql.IOT_CSV)
+def q_csv_infer(spark, sf_dir):
+    from stratum.sources.files import infer_schema, read_csv
+    _, path = _iot_csv(spark, sf_dir)
+    return read_csv(spark, path, schema=infer_schema(spark, path, "csv"))
+
+
+@register("stamp_ingest", osql.IOT_STAMPED)
+def q_stamp_ingest(spark, sf_dir):
+    from stratum.functions.columns import stamp_ingest
+    return _stamped_view(stamp_ingest(fx.iot_src(spark, sf_dir)))
+
+
+@register("drop_nulls", osql.IOT_SILVER)
+def q_drop_nulls(spark, sf_dir):
+    return fx.iot_src(spark, sf_dir).dropna()
+
+
+@register("avg_by_key", osql.IOT_AVG)
+def q_avg_by_key(spark, sf_dir):
+    return _round(iot.gender_averages(fx.iot_src(spark, sf_dir).dropna()), ["AVG_weight", "AVG_height"])
+
+
+def _iot_bronze(spark, sf_dir):
+    """CSV stream (one file per trigger) -> stamped bronze table (file sink, availableNow)."""
+    from stratum.sources.files import infer_schema
+    from stratum.streaming.sinks import append_stream
+    root, path = _iot_csv(spark, sf_dir)
+    schema = infer_schema(spark, path, "csv")
+    append_stream(iot.bronze_stream(spark, path, schema, max_files=1), f"{root}/bronze",
+                  f"{root}/ck_bronze").awaitTermination()
+    return root
+
+
+@register("stream_bronze_append", osql.IOT_STAMPED)
+def q_stream_bronze_append(spark, sf_dir):
+    root = _iot_bronze(spark, sf_dir)
+    return _stamped_view(spark.read.parquet(f"{root}/bronze"))
+
+
+@register("stream_silver_gold", osql.IOT_GOLD)
+def q_stream_silver_gold(spark, sf_dir):
+    """bronze -> silver (append) -> gold (complete mode, one silver file per trigger)."""
+    import uuid
+    from stratum.sources.files import stream_table
+    from stratum.streaming.sinks import append_stream, memory_stream
+    root = _iot_bronze(spark, sf_dir)
+    append_stream(iot.silver(stream_table(spark, f"{root}/bronze")), f"{root}/silver",
+                  f"{root}/ck_silver").awaitTermination()
+    name = f"iot_gold_{uuid.uuid4().hex[:8]}"
+    q = memory_stream(iot.gold(stream_table(spark, f"{root}/silver", max_files=1)), name, "complete",
+                      f"{root}/ck_gold")
+    q.awaitTermination()
+    return _round(spark.table(name), ["avg_weight"])
+
+
+def _land_in_order(df, root: str, parts: list):
+    """Write one file per (condition) in the given order, so a file stream sees them in that order."""
+    for i, cond in enumerate(parts):
+        df.filter(cond).coalesce(1).write.parquet(f"{root}/f{i:03d}")
+    return root
+
+
+@register("stream_window_count", osql.EVENTS_HOURLY)
+def q_stream_window_count(spark, sf_dir):
+    """Hourly counts over an event stream (files in time order); the open tail closed by complete mode."""
+    import uuid
+    from stratum.session import scratch_dir
+    from stratum.streaming.late import count_by_window_stream, event_time
+    from stratum.streaming.sinks import memory_stream
+    root = scratch_dir(spark, "window_stream")
+    ev = fx.table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    _land_in_order(ev, f"{root}/in", [day <= 10, (day > 10) & (day <= 20), day > 20])
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(f"{root}/in")
+    name = f"win_{uuid.uuid4().hex[:8]}"
+    memory_stream(count_by_window_stream(event_time(src, "ts"), "ts", "1 hour", "1 hour"), name,
+                  "complete", f"{root}/ck").awaitTermination()
+    return spark.table(name).select(F.col("start_time").cast("timestamp_ntz").alias("start_time"),
+                                    F.col("end_time").cast("timestamp_ntz").alias("end_time"), "count")
+
+
+@register("stream_dedupe", osql.SILVER)
+def q_stream_dedupe(spark, sf_dir):
+    """Flattened alerts deduped on a stream with the state bounded by an event-time watermark."""
+    from stratum.session import scratch_dir
+    from stratum.sources.files import stream_table
+    from stratum.streaming.late import dedupe_stream, event_time
+    from stratum.streaming.sinks import append_stream
+    root = scratch_dir(spark, "stream_dedupe")
+    env = fx.alerts_envelope(spark, sf_dir)
+    deliveries = sorted(r[0] for r in env.select("delivery").distinct().collect())
+    _land_in_order(voltage.bronze(env, keep=["delivery"]), f"{root}/bronze",
+                   [F.col("delivery") == d for d in deliveries])
+    flat = event_time(voltage.flattened(stream_table(spark, f"{root}/bronze", max_files=1,
+                                                         recursiveFileLookup=True).drop("delivery")),
+                      "event_timestamp")
+    out = dedupe_stream(flat, DEDUPE_COLUMNS, "event_timestamp", "1 day")
+    append_stream(out, f"{root}/silver", f"{root}/ck").awaitTermination()
+    s = spark.read.parquet(f"{root}/silver")
+    return s.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")).select(*FLAT_COLS)
+
+
+@register("stream_late_filter", osql.LATE_FILTER)
+def q_stream_late_filter(spark, sf_dir):
+    """Event files arrive out of time order; rows behind the watermark are dropped as late."""
+    from stratum.session import scratch_dir
+    from stratum.streaming.late import drop_late, event_time
+    from stratum.streaming.sinks import append_stream
+    root = scratch_dir(spark, "late_filter")
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    day = F.dayofmonth("ts")
+    cuts = {p: (day >= lo) & (day <= hi) for p, (lo, hi) in enumerate(osql.LATE_CUTS)}
+    _land_in_order(ev, f"{root}/in", [cuts[p] for p in range(len(cuts))])
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(f"{root}/in")
+    out = drop_late(event_time(src, "ts"), "ts", f"{osql.LATE_DELAY_DAYS} days", ["event_id"])
+    append_stream(out, f"{root}/out", f"{root}/ck").awaitTermination()
+    return spark.read.parquet(f"{root}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------------------------------ column helpers
+from stratum.functions import columns as colf  # noqa: E402
+
+
+def _people(spark, sf_dir):
+    return fx.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("ID"), F.col("c_name").alias("First_Name"),
+        F.col("c_mktsegment").alias("Last_Name"), F.col("c_nationkey").alias("Age"))
+
+
+@register("cols_lower", osql.COLS_LOWER)
+def q_cols_lower(spark, sf_dir):
+    return colf.lowercase_all_column_names(_people(spark, sf_dir))
+
+
+@register("cols_upper", osql.COLS_UPPER)
+def q_cols_upper(spark, sf_dir):
+    return colf.uppercase_all_column_names(_people(spark, sf_dir))
+
+
+@register("add_metadata", osql.ADD_METADATA)
+def q_add_metadata(spark, sf_dir):
+    return colf.add_metadata(colf.lowercase_all_column_names(_people(spark, sf_dir)),
+                             {"task_id": 1,
+                              "ingested_at": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")})
+
+
+# ------------------------------------------------------------------------------------ layout
+from stratum.operators import layout  # noqa: E402
+
+
+@register("partitioned_roundtrip", "SELECT * FROM events")
+def q_partitioned_roundtrip(spark, sf_dir):
+    from stratum.session import scratch_dir
+    from stratum.sources.catalog import overwrite_table, read_partitioned
+    ev = fx.table(spark, sf_dir, "events")
+    path = scratch_dir(spark, "partitioned") + "/events"
+    overwrite_table(ev, path, ["event_type"])
+    return read_partitioned(spark, path, ev.schema)
+
+
+@register("register_table", "SELECT * FROM events")
+def q_register_table(spark, sf_dir):
+    import uuid
+    from stratum.session import scratch_dir
+    from stratum.sources.catalog import overwrite_table, register_table
+    ev = fx.table(spark, sf_dir, "events")
+    path = scratch_dir(spark, "registered") + "/events"
+    name = f"stratum_events_{uuid.uuid4().hex[:8]}"
+    assert not register_table(spark, name, path)      # nothing committed yet: not registered
+    overwrite_table(ev, path)
+    assert register_table(spark, name, path)
+    return spark.table(name)
+
+
+def _zordered(spark, sf_dir, files=15):
+    from stratum.session import scratch_dir
+    path = scratch_dir(spark, "zorder") + "/events"
+    ev = fx.table(spark, sf_dir, "events")
+    layout.cluster_by_zorder(ev, ["user_id", "value"], files).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("zorder_rows", "SELECT * FROM events")
+def q_zorder_rows(spark, sf_dir):
+    return _zordered(spark, sf_dir)
+
+
+@register("compact_rows", "SELECT * FROM events")
+def q_compact_rows(spark, sf_dir):
+    """Many small files rewritten as evenly sized ones; the rows are unchanged."""
+    from stratum.session import scratch_dir
+    root = scratch_dir(spark, "compact")
+    ev = fx.table(spark, sf_dir, "events")
+    ev.repartition(64).write.parquet(f"{root}/small")
+    layout.compact(spark.read.parquet(f"{root}/small")).write.parquet(f"{root}/compacted")
+    return spark.read.parquet(f"{root}/compacted")
+
+
+@register("file_report")
+def q_file_report(spark, sf_dir):
+    return layout.table_files(_zordered(spark, sf_dir))
+
+
+@register("zorder_overlap")
+def q_zorder_overlap(spark, sf_dir):
+    """Files a point predicate on each clustered column must open, after Z-ordering 15 files."""
+    z = _zordered(spark, sf_dir)
+    stats = layout.file_stats(z, ["user_id", "value"])
+    probe = fx.table(spark, sf_dir, "events").agg(F.percentile_approx("user_id", 0.5).alias("u"),
+                                                  F.percentile_approx("value", 0.5).alias("v")).first()
+    u = layout.files_overlapping(stats, "user_id", probe["u"]).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    v = layout.files_overlapping(stats, "value", probe["v"]).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    total = stats.count()
+    return spark.createDataFrame([("user_id", total, u), ("value", total, v)],
+                                 "column string, files long, files_to_read long")

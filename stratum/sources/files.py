@@ -56,15 +56,15 @@ def stream_files(spark: SparkSession, path: str, fmt: str, schema: Schema,
 
 
 def stream_table(spark: SparkSession, path: str, schema: Schema | None = None,
-                 max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
+                 max_files: int | None = None, fmt: str = "parquet", **options) -> DataFrame:
     """Stream an upstream table written by another query.
 
     The file source only ever lists *new* files, so deletes upstream (retention) are never
     replayed downstream; ``ignoreMissingFiles`` lets a batch skip a file deleted after listing.
     """
     if schema is None:
-        schema = spark.read.format(fmt).load(path).schema
-    r = spark.readStream.format(fmt).schema(schema).option("ignoreMissingFiles", True)
+        schema = spark.read.format(fmt).options(**options).load(path).schema
+    r = spark.readStream.format(fmt).schema(schema).option("ignoreMissingFiles", True).options(**options)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
