@@ -1,9 +1,10 @@
 """Keyed change application, merge upsert, dedupe and retention.
 
-All of these are shuffles on the key columns and nothing else. ``latest_per_key`` uses a hash
-aggregate of ``max(struct(sequence, ...))`` instead of ``row_number()`` over a window: the partial
+All of these are shuffles on the key columns and nothing else. ``latest_per_key`` aggregates
+``max(struct(sequence, ...))`` instead of ranking with ``row_number()`` over a window: the partial
 (map-side) aggregate collapses a hot key to one row per input partition before the shuffle, so a
-key holding a third of the table costs no more shuffle than any other key, and no sort is needed.
+key holding a third of the table costs no more shuffle than any other key. (A struct buffer is
+planned as a sort-based aggregate; it spills like any sort and needs no per-key memory.)
 """
 
 from __future__ import annotations
@@ -78,6 +79,29 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]
     return source.unionByName(keep, allowMissingColumns=True)
 
 
+def merge_upsert_tagged(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
+                        action_col: str = "_merge_action") -> DataFrame:
+    """The same MERGE as one full outer join, each row tagged 'update', 'insert' or 'keep'.
+
+    One shuffle of both sides; the tag gives the merge metrics from the same pass that writes the
+    result. Several source rows with one key all survive (as with ``on_multiple="all"``).
+    """
+    keys = _as_list(keys)
+    cols = [c for c in target.columns]
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_s"))
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_t"))
+    cond = None
+    for k in keys:
+        e = F.col(f"_s_{k}") == F.col(f"_t_{k}")
+        cond = e if cond is None else cond & e
+    j = s.join(t, on=cond, how="full_outer")
+    from_source = F.coalesce(F.col("_s"), F.lit(False))
+    out = [F.when(from_source, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in cols]
+    action = (F.when(from_source & F.col("_t").isNotNull(), F.lit("update"))
+               .when(from_source, F.lit("insert")).otherwise(F.lit("keep")))
+    return j.select(*out, action.alias(action_col))
+
+
 def upsert_metrics(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """One row: source rows that update an existing target row vs. that are inserted."""
     keys = _as_list(keys)

@@ -24,8 +24,13 @@ def _quantile_buckets(df: DataFrame, cols: Sequence[str], bits: int, relative_er
         out = out.withColumn(src, F.col(c).cast("double"))
         qd = QuantileDiscretizer(numBuckets=1 << bits, inputCol=src, outputCol=f"__zb_{c}",
                                  relativeError=relative_error, handleInvalid="keep")
-        out = qd.fit(out).transform(out).drop(src)
-        out = out.withColumn(f"__zb_{c}", F.least(F.col(f"__zb_{c}").cast("long"), F.lit((1 << bits) - 1)))
+        model = qd.fit(out)
+        # a low-cardinality column gets fewer buckets than asked for: stretch its bucket index over
+        # the full bit range, or its bits would all sit at the bottom of the interleaved key
+        n = max(1, len(model.getSplits()) - 1)
+        out = model.transform(out).drop(src)
+        scaled = F.floor(F.col(f"__zb_{c}") * F.lit(float(1 << bits) / n)).cast("long")
+        out = out.withColumn(f"__zb_{c}", F.least(scaled, F.lit((1 << bits) - 1)))
     return out
 
 

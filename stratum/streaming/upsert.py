@@ -2,16 +2,18 @@
 
 Per batch:
 
-1. dedupe the batch and resolve several rows per key (``on_multiple``);
-2. read only the target partitions the batch touches (partition columns derive from a merge key, so a
-   match never crosses partitions) and compute ``batch ∪ (touched target rows without a batch key)``;
-3. write that result to a staging folder first (this also cuts the lineage: the table is read and
-   overwritten in the same batch), then overwrite just those partitions (dynamic overwrite);
-4. append one commit row (sink id, batch id, version, metrics) to the table's commit log.
+1. dedupe the batch (``dedupe_cols``);
+2. read only the target partitions the batch touches: their values are collected (a micro-batch
+   covers a bounded number of partitions, e.g. a few event dates) and become literal partition
+   filters, so the scan lists and reads only those folders. Partition columns derive from a merge
+   key, so a match never crosses partitions;
+3. merge with one full outer join that tags every row update / insert / keep, and write the
+   touched partitions to a staging folder; the tag counts come from an ``Observation`` on that write;
+4. overwrite just those partitions of the table from the staged copy (dynamic overwrite);
+5. append one commit row (sink id, batch id, version, metrics) to the table's commit log.
 
 A replayed batch id that is already committed is skipped. A batch that failed after staging is
-re-published from its staged result, so the touched partitions are never recomputed from a
-half-written target.
+re-published from its staged copy, so partitions are never recomputed from a half-written target.
 """
 
 from __future__ import annotations
@@ -20,12 +22,12 @@ import datetime as dt
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, MapType, StringType, StructField, StructType,
                                TimestampNTZType)
 
-from stratum.operators.changes import dedupe, merge_upsert
+from stratum.operators.changes import dedupe, latest_per_key, merge_upsert_tagged
 from stratum.sources.catalog import overwrite_table, path_exists, table_exists
 
 COMMIT_SCHEMA = StructType([
@@ -36,13 +38,15 @@ COMMIT_SCHEMA = StructType([
     StructField("operation", StringType()),
     StructField("operationMetrics", MapType(StringType(), StringType())),
 ])
+MAX_PRUNED_PARTITIONS = 10_000
 
 
 class CommitLog:
-    """Append-only parquet log: one row per committed write (the table history)."""
+    """Append-only parquet log: one row per committed write (the table history). One writer."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self._version: int | None = None
 
     def read(self) -> DataFrame:
         if not table_exists(self.spark, self.path):
@@ -50,20 +54,55 @@ class CommitLog:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.path)
 
     def committed(self, sink_id: str, batch_id: int) -> bool:
-        return self.read().filter((F.col("sink_id") == sink_id) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
+        return self.read().filter((F.col("sink_id") == sink_id) & (F.col("batch_id") == batch_id)) \
+                   .limit(1).count() > 0
 
     def next_version(self) -> int:
-        v = self.read().agg(F.max("version")).first()[0]
-        return 0 if v is None else int(v) + 1
+        if self._version is None:
+            v = self.read().agg(F.max("version")).first()[0]
+            self._version = -1 if v is None else int(v)
+        return self._version + 1
 
     def append(self, sink_id: str, batch_id: int, operation: str, metrics: dict) -> int:
         version = self.next_version()
         row = (sink_id, int(batch_id), version, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
                operation, {k: str(v) for k, v in metrics.items()})
         self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self._version = version
         return version
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under a folder, from the file system's content summary (no data is read)."""
+    if not path_exists(spark, path):
+        return 0
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def append_batch(df: DataFrame, path: str, log: CommitLog, sink_id: str, batch_id: int,
+                 partition_by: Sequence[str] | None = None) -> dict | None:
+    """Append one batch to a table and record rows / bytes written in its commit log.
+
+    At-least-once: a failure between the write and the commit row re-appends on replay. Streams
+    that need exactly-once appends use the file sink (``append_stream``).
+    """
+    if log.committed(sink_id, batch_id):
+        return None
+    spark = df.sparkSession
+    before = folder_bytes(spark, path)
+    obs = Observation(f"append_{sink_id}_{int(batch_id)}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    metrics = {"numOutputRows": obs.get["rows"], "numOutputBytes": folder_bytes(spark, path) - before}
+    log.append(sink_id, batch_id, "WRITE", metrics)
+    return metrics
+
+
 class UpsertTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: StructType,
                  partition_by: Sequence[str] | None = None, sink_id: str = "upsert",
@@ -76,7 +115,10 @@ class UpsertTable:
         self.log = CommitLog(spark, f"{path}_commits")
         self.staging = f"{path}_staging"
 
-    # -- table -------------------------------------------------------------------------------
+    @property
+    def columns(self) -> list[str]:
+        return self.schema.fieldNames()
+
     def ensure(self) -> None:
         # a dynamic partition overwrite leaves no _SUCCESS at the root: the folder is the marker
         if not path_exists(self.spark, self.path):
@@ -86,19 +128,37 @@ class UpsertTable:
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    # -- per batch ---------------------------------------------------------------------------
-    def _touched(self, target: DataFrame, batch: DataFrame) -> DataFrame:
+    def _touched(self, target: DataFrame, source: DataFrame) -> DataFrame:
+        """Target rows in the partitions the batch writes to (NULL partition values included)."""
         if not self.partition_by:
             return target
-        # the batch's partition values (a few days): the semi join on partition columns lets
-        # dynamic partition pruning skip every other folder of the target
-        # NULL partition values (the default partition) must match too: null-safe equality
-        parts = batch.select(*[F.col(c).alias(f"_p_{c}") for c in self.partition_by]).distinct()
-        cond = None
-        for c in self.partition_by:
-            e = target[c].eqNullSafe(parts[f"_p_{c}"])
-            cond = e if cond is None else cond & e
-        return target.join(parts, on=cond, how="left_semi")
+        parts = source.select(*self.partition_by).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
+        if len(parts) > MAX_PRUNED_PARTITIONS:      # unusually wide batch: semi join, no listing pruning
+            p = source.select(*[F.col(c).alias(f"_p_{c}") for c in self.partition_by]).distinct()
+            cond = None
+            for c in self.partition_by:
+                e = target[c].eqNullSafe(p[f"_p_{c}"])
+                cond = e if cond is None else cond & e
+            return target.join(p, on=cond, how="left_semi")
+        if not parts:
+            return target.limit(0)
+        pred = None
+        for row in parts:
+            e = None
+            for c in self.partition_by:
+                t = F.col(c).eqNullSafe(F.lit(row[c]))
+                e = t if e is None else e & t
+            pred = e if pred is None else pred | e
+        return target.filter(pred)
+
+    def _source(self, batch: DataFrame) -> DataFrame:
+        src = dedupe(batch.select(*self.columns), self.dedupe_cols)
+        if self.on_multiple == "latest":
+            nn = F.lit(True)
+            for k in self.keys:
+                nn = nn & F.col(k).isNotNull()
+            src = latest_per_key(src.filter(nn), self.keys, self.sequence_by or []).unionByName(src.filter(~nn))
+        return src
 
     def merge_batch(self, batch: DataFrame, batch_id: int) -> dict | None:
         """foreachBatch function: upsert one micro-batch (idempotent per batch id)."""
@@ -107,58 +167,30 @@ class UpsertTable:
             return None
         self.ensure()
         staged_path = f"{self.staging}/{self.sink_id}-{int(batch_id)}"
-        source = dedupe(batch.select(*self.schema.fieldNames()), self.dedupe_cols)
         metrics: dict = {}
         if not table_exists(self.spark, staged_path):
+            # the batch is evaluated once: written to staging, then read for partitions and merge
+            src_path = f"{staged_path}_source"
+            overwrite_table(self._source(batch), src_path)
+            source = self.spark.read.schema(self.schema).parquet(src_path)
             target = self._touched(self.read(), source)
-            t1 = time.time()
-            hits = (source.join(target.select(*self.keys).dropna().distinct().withColumn("_hit", F.lit(1)),
-                                on=self.keys, how="left")
-                          .agg(F.count_if(F.col("_hit").isNotNull()).alias("upd"),
-                               F.count(F.lit(1)).alias("src")).first())
-            merged = merge_upsert(target, source, self.keys, on_multiple=self.on_multiple,
-                                  sequence_by=self.sequence_by)
-            overwrite_table(merged.select(*self.schema.fieldNames()), staged_path, self.partition_by)
-            metrics.update(numSourceRows=hits["src"], numTargetRowsUpdated=hits["upd"],
-                           numTargetRowsInserted=hits["src"] - hits["upd"], numTargetRowsDeleted=0,
-                           scanTimeMs=int((t1 - t0) * 1000))
+            merged = merge_upsert_tagged(target, source, self.keys)
+            obs = Observation(f"merge_{self.sink_id}_{int(batch_id)}")
+            a = F.col("_merge_action")
+            tracked = merged.observe(obs, F.count_if(a == "update").alias("upd"),
+                                     F.count_if(a == "insert").alias("ins"),
+                                     F.count(F.lit(1)).alias("out"))
+            overwrite_table(tracked.drop("_merge_action"), staged_path, self.partition_by)
+            m = obs.get
+            metrics.update(numSourceRows=m["upd"] + m["ins"], numTargetRowsUpdated=m["upd"],
+                           numTargetRowsInserted=m["ins"], numTargetRowsDeleted=0,
+                           numOutputRows=m["out"], scanTimeMs=int((time.time() - t0) * 1000))
+        else:
+            metrics["republished"] = 1
         t2 = time.time()
         staged = self.spark.read.schema(self.schema).parquet(staged_path)
-        n_out = staged.count()
         overwrite_table(staged, self.path, self.partition_by, dynamic=True)
-        metrics.update(numOutputRows=n_out, rewriteTimeMs=int((time.time() - t2) * 1000),
+        metrics.update(rewriteTimeMs=int((time.time() - t2) * 1000),
                        executionTimeMs=int((time.time() - t0) * 1000))
         self.log.append(self.sink_id, batch_id, "MERGE", metrics)
         return metrics
-
-
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under a folder, from the file system's content summary (no data is read)."""
-    if not path_exists(spark, path):
-        return 0
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def append_batch(df: DataFrame, path: str, log: CommitLog, sink_id: str, batch_id: int,
-                 partition_by: Sequence[str] | None = None) -> dict | None:
-    """Append one batch to a table and record rows / bytes written in its commit log.
-
-    At-least-once: a failure between the write and the commit row re-appends on replay. Streams
-    that need exactly-once appends use the file sink (``append_stream``).
-    """
-    from pyspark.sql import Observation
-    if log.committed(sink_id, batch_id):
-        return None
-    spark = df.sparkSession
-    before = folder_bytes(spark, path)
-    obs = Observation(f"append_{sink_id}_{int(batch_id)}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    metrics = {"numOutputRows": obs.get["rows"], "numOutputBytes": folder_bytes(spark, path) - before}
-    log.append(sink_id, batch_id, "WRITE", metrics)
-    return metrics
