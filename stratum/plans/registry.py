@@ -35,7 +35,15 @@ def _round(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
 
 # ------------------------------------------------------------------------------------ retail
 def _retail_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retail.cleaned_retail(fx.retail_src(spark, sf_dir).drop("arrival"))
+    """The cleaned node as a table: the feed is written once, then read by the quality node.
+
+    Materialising it (as the flow does between nodes) keeps the text-building expressions of the
+    feed out of the quality filter, which Catalyst would otherwise inline and evaluate per rule.
+    """
+    from stratum.session import scratch_dir
+    path = scratch_dir(spark, "retail_cleaned") + "/cleaned"
+    retail.cleaned_retail(fx.retail_src(spark, sf_dir).drop("arrival")).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _retail_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
