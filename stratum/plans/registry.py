@@ -160,8 +160,8 @@ def q_retail_dag(spark, sf_dir):
     from stratum.session import scratch_dir
     root = scratch_dir(spark, "retail_dag")
     csv = fx.land_retail_csv(spark, sf_dir, root)
-    tables = retail.run_retail(spark, csv, root)
-    return _round(tables.read(spark, "top_ten"), ["TotalSales"])
+    tables = retail.run_retail(spark, csv, root, prefix="retail_" + root.rsplit("-", 1)[-1])
+    return _round(tables.table(spark, "top_ten_customers"), ["TotalSales"])
 
 
 # ------------------------------------------------------------------------------- voltage alerts
@@ -306,7 +306,8 @@ def q_schema_evolution(spark, sf_dir):
                  .drop("delivery"))
     overwrite_table(first, path + "/part=0")
     overwrite_table(later, path + "/part=1")
-    merged = spark.read.option("mergeSchema", True).parquet(path + "/part=0", path + "/part=1")
+    from stratum.operators.schema import read_merged
+    merged = read_merged(spark, path + "/part=0", path + "/part=1")
     return merged.select(*FLAT_COLS, "source_batch")
 
 

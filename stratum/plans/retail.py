@@ -96,51 +96,67 @@ def quality_split_by_country(quality: DataFrame) -> DataFrame:
 @dataclass
 class RetailTables:
     root: str
+    prefix: str
     paths: dict[str, str] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.paths[name])
 
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.table(f"{self.prefix}_{name}")
 
-def run_retail(spark: SparkSession, csv_path: str, root: str, max_files: int | None = None) -> RetailTables:
+
+# The declared datasets of the retail flow (name, tier, partitioning, kind).
+RETAIL_DATASETS = [
+    ("raw_retail", "bronze", ["Country"], "streaming"),
+    ("cleaned_retail", "bronze", ["Country"], "streaming"),
+    ("quality_retail", "silver", ["Country"], "streaming"),
+    ("quarantined_retail", "bronze", [], "streaming"),
+    ("quality_retail_split_by_country", "silver", ["Country"], "streaming"),
+    ("retail_sales_all_countries", "silver", [], "target"),
+    ("distinct_countries_retail", None, [], "complete"),
+    ("sales_by_day", None, [], "complete"),
+    ("sales_by_country", None, [], "complete"),
+    ("top_ten_customers", None, [], "complete"),
+]
+
+
+def run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str,
+               max_files: int | None = None) -> RetailTables:
     """Run the whole retail graph once, in dependency order.
 
-    Streaming nodes run as Structured Streaming queries with ``availableNow`` (each with its own
-    checkpoint, so a re-run only picks up new files); complete nodes are batch recomputations.
+    Streaming datasets run as Structured Streaming queries with ``availableNow`` (each with its own
+    checkpoint, so a re-run only picks up new files); complete datasets are batch recomputations;
+    every materialised dataset is registered as ``<prefix>_<name>`` with its comment and tier.
     """
-    from stratum.streaming.sinks import append_stream
+    from stratum.streaming.datasets import Dataset, live_table, streaming_table
 
-    t = RetailTables(root)
-    for name in ["raw", "cleaned", "quality", "quarantined", "split_by_country", "latest",
-                 "countries", "by_day", "by_country", "top_ten"]:
+    t = RetailTables(root, prefix)
+    ds = {}
+    for name, tier, parts, kind in RETAIL_DATASETS:
         t.paths[name] = f"{root}/tables/{name}"
+        ds[name] = Dataset(f"{prefix}_{name}", t.paths[name], comment=f"retail {kind} dataset {name}",
+                           properties={"quality": tier} if tier else {}, partition_by=parts)
     ck = f"{root}/checkpoints"
 
-    raw = raw_retail_stream(spark, csv_path, max_files)
-    append_stream(raw, t.paths["raw"], f"{ck}/raw", partition_by=["Country"]).awaitTermination()
-
-    raw_schema = spark.read.parquet(t.paths["raw"]).schema
-    cleaned = cleaned_retail(spark.readStream.schema(raw_schema).parquet(t.paths["raw"]))
-    append_stream(cleaned, t.paths["cleaned"], f"{ck}/cleaned", partition_by=["Country"]).awaitTermination()
-
-    cleaned_schema = spark.read.parquet(t.paths["cleaned"]).schema
-    cleaned_s = spark.readStream.schema(cleaned_schema).parquet(t.paths["cleaned"])
-    q1 = append_stream(quality_retail(cleaned_s), t.paths["quality"], f"{ck}/quality", partition_by=["Country"])
-    q2 = append_stream(quarantined_retail(cleaned_s), t.paths["quarantined"], f"{ck}/quarantined")
-    q1.awaitTermination()
-    q2.awaitTermination()
-
-    quality_schema = spark.read.parquet(t.paths["quality"]).schema
-    quality_s = spark.readStream.schema(quality_schema).parquet(t.paths["quality"])
-    append_stream(quality_split_by_country(quality_s), t.paths["split_by_country"], f"{ck}/split",
-                  partition_by=["Country"]).awaitTermination()
-
-    # keyed target: recomputed from the quality table (exact for any arrival order)
-    quality = spark.read.parquet(t.paths["quality"])
-    sales_all_countries(quality).write.mode("overwrite").parquet(t.paths["latest"])
-    latest = spark.read.parquet(t.paths["latest"])
-    distinct_countries(quality).write.mode("overwrite").parquet(t.paths["countries"])
-    sales_by_day(latest).write.mode("overwrite").parquet(t.paths["by_day"])
-    sales_by_country(latest).write.mode("overwrite").parquet(t.paths["by_country"])
-    top_ten_customers(latest).write.mode("overwrite").parquet(t.paths["top_ten"])
+    def upstream(name: str) -> DataFrame:
+        schema = spark.read.parquet(t.paths[name]).schema
+        return spark.readStream.schema(schema).parquet(t.paths[name])
+
+    streaming_table(spark, ds["raw_retail"], raw_retail_stream(spark, csv_path, max_files), f"{ck}/raw")
+    streaming_table(spark, ds["cleaned_retail"], cleaned_retail(upstream("raw_retail")), f"{ck}/cleaned")
+    cleaned_s = upstream("cleaned_retail")
+    streaming_table(spark, ds["quality_retail"], quality_retail(cleaned_s), f"{ck}/quality")
+    streaming_table(spark, ds["quarantined_retail"], quarantined_retail(cleaned_s), f"{ck}/quarantined")
+    streaming_table(spark, ds["quality_retail_split_by_country"],
+                    quality_split_by_country(upstream("quality_retail")), f"{ck}/split")
+
+    # keyed target: latest per key over everything the quality table holds (exact for any
+    # arrival order), then the complete summaries over it
+    quality = spark.read.parquet(t.paths["quality_retail"])
+    latest = live_table(spark, ds["retail_sales_all_countries"], sales_all_countries(quality))
+    live_table(spark, ds["distinct_countries_retail"], distinct_countries(quality))
+    live_table(spark, ds["sales_by_day"], sales_by_day(latest))
+    live_table(spark, ds["sales_by_country"], sales_by_country(latest))
+    live_table(spark, ds["top_ten_customers"], top_ten_customers(latest))
     return t

@@ -41,3 +41,23 @@ def ingest_envelope(df: DataFrame, tz: str = "Europe/London", offset: str = "off
         F.col(body).cast("string").alias("Body"),
         *(keep or []),
     )
+
+
+def stream_bus(spark, fmt: str = "kafka", options: dict | None = None, start_from: dict | None = None,
+               tz: str = "Europe/London"):
+    """A message-bus stream mapped to the bronze envelope columns.
+
+    ``start_from`` is the starting position: ``{"offsets": "earliest" | "latest" | json}`` or
+    ``{"timestamp": epoch_ms}`` (Kafka ``startingOffsets`` / ``startingTimestamp``). The connector
+    jar must be on the cluster's classpath; none is bundled with this library.
+    """
+    r = spark.readStream.format(fmt).options(**(options or {}))
+    if start_from:
+        if "offsets" in start_from:
+            r = r.option("startingOffsets", start_from["offsets"])
+        if "timestamp" in start_from:
+            r = r.option("startingTimestamp", str(start_from["timestamp"]))
+    df = r.load()
+    if fmt == "kafka":
+        return ingest_envelope(df, tz, offset="offset", enqueued="timestamp", body="value")
+    return ingest_envelope(df, tz)
