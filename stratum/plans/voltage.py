@@ -65,26 +65,29 @@ def gold_table(spark: SparkSession, path: str, schema: StructType, sink_id: str
 
 
 def run_voltage(spark: SparkSession, envelope_path: str, lookup_path: str, connectivity: DataFrame,
-                root: str, envelope_schema: StructType, trigger: dict | None = None):
+                root: str, envelope_schema: StructType, trigger: dict | None = None, view: bool = True):
     """Ingest then enrich, in order (U5): two streaming stages, each with its own checkpoint.
 
     Stage 1 appends typed envelopes to bronze (partitioned by received date). Stage 2 streams bronze
-    into the gold history (append, partitioned by event date) and into the gold view through a
-    per-batch upsert (foreachBatch).
+    into the gold history (append, partitioned by event date) and, when ``view``, into the gold view
+    through a per-batch upsert (foreachBatch) — two sinks from one flattened stream (T12).
     """
     from stratum.sources.files import stream_files, stream_table
     from stratum.streaming.sinks import append_stream, upsert_stream
 
     b_path, h_path, v_path = f"{root}/bronze", f"{root}/history", f"{root}/view"
     env = stream_files(spark, envelope_path, "parquet", envelope_schema, recursiveFileLookup=True)
-    append_stream(bronze(env), b_path, f"{root}/ck/bronze", BRONZE_PARTITION_BY, trigger).awaitTermination()
+    b = bronze(env)
+    append_stream(b, b_path, f"{root}/ck/bronze", BRONZE_PARTITION_BY, trigger).awaitTermination()
 
-    b_stream = stream_table(spark, b_path)
-    flat = flattened(b_stream)
+    # bronze is read with its declared schema: received-date partition values stay strings
+    flat = flattened(stream_table(spark, b_path, schema=b.schema))
     append_stream(flat, h_path, f"{root}/ck/history", GOLD_PARTITION_BY, trigger).awaitTermination()
-
-    lookup = alert_lookup(spark, lookup_path)
-    gold = enriched(dedupe(flat, DEDUPE_COLUMNS), lookup, connectivity)
-    table = gold_table(spark, v_path, gold.schema)
-    upsert_stream(gold, table, f"{root}/ck/view", trigger).awaitTermination()
-    return {"bronze": b_path, "history": h_path, "view": v_path}
+    paths = {"bronze": b_path, "history": h_path}
+    if view:
+        lookup = alert_lookup(spark, lookup_path)
+        gold = enriched(dedupe(flat, DEDUPE_COLUMNS), lookup, connectivity)
+        table = gold_table(spark, v_path, gold.schema)
+        upsert_stream(gold, table, f"{root}/ck/view", trigger).awaitTermination()
+        paths["view"] = v_path
+    return paths

@@ -123,3 +123,19 @@ def test_upsert_prunes_target_partitions(spark, tmp):
     src = _gold_rows(spark, [("m9", t1, t1, "z", "2024", "01", "05")])
     plan = table._touched(table.read(), src)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "event_day" in plan
+
+
+def test_run_voltage_streams_equal_batch(spark, sf, tmp):
+    from stratum.plans import fixtures as fx
+    env = fx.alerts_envelope(spark, sf)
+    env.write.partitionBy("delivery").parquet(f"{tmp}/env")
+    schema = spark.read.parquet(f"{tmp}/env").drop("delivery").schema
+    paths = voltage.run_voltage(spark, f"{tmp}/env", None, None, f"{tmp}/run", schema, view=False)
+    b = spark.read.schema(voltage.bronze(env.drop("delivery")).schema).parquet(paths["bronze"])
+    assert b.count() == env.count()
+    assert b.schema["ReceivedMonth"].dataType.simpleString() == "string"
+    h = spark.read.parquet(paths["history"])
+    expected = voltage.flattened(voltage.bronze(env.drop("delivery")))
+    cols = ["guid", "mpan", "event_timestamp", "alert_code", "end_time", "received_timestamp"]
+    assert sorted(map(tuple, h.select(*cols).collect()), key=repr) == \
+        sorted(map(tuple, expected.select(*cols).collect()), key=repr)
