@@ -38,7 +38,8 @@ def malformed_alerts(bronze: DataFrame, body: str = "Body") -> DataFrame:
 
 
 def flatten_alerts(bronze: DataFrame, body: str = "Body",
-                   received: str = "ReceivedTime", keep: list[str] | None = None) -> DataFrame:
+                   received: str = "ReceivedTime", keep: list[str] | None = None,
+                   time_parts: bool = True) -> DataFrame:
     """One row per Event: guid, mpan, event_timestamp, alert_code, end_time, received_timestamp,
     plus event_date and event_year / _month / _day / _hour strings.
 
@@ -61,5 +62,7 @@ def flatten_alerts(bronze: DataFrame, body: str = "Body",
         F.get(F.col("ev.argument"), ALERT_CODE_ARGUMENT - 1).getField("value").alias("alert_code"),
         parse_utc_millis(F.col("end_text")).alias("end_time"),
         "received_timestamp", *keep)
+    if not time_parts:
+        return flat
     out = with_time_parts(flat, "event_timestamp", "event")
     return out.select(*[c for c in out.columns if c not in keep], *keep)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stratum.functions.datetime import with_time_parts
 from stratum.functions.xml import DEDUPE_COLUMNS, flatten_alerts
 from stratum.operators.changes import dedupe
 from stratum.operators.joins import enrich, strip_text, with_region
@@ -36,8 +37,14 @@ def flattened(bronze_df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def silver(bronze_df: DataFrame) -> DataFrame:
-    """Flattened alerts without exact repeats (6-column key)."""
-    return dedupe(flatten_alerts(bronze_df), DEDUPE_COLUMNS)
+    """Flattened alerts without exact repeats (6-column key).
+
+    The repeats are removed before the date parts are derived: the dedupe is then a plain distinct
+    over the six columns (hash aggregate with a map-side partial), and the parts are computed once
+    per surviving row.
+    """
+    base = dedupe(flatten_alerts(bronze_df, time_parts=False), DEDUPE_COLUMNS)
+    return with_time_parts(base, "event_timestamp", "event")
 
 
 def alert_lookup(spark: SparkSession, path: str) -> DataFrame:
