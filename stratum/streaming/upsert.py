@@ -47,6 +47,7 @@ class CommitLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         self._version: int | None = None
+        self._committed: set | None = None     # (sink_id, batch_id) pairs; loaded once, one writer
 
     def read(self) -> DataFrame:
         if not table_exists(self.spark, self.path):
@@ -54,8 +55,10 @@ class CommitLog:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.path)
 
     def committed(self, sink_id: str, batch_id: int) -> bool:
-        return self.read().filter((F.col("sink_id") == sink_id) & (F.col("batch_id") == batch_id)) \
-                   .limit(1).count() > 0
+        if self._committed is None:
+            self._committed = {(r.sink_id, r.batch_id) for r in
+                               self.read().select("sink_id", "batch_id").collect()}
+        return (sink_id, int(batch_id)) in self._committed
 
     def next_version(self) -> int:
         if self._version is None:
@@ -69,6 +72,8 @@ class CommitLog:
                operation, {k: str(v) for k, v in metrics.items()})
         self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
         self._version = version
+        if self._committed is not None:
+            self._committed.add((sink_id, int(batch_id)))
         return version
 
 
@@ -128,11 +133,12 @@ class UpsertTable:
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def _touched(self, target: DataFrame, source: DataFrame) -> DataFrame:
+    def _touched(self, target: DataFrame, source: DataFrame, parts: list | None = None) -> DataFrame:
         """Target rows in the partitions the batch writes to (NULL partition values included)."""
         if not self.partition_by:
             return target
-        parts = source.select(*self.partition_by).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
+        if parts is None:
+            parts = source.select(*self.partition_by).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
         if len(parts) > MAX_PRUNED_PARTITIONS:      # unusually wide batch: semi join, no listing pruning
             p = source.select(*[F.col(c).alias(f"_p_{c}") for c in self.partition_by]).distinct()
             cond = None
@@ -146,7 +152,7 @@ class UpsertTable:
         for row in parts:
             e = None
             for c in self.partition_by:
-                t = F.col(c).eqNullSafe(F.lit(row[c]))
+                t = F.col(c).eqNullSafe(F.lit(row[c]).cast(self.schema[c].dataType))
                 e = t if e is None else e & t
             pred = e if pred is None else pred | e
         return target.filter(pred)
@@ -171,9 +177,19 @@ class UpsertTable:
         if not table_exists(self.spark, staged_path):
             # the batch is evaluated once: written to staging, then read for partitions and merge
             src_path = f"{staged_path}_source"
-            overwrite_table(self._source(batch), src_path)
+            src = self._source(batch)
+            parts = None
+            if self.partition_by:
+                # the batch's partition values ride along with the staging write; a batch spans a
+                # bounded number of partitions, the observed set is capped and checked
+                seen = Observation(f"parts_{self.sink_id}_{int(batch_id)}")
+                src = src.observe(seen, F.slice(F.collect_set(F.struct(*self.partition_by)), 1,
+                                                MAX_PRUNED_PARTITIONS + 1).alias("parts"))
+            overwrite_table(src, src_path)
+            if self.partition_by:
+                parts = [p.asDict() for p in (seen.get["parts"] or [])]
             source = self.spark.read.schema(self.schema).parquet(src_path)
-            target = self._touched(self.read(), source)
+            target = self._touched(self.read(), source, parts)
             merged = merge_upsert_tagged(target, source, self.keys)
             obs = Observation(f"merge_{self.sink_id}_{int(batch_id)}")
             a = F.col("_merge_action")
