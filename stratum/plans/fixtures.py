@@ -124,8 +124,9 @@ RETAIL_DDL = ("InvoiceNo STRING, StockCode STRING, Description STRING, Quantity
 def land_retail_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Write the retail feed as CSV files, one folder per arrival year (one Spark job)."""
     path = f"{root}/retail_csv"
+    # rebalance by the partition column: few files per folder, and AQE splits a large year
     (retail_src(spark, sf_dir).select(*RETAIL_CSV_COLUMNS, "arrival")
-        .repartition("arrival")
+        .hint("rebalance", "arrival")
         .write.mode("overwrite").partitionBy("arrival").option("header", True).csv(path))
     return path
 
@@ -206,6 +207,7 @@ def alert_lookup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_alert_lookup(spark: SparkSession, sf_dir: str, root: str) -> str:
     path = f"{root}/alertcodes_lookup"
+    # one file: the lookup holds one row per alert code (bounded by the code list)
     alert_lookup_rows(spark, sf_dir).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
@@ -250,7 +252,7 @@ def land_json(spark: SparkSession, sf_dir: str, root: str) -> str:
     """JSON lines in two folders: early/ (schema sample) and late/ (may hold undeclared fields)."""
     path = f"{root}/json_raw"
     recs = json_records(spark, sf_dir)
-    recs.write.mode("overwrite").partitionBy("late").text(path)
+    recs.hint("rebalance", "late").write.mode("overwrite").partitionBy("late").text(path)
     return path
 
 
@@ -286,8 +288,9 @@ def iot_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 IOT_CSV_COLUMNS = ["userid", "gender", "age", "height", "weight", "smoker"]
 
 
-def land_iot_csv(spark: SparkSession, sf_dir: str, root: str, files: int = 4) -> str:
+def land_iot_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """The readings as CSV files sized by AQE (rebalance), so the file count grows with the data."""
     path = f"{root}/iot_csv"
-    (iot_src(spark, sf_dir).select(*IOT_CSV_COLUMNS).repartition(files)
+    (iot_src(spark, sf_dir).select(*IOT_CSV_COLUMNS).hint("rebalance")
         .write.mode("overwrite").option("header", True).csv(path))
     return path

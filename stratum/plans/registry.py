@@ -232,7 +232,7 @@ def _gold_run(spark, sf_dir):
     from stratum.session import scratch_dir
     root = scratch_dir(spark, "voltage_gold")
     env_path = f"{root}/envelope"
-    fx.alerts_envelope(spark, sf_dir).write.partitionBy("delivery").parquet(env_path)
+    fx.alerts_envelope(spark, sf_dir).hint("rebalance", "delivery").write.partitionBy("delivery").parquet(env_path)
     env = spark.read.parquet(env_path)
     lookup = _lookup(spark, sf_dir)
     conn = fx.connectivity(spark, sf_dir)
@@ -267,7 +267,7 @@ def q_commit_log_report(spark, sf_dir):
     from stratum.streaming.upsert import CommitLog, append_batch
     root = scratch_dir(spark, "bronze_log")
     env_path = f"{root}/envelope"
-    fx.alerts_envelope(spark, sf_dir).write.partitionBy("delivery").parquet(env_path)
+    fx.alerts_envelope(spark, sf_dir).hint("rebalance", "delivery").write.partitionBy("delivery").parquet(env_path)
     env = spark.read.parquet(env_path)
     log = CommitLog(spark, f"{root}/bronze_commits")
     for d in sorted(r[0] for r in env.select("delivery").distinct().collect()):
@@ -507,16 +507,22 @@ def q_stream_silver_gold(spark, sf_dir):
     return _round(spark.table(name), ["avg_weight"])
 
 
-def _land_in_order(df, root: str, parts: list):
-    """Write one file per (condition) in the given order, so a file stream sees them in that order."""
-    for i, cond in enumerate(parts):
-        df.filter(cond).coalesce(1).write.parquet(f"{root}/f{i:03d}")
-    return root
+def _arrive_in_order(df: DataFrame, root: str, cuts: list, run) -> None:
+    """Files arrive cut by cut: each cut is landed with an ordinary parallel write, then the stream
+    picks it up with one ``availableNow`` run on the same checkpoint (one micro-batch per cut, plus
+    the no-data batch Spark adds to advance the watermark)."""
+    for i, cond in enumerate(cuts):
+        df.filter(cond).write.parquet(f"{root}/in/f{i:03d}")
+        run().awaitTermination()
+
+
+def _stream_in(spark, root: str, schema):
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
 
 
 @register("stream_window_count", osql.EVENTS_HOURLY)
 def q_stream_window_count(spark, sf_dir):
-    """Hourly counts over an event stream (files in time order); the open tail closed by complete mode."""
+    """Hourly counts over an event stream (files arrive in time order); complete mode closes the tail."""
     import uuid
     from stratum.session import scratch_dir
     from stratum.streaming.late import count_by_window_stream, event_time
@@ -524,33 +530,36 @@ def q_stream_window_count(spark, sf_dir):
     root = scratch_dir(spark, "window_stream")
     ev = fx.table(spark, sf_dir, "events")
     day = F.dayofmonth("ts")
-    _land_in_order(ev, f"{root}/in", [day <= 10, (day > 10) & (day <= 20), day > 20])
-    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1) \
-        .option("recursiveFileLookup", True).parquet(f"{root}/in")
     name = f"win_{uuid.uuid4().hex[:8]}"
-    memory_stream(count_by_window_stream(event_time(src, "ts"), "ts", "1 hour", "1 hour"), name,
-                  "complete", f"{root}/ck").awaitTermination()
+
+    def run():
+        src = event_time(_stream_in(spark, root, ev.schema), "ts")
+        return memory_stream(count_by_window_stream(src, "ts", "1 hour", "1 hour"), name, "complete", f"{root}/ck")
+
+    _arrive_in_order(ev, root, [day <= 10, (day > 10) & (day <= 20), day > 20], run)
     return spark.table(name).select(F.col("start_time").cast("timestamp_ntz").alias("start_time"),
                                     F.col("end_time").cast("timestamp_ntz").alias("end_time"), "count")
 
 
 @register("stream_dedupe", osql.SILVER)
 def q_stream_dedupe(spark, sf_dir):
-    """Flattened alerts deduped on a stream with the state bounded by an event-time watermark."""
+    """Flattened alerts deduped on a stream with the state bounded by an event-time watermark;
+    deliveries (and their replays) arrive in order."""
     from stratum.session import scratch_dir
-    from stratum.sources.files import stream_table
     from stratum.streaming.late import dedupe_stream, event_time
     from stratum.streaming.sinks import append_stream
     root = scratch_dir(spark, "stream_dedupe")
     env = fx.alerts_envelope(spark, sf_dir)
     deliveries = sorted(r[0] for r in env.select("delivery").distinct().collect())
-    _land_in_order(voltage.bronze(env, keep=["delivery"]), f"{root}/bronze",
-                   [F.col("delivery") == d for d in deliveries])
-    flat = event_time(voltage.flattened(stream_table(spark, f"{root}/bronze", max_files=1,
-                                                         recursiveFileLookup=True).drop("delivery")),
-                      "event_timestamp")
-    out = dedupe_stream(flat, DEDUPE_COLUMNS, "event_timestamp", "1 day")
-    append_stream(out, f"{root}/silver", f"{root}/ck").awaitTermination()
+    bronze = voltage.bronze(env, keep=["delivery"])
+
+    def run():
+        flat = event_time(voltage.flattened(_stream_in(spark, root, bronze.schema).drop("delivery")),
+                          "event_timestamp")
+        out = dedupe_stream(flat, DEDUPE_COLUMNS, "event_timestamp", "1 day")
+        return append_stream(out, f"{root}/silver", f"{root}/ck")
+
+    _arrive_in_order(bronze, root, [F.col("delivery") == d for d in deliveries], run)
     s = spark.read.parquet(f"{root}/silver")
     return s.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")).select(*FLAT_COLS)
 
@@ -564,12 +573,13 @@ def q_stream_late_filter(spark, sf_dir):
     root = scratch_dir(spark, "late_filter")
     ev = fx.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     day = F.dayofmonth("ts")
-    cuts = {p: (day >= lo) & (day <= hi) for p, (lo, hi) in enumerate(osql.LATE_CUTS)}
-    _land_in_order(ev, f"{root}/in", [cuts[p] for p in range(len(cuts))])
-    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1) \
-        .option("recursiveFileLookup", True).parquet(f"{root}/in")
-    out = drop_late(event_time(src, "ts"), "ts", f"{osql.LATE_DELAY_DAYS} days", ["event_id"])
-    append_stream(out, f"{root}/out", f"{root}/ck").awaitTermination()
+
+    def run():
+        out = drop_late(event_time(_stream_in(spark, root, ev.schema), "ts"), "ts",
+                        f"{osql.LATE_DELAY_DAYS} days", ["event_id"])
+        return append_stream(out, f"{root}/out", f"{root}/ck")
+
+    _arrive_in_order(ev, root, [(day >= lo) & (day <= hi) for lo, hi in osql.LATE_CUTS], run)
     return spark.read.parquet(f"{root}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
