@@ -48,8 +48,12 @@ def spread(df: DataFrame) -> DataFrame:
     (joins against broadcast dimensions, text building, parsing) would run in that one task. A large
     input already has at least as many splits as cores and is left untouched (no extra shuffle).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()          # planning only: file splits, no job
+    except Exception:  # noqa: BLE001 - sessions without RDD access keep the scan as it is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
