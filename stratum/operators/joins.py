@@ -1,9 +1,9 @@
 """Enrichment joins and the prefix case expression.
 
-No broadcast hint is forced: the planner broadcasts a side only when its size estimate is under
-``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks with runtime sizes in batch), otherwise
-it shuffles both sides (sort-merge, skew-split by AQE). A lookup that is known to be small can be
-hinted explicitly with ``broadcast_max_bytes``: the hint is applied only if the estimate is under it.
+No broadcast hint is forced: the planner broadcasts a side only when its size estimate (file sizes
+for a scan) is under ``spark.sql.autoBroadcastJoinThreshold`` — in batch, where AQE re-checks with
+runtime sizes, and in every streaming micro-batch — and otherwise shuffles both sides (sort-merge
+join, skewed partitions split by AQE). A small lookup is broadcast; a large dimension is not.
 """
 
 from __future__ import annotations
@@ -14,21 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes for scans), or None if unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate is best-effort
-        return None
-
-
-def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-           broadcast_max_bytes: int | None = None) -> DataFrame:
+def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join a (possibly streaming) frame with a static dimension on shared key column(s)."""
-    if broadcast_max_bytes is not None:
-        size = estimated_bytes(dim)
-        if size is not None and size <= broadcast_max_bytes:
-            dim = F.broadcast(dim)
     return df.join(dim, on=on, how=how)
 
 

@@ -25,7 +25,6 @@ LOOKUP_RENAMES = {"Alert Code": "alert_code", "DESC_TEXT": "alert_desc", "Alert
 MERGE_KEYS = ["mpan", "event_timestamp", "received_timestamp"]
 GOLD_PARTITION_BY = ["event_year", "event_month", "event_day"]
 BRONZE_PARTITION_BY = ["ReceivedYear", "ReceivedMonth", "ReceivedDay"]
-LOOKUP_MAX_BROADCAST_BYTES = 8 << 20
 
 
 def bronze(envelope: DataFrame, tz: str = "Europe/London", keep: list[str] | None = None) -> DataFrame:
@@ -53,7 +52,7 @@ def alert_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def join_lookup(silver_df: DataFrame, lookup: DataFrame) -> DataFrame:
-    return enrich(silver_df, lookup, "alert_code", "inner", broadcast_max_bytes=LOOKUP_MAX_BROADCAST_BYTES)
+    return enrich(silver_df, lookup, "alert_code", "inner")
 
 
 def join_connectivity(df: DataFrame, connectivity: DataFrame) -> DataFrame:
