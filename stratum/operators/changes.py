@@ -80,11 +80,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]
 
 
 def merge_upsert_tagged(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
-                        action_col: str = "_merge_action") -> DataFrame:
+                        action_col: str = "_merge_action",
+                        sequence_by: str | Sequence[str] | None = None) -> DataFrame:
     """The same MERGE as one full outer join, each row tagged 'update', 'insert' or 'keep'.
 
     One shuffle of both sides; the tag gives the merge metrics from the same pass that writes the
     result. Several source rows with one key all survive (as with ``on_multiple="all"``).
+
+    With ``sequence_by`` it is apply-changes instead: a matched key takes the source row only if
+    its (sequence, other columns) is greater than the stored row's, in the total order of
+    ``latest_per_key``; an older change arriving late leaves the stored row ('keep').
     """
     keys = _as_list(keys)
     cols = [c for c in target.columns]
@@ -95,10 +100,18 @@ def merge_upsert_tagged(target: DataFrame, source: DataFrame, keys: str | Sequen
         e = F.col(f"_s_{k}") == F.col(f"_t_{k}")
         cond = e if cond is None else cond & e
     j = s.join(t, on=cond, how="full_outer")
-    from_source = F.coalesce(F.col("_s"), F.lit(False))
-    out = [F.when(from_source, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in cols]
-    action = (F.when(from_source & F.col("_t").isNotNull(), F.lit("update"))
-               .when(from_source, F.lit("insert")).otherwise(F.lit("keep")))
+    has_s = F.coalesce(F.col("_s"), F.lit(False))
+    has_t = F.coalesce(F.col("_t"), F.lit(False))
+    if sequence_by:
+        seq = _as_list(sequence_by)
+        order = seq + [c for c in cols if c not in keys and c not in seq]
+        newer = F.struct(*[F.col(f"_s_{c}") for c in order]) > F.struct(*[F.col(f"_t_{c}") for c in order])
+        take_s = has_s & (~has_t | newer)
+    else:
+        take_s = has_s
+    out = [F.when(take_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in cols]
+    action = (F.when(take_s & has_t, F.lit("update")).when(take_s, F.lit("insert"))
+               .otherwise(F.lit("keep")))
     return j.select(*out, action.alias(action_col))
 
 

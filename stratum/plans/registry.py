@@ -124,19 +124,22 @@ def q_retail_by_country_split(spark, sf_dir):
 
 @register("apply_changes_late", osql.RETAIL_LATEST)
 def q_apply_changes_late(spark, sf_dir):
-    """Change batches applied newest year first: older rows arrive after newer ones."""
+    """Change batches applied incrementally, newest year first: older rows arrive after newer ones.
+
+    Each batch is merged into the stored target (the per-batch apply-changes a stream runs), never
+    re-aggregating the whole target.
+    """
     from stratum.session import scratch_dir
+    from stratum.streaming.upsert import UpsertTable
     root = scratch_dir(spark, "apply_late")
     retail.quality_retail(_retail_cleaned(spark, sf_dir)).write.parquet(f"{root}/quality")
     quality = spark.read.parquet(f"{root}/quality")
     years = sorted(r[0] for r in quality.select(F.year("InvoiceDatetime")).distinct().collect())
-    target = None
-    for i, y in enumerate(reversed(years)):
-        batch = quality.filter(F.year("InvoiceDatetime") == y)
-        path = f"{root}/v{i}"
-        retail.sales_all_countries(batch, target).write.mode("overwrite").parquet(path)
-        target = spark.read.parquet(path)
-    return target
+    table = UpsertTable(spark, f"{root}/target", retail.CHANGE_KEYS, quality.schema, sink_id="apply_changes",
+                        on_multiple="latest", sequence_by=[retail.SEQUENCE_BY])
+    for y in reversed(years):
+        table.merge_batch(quality.filter(F.year("InvoiceDatetime") == y), int(y))
+    return table.read()
 
 
 @register("retail_sales_by_day", osql.RETAIL_SALES_BY_DAY)

@@ -109,6 +109,10 @@ def append_batch(df: DataFrame, path: str, log: CommitLog, sink_id: str, batch_i
 
 
 class UpsertTable:
+    """Keyed table updated per micro-batch. ``on_multiple="latest"`` with ``sequence_by`` gives
+    apply-changes semantics (C1 on a stream): per key the greatest sequence wins, also against the
+    stored row, so late, older changes never overwrite newer ones."""
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: StructType,
                  partition_by: Sequence[str] | None = None, sink_id: str = "upsert",
                  dedupe_cols: Sequence[str] | None = None, on_multiple: str = "all",
@@ -190,7 +194,8 @@ class UpsertTable:
                 parts = [p.asDict() for p in (seen.get["parts"] or [])]
             source = self.spark.read.schema(self.schema).parquet(src_path)
             target = self._touched(self.read(), source, parts)
-            merged = merge_upsert_tagged(target, source, self.keys)
+            merged = merge_upsert_tagged(target, source, self.keys,
+                                         sequence_by=self.sequence_by if self.on_multiple == "latest" else None)
             obs = Observation(f"merge_{self.sink_id}_{int(batch_id)}")
             a = F.col("_merge_action")
             tracked = merged.observe(obs, F.count_if(a == "update").alias("upd"),
