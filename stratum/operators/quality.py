@@ -28,16 +28,19 @@ def all_pass(rules: Rules) -> Column:
     return reduce(lambda a, b: a & b, [passes(p) for p in rules.values()], F.lit(True))
 
 
-def expect(df: DataFrame, rules: Rules, name: str = "expectations") -> tuple[DataFrame, Observation]:
+def expect(df: DataFrame, rules: Rules, name: str = "expectations") -> tuple[DataFrame, Observation | str]:
     """Warn-only expectations: rows are kept and the violations of each rule are counted.
 
     The counts are gathered by ``observe`` while the result is produced (no extra pass over the
-    data); read them from ``observation.get`` after an action. On streams the same metrics are in
-    ``query.lastProgress['observedMetrics']``.
+    data). Batch: read them from the returned ``Observation`` (``.get``) after an action. Stream: the
+    metrics are named ``name`` in every micro-batch's ``query.lastProgress['observedMetrics']``
+    (the name is returned instead of an Observation).
     """
-    obs = Observation(name)
     metrics = [F.count_if(~passes(p)).alias(f"violations_{k}") for k, p in rules.items()]
     metrics.append(F.count(F.lit(1)).alias("rows"))
+    if df.isStreaming:
+        return df.observe(name, *metrics), name
+    obs = Observation(name)
     return df.observe(obs, *metrics), obs
 
 

@@ -43,3 +43,15 @@ def test_split_is_a_true_complement(spark, rows):
     for r in b:
         assert r.failed_rules and set(r.failed_rules) <= set(RULES)
         assert ("has_a" in r.failed_rules) == (r.a is None)
+
+
+def test_warn_metrics_on_a_stream(spark, tmp):
+    from stratum.streaming.sinks import memory_stream
+    spark.createDataFrame([("x", 1), (None, 2), ("z", 30)], "a string, b int").write.parquet(f"{tmp}/in")
+    src = spark.readStream.schema("a string, b int").parquet(f"{tmp}/in")
+    df, name = expect(src, RULES, name="stream_rules")
+    q = memory_stream(df, "warn_stream")
+    q.awaitTermination()
+    m = [p["observedMetrics"][name] for p in q.recentProgress if p.get("observedMetrics")][0]
+    assert (m["rows"], m["violations_has_a"], m["violations_small_b"]) == (3, 1, 1)
+    assert spark.table("warn_stream").count() == 3
