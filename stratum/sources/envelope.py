@@ -20,7 +20,8 @@ def utc_wall_clock(df: DataFrame, col: str) -> Column:
     """The column as a TIMESTAMP_NTZ UTC wall clock, whether it is NTZ already or an instant."""
     if isinstance(df.schema[col].dataType, TimestampNTZType):
         return F.col(col)
-    return F.convert_timezone(F.lit("UTC"), F.col(col).cast("timestamp_ntz"))
+    # instant -> session wall clock (cast) -> UTC wall clock (source zone = the session's)
+    return F.convert_timezone(None, F.lit("UTC"), F.col(col).cast("timestamp_ntz"))
 
 
 def ingest_envelope(df: DataFrame, tz: str = "Europe/London", offset: str = "offset",

@@ -139,3 +139,18 @@ def test_run_voltage_streams_equal_batch(spark, sf, tmp):
     cols = ["guid", "mpan", "event_timestamp", "alert_code", "end_time", "received_timestamp"]
     assert sorted(map(tuple, h.select(*cols).collect()), key=repr) == \
         sorted(map(tuple, expected.select(*cols).collect()), key=repr)
+
+
+def test_kafka_shaped_envelope_with_instant_timestamps(spark):
+    """A bus source gives TIMESTAMP instants; the UTC wall clock must not depend on the session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(7, "<x/>")], "offset long, value string") \
+            .withColumn("timestamp", F.expr("timestamp'2024-07-01 10:00:00Z'")) \
+            .withColumn("value", F.encode("value", "UTF-8"))
+        r = ingest_envelope(df, offset="offset", enqueued="timestamp", body="value").first()
+        assert (r.Offset, r.Body, r.ReceivedDate) == (7, "<x/>", "2024-07-01")
+        assert r.ReceivedTime == dt.datetime(2024, 7, 1, 11, 0)          # 10:00 UTC -> 11:00 BST
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
