@@ -15,20 +15,20 @@ from pyspark.sql import functions as F
 def _quantile_buckets(df: DataFrame, cols: Sequence[str], bits: int, relative_error: float) -> DataFrame:
     """Rank-bucket every column into [0, 2^bits) with approximate quantile bounds (JVM binary search).
 
-    Only 2^bits bounds per column reach the driver, whatever the table size. NULLs get their own bucket.
+    One pass computes the bounds of all columns together; only 2^bits bounds per column reach the
+    driver, whatever the table size. NULLs get their own bucket.
     """
     from pyspark.ml.feature import QuantileDiscretizer
-    out = df
-    for c in cols:
-        src = f"__zsrc_{c}"
-        out = out.withColumn(src, F.col(c).cast("double"))
-        qd = QuantileDiscretizer(numBuckets=1 << bits, inputCol=src, outputCol=f"__zb_{c}",
-                                 relativeError=relative_error, handleInvalid="keep")
-        model = qd.fit(out)
+    src = [f"__zsrc_{c}" for c in cols]
+    out = df.withColumns({s: F.col(c).cast("double") for s, c in zip(src, cols)})
+    qd = QuantileDiscretizer(numBuckets=1 << bits, inputCols=src, outputCols=[f"__zb_{c}" for c in cols],
+                             relativeError=relative_error, handleInvalid="keep")
+    model = qd.fit(out)
+    out = model.transform(out).drop(*src)
+    for c, splits in zip(cols, model.getSplitsArray()):
         # a low-cardinality column gets fewer buckets than asked for: stretch its bucket index over
         # the full bit range, or its bits would all sit at the bottom of the interleaved key
-        n = max(1, len(model.getSplits()) - 1)
-        out = model.transform(out).drop(src)
+        n = max(1, len(splits) - 1)
         scaled = F.floor(F.col(f"__zb_{c}") * F.lit(float(1 << bits) / n)).cast("long")
         out = out.withColumn(f"__zb_{c}", F.least(scaled, F.lit((1 << bits) - 1)))
     return out
