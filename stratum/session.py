@@ -21,7 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # partition columns such as ReceivedMonth='01' stay strings on read
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

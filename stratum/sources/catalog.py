@@ -27,9 +27,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                     dynamic: bool = False, max_records_per_file: int | None = None) -> None:
     """Batch overwrite (whole table, or only the partitions present in ``df`` when dynamic)."""
-    w = df.write.mode("overwrite")
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # the mode is set on every write, so the session default never changes what is replaced
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
