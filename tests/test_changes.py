@@ -97,3 +97,14 @@ def test_incremental_apply_changes_equals_batch(spark, tmp):
                                  spark.createDataFrame([("a", 3, "old")], SCHEMA), ["k"], sequence_by="seq")
     r = tagged.first()
     assert (r.v, r._merge_action) == ("new", "keep")          # an older late change loses
+
+
+def test_apply_changes_is_idempotent(spark, tmp):
+    from stratum.streaming.upsert import UpsertTable
+    b = spark.createDataFrame([("a", 2, "x"), ("b", 1, "y"), ("a", 1, "z")], SCHEMA)
+    t = UpsertTable(spark, f"{tmp}/t", ["k"], b.schema, sink_id="ac", on_multiple="latest", sequence_by=["seq"])
+    t.merge_batch(b, 0)
+    once = _rows(t.read())
+    assert t.merge_batch(b, 0) is None                     # same batch id: skipped
+    m = t.merge_batch(b, 1)                                # same rows again under a new id
+    assert _rows(t.read()) == once and m["numTargetRowsInserted"] == 0
