@@ -5,7 +5,6 @@ and gold history (append); plus retention, commit-log reports and hourly reconci
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum.functions.datetime import with_time_parts

@@ -1,6 +1,5 @@
 import uuid
 
-from pyspark.sql import functions as F
 
 from stratum.operators.schema import merge_schemas, read_merged
 from stratum.sources.catalog import (describe, register_table, reset_tables, table_exists,

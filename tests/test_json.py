@@ -38,3 +38,13 @@ def test_explode_expectations(spark):
     r1 = [r for r in rows if r.table_id == "1"][0]
     assert r1.secs_since_last_reported == 100000 and str(r1.last_updated_ts) == "1970-01-02 03:46:40"
     assert r1.last_updated_hr == 97200                           # 03:46:40 truncated to 03:00
+
+
+def test_infer_schema_reads_a_bounded_sample(spark, tmp):
+    from stratum.sources.files import infer_schema, sample_files
+    for i in range(5):
+        spark.createDataFrame([(i, f"v{i}")], "a long, b string").coalesce(1).write.json(f"{tmp}/j/p{i}")
+    files = sample_files(spark, f"{tmp}/j", 3)
+    assert len(files) == 3 and all(f.endswith(".json") for f in files)
+    schema = infer_schema(spark, f"{tmp}/j", "json", max_files=2)
+    assert schema.fieldNames() == ["a", "b"]

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from stratum.functions.datetime import split_invoice_datetime
 from stratum.plans import retail
