@@ -235,7 +235,7 @@ def _gold_run(spark, sf_dir):
     from stratum.session import scratch_dir
     root = scratch_dir(spark, "voltage_gold")
     env_path = f"{root}/envelope"
-    fx.alerts_envelope(spark, sf_dir).hint("rebalance", "delivery").write.partitionBy("delivery").parquet(env_path)
+    fx.alerts_envelope(spark, sf_dir).write.partitionBy("delivery").parquet(env_path)
     env = spark.read.parquet(env_path)
     lookup = _lookup(spark, sf_dir)
     conn = fx.connectivity(spark, sf_dir)
@@ -270,7 +270,7 @@ def q_commit_log_report(spark, sf_dir):
     from stratum.streaming.upsert import CommitLog, append_batch
     root = scratch_dir(spark, "bronze_log")
     env_path = f"{root}/envelope"
-    fx.alerts_envelope(spark, sf_dir).hint("rebalance", "delivery").write.partitionBy("delivery").parquet(env_path)
+    fx.alerts_envelope(spark, sf_dir).write.partitionBy("delivery").parquet(env_path)
     env = spark.read.parquet(env_path)
     log = CommitLog(spark, f"{root}/bronze_commits")
     for d in sorted(r[0] for r in env.select("delivery").distinct().collect()):
@@ -285,7 +285,7 @@ def _history(spark, sf_dir):
     from stratum.sources.catalog import overwrite_table, read_partitioned
     path = scratch_dir(spark, "voltage_history") + "/history"
     flat = voltage.flattened(_bronze(spark, sf_dir))
-    overwrite_table(flat, path, voltage.GOLD_PARTITION_BY)
+    overwrite_table(flat, path, voltage.GOLD_PARTITION_BY, optimize_write=True)
     return read_partitioned(spark, path, flat.schema).select(*flat.columns)
 
 

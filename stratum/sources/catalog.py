@@ -25,8 +25,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                    dynamic: bool = False, max_records_per_file: int | None = None) -> None:
-    """Batch overwrite (whole table, or only the partitions present in ``df`` when dynamic)."""
+                    dynamic: bool = False, max_records_per_file: int | None = None,
+                    optimize_write: bool = False) -> None:
+    """Batch overwrite (whole table, or only the partitions present in ``df`` when dynamic).
+
+    ``optimize_write`` rebalances rows by the partition columns first (AQE sizes the output and
+    splits a hot partition), so each folder gets a few well-sized files instead of one small file
+    per task.
+    """
+    if optimize_write and partition_by:
+        df = df.hint("rebalance", *partition_by)
     # the mode is set on every write, so the session default never changes what is replaced
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
