@@ -255,6 +255,26 @@ def q_voltage_gold(spark, sf_dir):
     return _gold_run(spark, sf_dir).read()
 
 
+@register("upsert_batches", osql.UPSERT_BATCHES)
+def q_upsert_batches(spark, sf_dir):
+    """MERGE (update all / insert all) of event batches into an initially empty target, keyed on
+    value columns, batches newest first: the last merged batch wins, whatever its timestamps."""
+    from stratum.operators.changes import merge_upsert
+    from stratum.session import scratch_dir
+    from stratum.sources.files import empty_like
+    root = scratch_dir(spark, "upsert_batches")
+    ev = fx.table(spark, sf_dir, "events")
+    blk = ((F.dayofmonth("ts") - 1) / 10).cast("int")
+    blocks = sorted(r[0] for r in ev.select(blk.alias("b")).distinct().collect())
+    target = empty_like(ev)
+    for i, b in enumerate(reversed(blocks)):
+        merged = merge_upsert(target, ev.filter(blk == b), ["user_id", "event_type"],
+                              on_multiple="latest", sequence_by="ts")
+        merged.write.parquet(f"{root}/v{i}")        # each version is a written table (lineage cut)
+        target = spark.read.parquet(f"{root}/v{i}")
+    return target
+
+
 @register("merge_log_report", osql.MERGE_LOG)
 def q_merge_log_report(spark, sf_dir):
     from stratum.operators.reports import merge_report
