@@ -22,8 +22,9 @@ def test_every_query_has_oracle_or_is_listed():
 
 
 def _digest(pdf):
+    import os
     import sys
-    sys.path.insert(0, "tools")
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
     from oracle_check import digest
     return digest(pdf)[:3]
 
