@@ -40,3 +40,26 @@ def test_table_files(spark, tmp):
     spark.range(100).repartition(4).write.parquet(f"{tmp}/t")
     rep = layout.table_files(spark.read.parquet(f"{tmp}/t")).collect()
     assert len(rep) == 4 and sum(r.rows for r in rep) == 100 and all(r.bytes > 0 for r in rep)
+
+
+def test_spread_only_coarse_scans(spark, sf, tmp):
+    from stratum.plans.fixtures import spread
+    one = spark.read.parquet(f"{sf}/events.parquet")
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    spark.range(1000).repartition(16).write.parquet(f"{tmp}/many")
+    wide = spark.read.option("maxPartitionBytes", 1).parquet(f"{tmp}/many")
+    if wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        assert spread(wide) is wide                      # already parallel: no extra shuffle
+
+
+def test_sort_cluster_ranges_do_not_overlap(spark, tmp):
+    layout.sort_cluster(spark.range(1000).withColumn("v", F.col("id") * 7 % 1000), "v", 4).write.parquet(f"{tmp}/s")
+    stats = sorted((r.min_v, r.max_v) for r in layout.file_stats(spark.read.parquet(f"{tmp}/s"), ["v"]).collect())
+    assert all(a[1] < b[0] for a, b in zip(stats, stats[1:]))
+
+
+def test_prefix_case_custom_mapping(spark):
+    from stratum.operators.joins import prefix_case
+    df = spark.createDataFrame([("ab1",), ("cd2",), (None,)], "x string")
+    out = [r.y for r in df.select(prefix_case("x", {"ab": "A", "cd": "C"}, "other").alias("y")).collect()]
+    assert out == ["A", "C", "other"]
