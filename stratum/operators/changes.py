@@ -115,16 +115,6 @@ def merge_upsert_tagged(target: DataFrame, source: DataFrame, keys: str | Sequen
     return j.select(*out, action.alias(action_col))
 
 
-def upsert_metrics(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """One row: source rows that update an existing target row vs. that are inserted."""
-    keys = _as_list(keys)
-    hit = source.join(target.select(*keys).dropna().distinct().withColumn("_hit", F.lit(1)),
-                      on=keys, how="left")
-    return hit.agg(F.count_if(F.col("_hit").isNotNull()).alias("numTargetRowsUpdated"),
-                   F.count_if(F.col("_hit").isNull()).alias("numTargetRowsInserted"),
-                   F.count(F.lit(1)).alias("numSourceRows"))
-
-
 def dedupe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Drop duplicate rows on a column subset (any one row per group survives)."""
     return df.dropDuplicates(list(cols) if cols else None)

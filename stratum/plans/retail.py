@@ -8,7 +8,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratum.functions.datetime import split_invoice_datetime
 from stratum.operators import aggregates as agg
@@ -38,11 +37,6 @@ def raw_retail_stream(spark: SparkSession, path: str, max_files: int | None = No
     return with_input_file(src)
 
 
-def raw_retail(df: DataFrame) -> DataFrame:
-    """Batch form of the raw node for frames that already carry a file column."""
-    return df if "inputFileName" in df.columns else df.withColumn("inputFileName", F.lit(None).cast("string"))
-
-
 def cleaned_retail(raw: DataFrame) -> DataFrame:
     return raw.select("*")
 
