@@ -87,3 +87,23 @@ def test_stream_table_and_stop_all(spark, tmp):
     df = stream_table(spark, f"{tmp}/t")
     q = df.writeStream.format("memory").queryName("st_all").trigger(processingTime="1 second").start()
     assert stop_all(spark) >= 1 and not q.isActive
+
+
+def test_complete_mode_batch_function_replaces_table(spark, tmp):
+    from stratum.streaming.sinks import overwrite_batch
+    fn = overwrite_batch(f"{tmp}/gold")
+    fn(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "gender string, avg_weight double"), 0)
+    fn(spark.createDataFrame([("a", 1.5)], "gender string, avg_weight double"), 1)
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp}/gold").collect()] == [("a", 1.5)]
+
+
+def test_declared_streaming_dataset_with_rules(spark, tmp):
+    from stratum.streaming.datasets import Dataset, streaming_table
+    spark.createDataFrame([(1, "x"), (None, "y"), (3, "zz")], "id long, s string").write.parquet(f"{tmp}/in")
+    src = spark.readStream.schema("id long, s string").parquet(f"{tmp}/in")
+    ds = Dataset("rules_ds", f"{tmp}/out", drop_rules={"has_id": "id IS NOT NULL"},
+                 warn_rules={"short_s": "length(s) < 2"}, properties={"quality": "silver"})
+    q = streaming_table(spark, ds, src, f"{tmp}/ck")
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/out").collect()) == [1, 3]
+    m = [p["observedMetrics"] for p in q.recentProgress if p.get("observedMetrics")][0]["rules_ds_expectations"]
+    assert (m["rows"], m["violations_has_id"], m["violations_short_s"]) == (3, 1, 1)
