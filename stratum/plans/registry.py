@@ -174,7 +174,6 @@ from stratum.operators.changes import dedupe, retention  # noqa: E402
 from stratum.plans import voltage  # noqa: E402
 
 FLAT_COLS = [c.strip() for c in osql.FLAT_COLS.split(",")]
-BRONZE_COLS = [c.strip().strip('"') for c in osql.BRONZE_COLS.split(",")]
 AS_OF = "2024-04-15"
 
 
