@@ -230,19 +230,24 @@ def q_region_case(spark, sf_dir):
 
 
 def _gold_run(spark, sf_dir):
-    """Upsert the enriched alerts delivery by delivery (the foreachBatch function, driven in order)."""
+    """Upsert the enriched alerts delivery by delivery (the foreachBatch function, driven in order).
+
+    The per-batch transformations (parse, dedupe within the batch, enrich) run for all deliveries
+    in one parallel pass, written partitioned by delivery; each micro-batch then reads its folder.
+    """
     from stratum.session import scratch_dir
     root = scratch_dir(spark, "voltage_gold")
-    env_path = f"{root}/envelope"
-    fx.alerts_envelope(spark, sf_dir).write.partitionBy("delivery").parquet(env_path)
-    env = spark.read.parquet(env_path)
+    env = fx.alerts_envelope(spark, sf_dir)
     lookup = _lookup(spark, sf_dir)
     conn = fx.connectivity(spark, sf_dir)
-    deliveries = sorted(r[0] for r in env.select("delivery").distinct().collect())
+    batches = voltage.enriched(voltage.silver(voltage.bronze(env, keep=["delivery"]), keep=["delivery"]),
+                               lookup, conn)
+    batches.write.partitionBy("delivery").parquet(f"{root}/batches")
+    staged = spark.read.parquet(f"{root}/batches")
+    deliveries = sorted(r[0] for r in staged.select("delivery").distinct().collect())
     table = None
     for d in deliveries:
-        batch = voltage.enriched(voltage.silver(voltage.bronze(env.filter(F.col("delivery") == d))),
-                                 lookup, conn)
+        batch = staged.filter(F.col("delivery") == d).drop("delivery")
         if table is None:
             table = voltage.gold_table(spark, f"{root}/view", batch.schema)
         table.merge_batch(batch, int(d))

@@ -34,15 +34,18 @@ def flattened(bronze_df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return flatten_alerts(bronze_df, keep=keep)
 
 
-def silver(bronze_df: DataFrame) -> DataFrame:
-    """Flattened alerts without exact repeats (6-column key).
+def silver(bronze_df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Flattened alerts without exact repeats (6-column key, plus any ``keep`` columns such as a
+    micro-batch id, so that repeats are removed within each batch).
 
     The repeats are removed before the date parts are derived: the dedupe is then a plain distinct
-    over the six columns (hash aggregate with a map-side partial), and the parts are computed once
+    over the key columns (hash aggregate with a map-side partial), and the parts are computed once
     per surviving row.
     """
-    base = dedupe(flatten_alerts(bronze_df, time_parts=False), DEDUPE_COLUMNS)
-    return with_time_parts(base, "event_timestamp", "event")
+    keep = list(keep or [])
+    base = dedupe(flatten_alerts(bronze_df, time_parts=False, keep=keep), DEDUPE_COLUMNS + keep)
+    out = with_time_parts(base, "event_timestamp", "event")
+    return out.select(*[c for c in out.columns if c not in keep], *keep)
 
 
 def alert_lookup(spark: SparkSession, path: str) -> DataFrame:
