@@ -139,6 +139,13 @@ def cascade(df: DataFrame, rules: tuple[Rule, ...], alive: Column | None = None)
     return df
 
 
+def kept() -> Column:
+    """Whether no rule has rejected the row. The number, always true, is not deterministic to Spark, so
+    a filter on this column isn't pushed below the columns that it rests on; there, the array of
+    words would be built anew for each window."""
+    return m("rejected_by").isNull() & (F.monotonically_increasing_id() >= 0)
+
+
 def ordered_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS,
                   text_col: str = "text") -> tuple[Rule, ...]:
     """The rules by rejection per cost on a sample of at most ``sample_rows`` rows."""
@@ -167,13 +174,14 @@ def quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_
     df = cascade(df, rest, ~m("failed"))
     return df.select(id_col, *[m(c).alias(c) for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-        m("failed").alias("base_failed"), m("rejected_by").isNull().alias("kept"))
+        m("failed").alias("base_failed"), kept().alias("kept"))
 
 
 def keep_good(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text") -> DataFrame:
     """The rows that no rule rejects, with their columns as they were."""
     df = cascade(with_text(docs, text_col), ordered_rules(docs, RULES, sample_rows, text_col))
-    return df.filter(m("rejected_by").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return df.select(*own, kept().alias(TMP + "kept")).filter(m("kept")).select(*own)
 
 
 _WORD = "'[^ \\t-\\r]+'"
