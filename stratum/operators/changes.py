@@ -82,16 +82,34 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]
 def merge_upsert_tagged(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
                         action_col: str = "_merge_action",
                         sequence_by: str | Sequence[str] | None = None) -> DataFrame:
-    """The same MERGE as one full outer join, each row tagged 'update', 'insert' or 'keep'.
+    """The same MERGE, each row tagged 'update', 'insert' or 'keep'.
 
-    One shuffle of both sides; the tag gives the merge metrics from the same pass that writes the
-    result. Several source rows with one key all survive (as with ``on_multiple="all"``).
+    All target rows whose key is in the source give way to the source's rows of that key, so applying a
+    batch again leaves the table as it is, also where several rows share a key. NULL keys match
+    nothing and go around the joins.
 
     With ``sequence_by`` it is apply-changes instead: a matched key takes the source row only if
     its (sequence, other columns) is greater than the stored row's, in the total order of
     ``latest_per_key``; an older change arriving late leaves the stored row ('keep').
     """
-    keys = _as_list(keys)
+    names = _as_list(keys)
+    known = F.lit(True)
+    for k in names:
+        known = known & F.col(k).isNotNull()
+    source = source.select(*target.columns)
+    around = source.filter(~known).withColumn(action_col, F.lit("insert")) \
+        .unionByName(target.filter(~known).withColumn(action_col, F.lit("keep")))
+    source, target = source.filter(known), target.filter(known)
+    if sequence_by:
+        return _apply_tagged(target, source, names, action_col, sequence_by).unionByName(around)
+    had = target.select(*names).distinct().withColumn(action_col, F.lit("update"))
+    taken = source.join(had, names, "left").select(*source.columns, F.coalesce(action_col, F.lit("insert")).alias(action_col))
+    kept = target.join(source.select(*names), names, "left_anti").select(*target.columns, F.lit("keep").alias(action_col))
+    return taken.unionByName(kept).unionByName(around)
+
+
+def _apply_tagged(target: DataFrame, source: DataFrame, keys: list[str], action_col: str,
+                  sequence_by: str | Sequence[str]) -> DataFrame:
     cols = [c for c in target.columns]
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_s"))
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_t"))
@@ -102,13 +120,10 @@ def merge_upsert_tagged(target: DataFrame, source: DataFrame, keys: str | Sequen
     j = s.join(t, on=cond, how="full_outer")
     has_s = F.coalesce(F.col("_s"), F.lit(False))
     has_t = F.coalesce(F.col("_t"), F.lit(False))
-    if sequence_by:
-        seq = _as_list(sequence_by)
-        order = seq + [c for c in cols if c not in keys and c not in seq]
-        newer = F.struct(*[F.col(f"_s_{c}") for c in order]) > F.struct(*[F.col(f"_t_{c}") for c in order])
-        take_s = has_s & (~has_t | newer)
-    else:
-        take_s = has_s
+    seq = _as_list(sequence_by)
+    order = seq + [c for c in cols if c not in keys and c not in seq]
+    newer = F.struct(*[F.col(f"_s_{c}") for c in order]) > F.struct(*[F.col(f"_t_{c}") for c in order])
+    take_s = has_s & (~has_t | newer)
     out = [F.when(take_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in cols]
     action = (F.when(take_s & has_t, F.lit("update")).when(take_s, F.lit("insert"))
                .otherwise(F.lit("keep")))

@@ -12,6 +12,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Size of a data file that layout jobs aim at.
+FILE_BYTES = 128 << 20
+
+
+def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Files to write for the frame's estimated size (the planner's statistics; no job)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-size // file_bytes))
+
+
+def _rank(df: DataFrame, col: str) -> Column:
+    """An order-preserving number for a column of any orderable type: text by its first six bytes,
+    dates and timestamps (with or without zone) by microseconds."""
+    kind, c = df.schema[col].dataType.typeName(), F.col(col)
+    if kind in ("string", "binary", "varchar", "char"):
+        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("int").cast("double") if kind == "boolean" else c.cast("double")
+
+
 def _quantile_buckets(df: DataFrame, cols: Sequence[str], bits: int, relative_error: float) -> DataFrame:
     """Rank-bucket every column into [0, 2^bits) with approximate quantile bounds (JVM binary search).
 
@@ -20,7 +42,7 @@ def _quantile_buckets(df: DataFrame, cols: Sequence[str], bits: int, relative_er
     """
     from pyspark.ml.feature import QuantileDiscretizer
     src = [f"__zsrc_{c}" for c in cols]
-    out = df.withColumns({s: F.col(c).cast("double") for s, c in zip(src, cols)})
+    out = df.withColumns({s: _rank(df, c) for s, c in zip(src, cols)})
     qd = QuantileDiscretizer(numBuckets=1 << bits, inputCols=src, outputCols=[f"__zb_{c}" for c in cols],
                              relativeError=relative_error, handleInvalid="keep")
     model = qd.fit(out)
@@ -45,10 +67,12 @@ def zorder_value(cols: Sequence[str], bits: int) -> Column:
     return z
 
 
-def cluster_by_zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int | None = None,
+def cluster_by_zorder(df: DataFrame, cols: Sequence[str], files: int | None = None, bits: int | None = None,
                       relative_error: float = 0.001) -> DataFrame:
-    """Rows range-partitioned into ``files`` partitions by Z-value and sorted within each."""
+    """Rows range-partitioned into ``files`` partitions (by default as many as the size asks for) by
+    Z-value and sorted within each."""
     cols = list(cols)
+    files = files or file_count(df)
     bits = bits or max(1, min(10, 62 // len(cols)))
     b = _quantile_buckets(df, cols, bits, relative_error)
     z = b.withColumn("__z", zorder_value(cols, bits))

@@ -665,11 +665,11 @@ def q_register_table(spark, sf_dir):
     return spark.table(name)
 
 
-def _zordered(spark, sf_dir, files=15):
+def _zordered(spark, sf_dir):
     from stratum.session import scratch_dir
     path = scratch_dir(spark, "zorder") + "/events"
     ev = fx.table(spark, sf_dir, "events")
-    layout.cluster_by_zorder(ev, ["user_id", "value"], files).write.parquet(path)
+    layout.cluster_by_zorder(ev, ["user_id", "value"]).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -696,7 +696,7 @@ def q_file_report(spark, sf_dir):
 
 @register("zorder_overlap")
 def q_zorder_overlap(spark, sf_dir):
-    """Files a point predicate on each clustered column must open, after Z-ordering 15 files."""
+    """Files a point predicate on each clustered column must open, after Z-ordering."""
     z = _zordered(spark, sf_dir)
     stats = layout.file_stats(z, ["user_id", "value"])
     probe = fx.table(spark, sf_dir, "events").agg(F.percentile_approx("user_id", 0.5).alias("u"),

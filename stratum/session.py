@@ -50,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")

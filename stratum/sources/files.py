@@ -29,40 +29,17 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: Schema | None =
     return r.options(**options).csv(path)
 
 
-def sample_files(spark: SparkSession, path: str, max_files: int) -> list[str]:
-    """Up to ``max_files`` data files under ``path`` (recursive), from a file-system listing.
-
-    The listing is an iterator, so only as many entries as needed are fetched; hidden and
-    bookkeeping files (``_SUCCESS``, ``.crc``, ``_spark_metadata``) are skipped.
-    """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(p, True)
-    out: list[str] = []
-    while it.hasNext() and len(out) < max_files:
-        f = it.next().getPath()
-        rel = f.toString()[len(p.toString()):]
-        if any(part.startswith(("_", ".")) for part in rel.split("/") if part):
-            continue
-        out.append(f.toString())
-    return out
-
-
 def infer_schema(spark: SparkSession, path: str | list[str], fmt: str = "csv",
-                 sampling_ratio: float = 1.0, max_files: int | None = 64, **options) -> StructType:
-    """Infer a schema once, from a bounded sample, and keep only the schema.
+                 sampling_ratio: float = 1.0, **options) -> StructType:
+    """Infer a schema once and keep only the schema.
 
-    The sample is at most ``max_files`` files (``None``: all) and ``samplingRatio`` of their rows:
-    the cost does not grow with the table. (A ``limit`` after the read would not bound inference.)
+    Every file is read (a distributed pass), so a value or a column that only some file holds counts;
+    ``sampling_ratio`` below 1 is the caller's own choice to look at fewer rows.
     """
-    paths = path
-    if max_files is not None and isinstance(path, str):
-        paths = sample_files(spark, path, max_files) or path
     r = spark.read.options(**options).option("samplingRatio", sampling_ratio)
     if fmt == "csv":
         r = r.option("header", options.get("header", True)).option("inferSchema", True)
-    return r.format(fmt).load(paths).schema
+    return r.format(fmt).load(path).schema
 
 
 def stream_files(spark: SparkSession, path: str, fmt: str, schema: Schema,

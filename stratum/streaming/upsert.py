@@ -38,7 +38,6 @@ COMMIT_SCHEMA = StructType([
     StructField("operation", StringType()),
     StructField("operationMetrics", MapType(StringType(), StringType())),
 ])
-MAX_PRUNED_PARTITIONS = 10_000
 
 
 class CommitLog:
@@ -137,29 +136,19 @@ class UpsertTable:
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def _touched(self, target: DataFrame, source: DataFrame, parts: list | None = None) -> DataFrame:
-        """Target rows in the partitions the batch writes to (NULL partition values included)."""
+    def _touched(self, target: DataFrame, source: DataFrame) -> DataFrame:
+        """Target rows in the partitions the batch writes to; rows of a NULL partition always.
+
+        A semi join on the partition columns, whatever the number of partitions of a batch.
+        """
         if not self.partition_by:
             return target
-        if parts is None:
-            parts = source.select(*self.partition_by).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
-        if len(parts) > MAX_PRUNED_PARTITIONS:      # unusually wide batch: semi join, no listing pruning
-            p = source.select(*[F.col(c).alias(f"_p_{c}") for c in self.partition_by]).distinct()
-            cond = None
-            for c in self.partition_by:
-                e = target[c].eqNullSafe(p[f"_p_{c}"])
-                cond = e if cond is None else cond & e
-            return target.join(p, on=cond, how="left_semi")
-        if not parts:
-            return target.limit(0)
-        pred = None
-        for row in parts:
-            e = None
-            for c in self.partition_by:
-                t = F.col(c).eqNullSafe(F.lit(row[c]).cast(self.schema[c].dataType))
-                e = t if e is None else e & t
-            pred = e if pred is None else pred | e
-        return target.filter(pred)
+        no_value = F.lit(False)
+        for c in self.partition_by:
+            no_value = no_value | F.col(c).isNull()
+        parts = source.select(*self.partition_by).filter(~no_value).distinct()
+        return target.filter(~no_value).join(parts, self.partition_by, "left_semi").select(*target.columns) \
+            .unionByName(target.filter(no_value))
 
     def _source(self, batch: DataFrame) -> DataFrame:
         src = dedupe(batch.select(*self.columns), self.dedupe_cols)
@@ -182,18 +171,9 @@ class UpsertTable:
             # the batch is evaluated once: written to staging, then read for partitions and merge
             src_path = f"{staged_path}_source"
             src = self._source(batch)
-            parts = None
-            if self.partition_by:
-                # the batch's partition values ride along with the staging write; a batch spans a
-                # bounded number of partitions, the observed set is capped and checked
-                seen = Observation(f"parts_{self.sink_id}_{int(batch_id)}")
-                src = src.observe(seen, F.slice(F.collect_set(F.struct(*self.partition_by)), 1,
-                                                MAX_PRUNED_PARTITIONS + 1).alias("parts"))
             overwrite_table(src, src_path)
-            if self.partition_by:
-                parts = [p.asDict() for p in (seen.get["parts"] or [])]
             source = self.spark.read.schema(self.schema).parquet(src_path)
-            target = self._touched(self.read(), source, parts)
+            target = self._touched(self.read(), source)
             merged = merge_upsert_tagged(target, source, self.keys,
                                          sequence_by=self.sequence_by if self.on_multiple == "latest" else None)
             obs = Observation(f"merge_{self.sink_id}_{int(batch_id)}")

@@ -108,3 +108,11 @@ def test_apply_changes_is_idempotent(spark, tmp):
     assert t.merge_batch(b, 0) is None                     # same batch id: skipped
     m = t.merge_batch(b, 1)                                # same rows again under a new id
     assert _rows(t.read()) == once and m["numTargetRowsInserted"] == 0
+
+
+def test_merge_of_shared_keys_is_stable(spark):
+    b = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), (None, 2, "n")], SCHEMA)
+    t = b.limit(0)
+    for n in (3, 4, 5):                                        # only the NULL key is added each time
+        t = spark.createDataFrame(merge_upsert_tagged(t, b, ["k"]).drop("_merge_action").collect(), SCHEMA)
+        assert t.count() == n and t.filter("k = 'a'").count() == 2

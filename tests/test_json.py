@@ -40,11 +40,16 @@ def test_explode_expectations(spark):
     assert r1.last_updated_hr == 97200                           # 03:46:40 truncated to 03:00
 
 
-def test_infer_schema_reads_a_bounded_sample(spark, tmp):
-    from stratum.sources.files import infer_schema, sample_files
-    for i in range(5):
-        spark.createDataFrame([(i, f"v{i}")], "a long, b string").coalesce(1).write.json(f"{tmp}/j/p{i}")
-    files = sample_files(spark, f"{tmp}/j", 3)
-    assert len(files) == 3 and all(f.endswith(".json") for f in files)
-    schema = infer_schema(spark, f"{tmp}/j", "json", max_files=2)
-    assert schema.fieldNames() == ["a", "b"]
+def test_infer_schema_sees_every_file(spark, tmp):
+    from stratum.sources.files import infer_schema, read_csv
+    from pyspark.sql import functions as F
+    # integers in all files but the last ones, which hold fractions
+    rows = spark.range(400).select("id", F.when(F.col("id") < 390, F.col("id").cast("string"))
+                                   .otherwise(F.concat(F.col("id").cast("string"), F.lit(".5"))).alias("val"))
+    rows.repartitionByRange(200, "id").write.option("header", True).csv(f"{tmp}/c")
+    schema = infer_schema(spark, f"{tmp}/c", "csv")
+    assert schema["val"].dataType.typeName() == "double"
+    assert read_csv(spark, f"{tmp}/c", schema=schema).filter("val IS NULL").count() == 0
+    spark.createDataFrame([(1, "x")], "a long, b string").write.json(f"{tmp}/j/p0")
+    spark.createDataFrame([(1, 2.5)], "a long, late double").write.json(f"{tmp}/j/p1")
+    assert infer_schema(spark, f"{tmp}/j/*", "json").fieldNames() == ["a", "b", "late"]

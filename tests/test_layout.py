@@ -42,14 +42,19 @@ def test_table_files(spark, tmp):
     assert len(rep) == 4 and sum(r.rows for r in rep) == 100 and all(r.bytes > 0 for r in rep)
 
 
-def test_spread_only_coarse_scans(spark, sf, tmp):
-    from stratum.plans.fixtures import spread
-    one = spark.read.parquet(f"{sf}/events.parquet")
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.range(1000).repartition(16).write.parquet(f"{tmp}/many")
-    wide = spark.read.option("maxPartitionBytes", 1).parquet(f"{tmp}/many")
-    if wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        assert spread(wide) is wide                      # already parallel: no extra shuffle
+def test_zorder_takes_text_dates_and_ntz(spark, tmp):
+    df = spark.range(200).select("id", F.when(F.col("id") % 9 != 0, F.concat(F.lit("n"), F.col("id") % 7)).alias("name"),
+                                 F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,id)").alias("ts"),
+                                 F.expr("date'2024-01-01' + cast(id as int)").alias("day"), (F.col("id") % 2 == 0).alias("flag"))
+    layout.cluster_by_zorder(df, ["name", "ts", "day", "flag"], 4).write.parquet(f"{tmp}/z")
+    assert _multiset(spark.read.parquet(f"{tmp}/z")) == _multiset(df)
+    spread = layout.file_stats(spark.read.parquet(f"{tmp}/z"), ["ts"])
+    assert layout.files_overlapping(spread, "ts", df.first().ts).count() < 4
+
+
+def test_file_count_follows_bytes(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    assert layout.file_count(ev, 1 << 40) == 1 and layout.file_count(ev, 1024) > layout.file_count(ev, 4096) > 1
 
 
 def test_sort_cluster_ranges_do_not_overlap(spark, tmp):

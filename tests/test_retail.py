@@ -41,55 +41,15 @@ def test_top_ten_is_total_order(spark):
     assert top == sorted(str(i) for i in range(12))[:10]
 
 
-def _lpad(s, n, pad):
-    """SQL lpad: truncate to n, else left-fill by repeating the pad string."""
-    if s is None:
-        return None
-    if len(s) >= n:
-        return s[:n]
-    fill = (pad * n)[: n - len(s)]
-    return fill + s
-
-
-def _model(text):
-    """The declared clean-up (split on ' ', then '/', pad, concat, cast) in plain Python."""
-    import datetime as dt
-    if text is None:
-        return None, None, None
-    parts = text.split(" ")
-    dp = parts[0].split("/")
-    get = lambda a, i: a[i] if i < len(a) else None
-    y, m, d, t = _lpad(get(dp, 2), 4, "20"), _lpad(get(dp, 0), 2, "0"), _lpad(get(dp, 1), 2, "0"), get(parts, 1)
-    date = None if None in (y, m, d) else f"{y}-{m}-{d}"
-    clean_t = _lpad(t, 5, "0")
-    ts = None
-    if date is not None and clean_t is not None:
-        try:
-            ts = dt.datetime.strptime(f"{date} {clean_t}", "%Y-%m-%d %H:%M")
-        except ValueError:
-            ts = None
-    return date, clean_t, ts
-
-
-def test_invoice_clean_up_matches_model(spark):
-    import random
-    rnd = random.Random(5)
-    num = lambda lo, hi, width=None: str(rnd.randint(lo, hi)).zfill(width or 1)
-    texts = []
-    for _ in range(3000):
-        kind = rnd.random()
-        year = num(0, 99, 2) if rnd.random() < 0.5 else num(1990, 2030)
-        date = f"{num(1, 13)}/{num(1, 32)}/{year}"
-        clock = rnd.choice([f"{num(0, 24)}:{num(0, 59, 2)}", f"{num(0, 23)}:{num(0, 59, 2)}:{num(0, 59, 2)}",
-                            f"{num(0, 23)}:{num(0, 9)}", ""])
-        if kind < 0.8:
-            texts.append(f"{date} {clock}".strip())
-        elif kind < 0.9:
-            texts.append(rnd.choice(["bad date", "", "1/2", "//", "1/2/3/4 5:06", "a/b/c d:ef"]))
-        else:
-            texts.append(None)
-    got = _clean(spark, texts)
-    for text, (d, t, ts) in zip(texts, got):
-        md, mt, mts = _model(text)
-        assert (d, t) == (md, mt), text
-        assert ts == (str(mts) if mts else None), text
+def test_invoice_clean_up_of_odd_texts(spark):
+    expected = {
+        "2/29/12 0:00": ("2012-02-29", "00:00", "2012-02-29 00:00:00"),
+        "2/29/11 0:00": ("2011-02-29", "00:00", None),             # no such day
+        "13/1/10 9:05": ("2010-13-01", "09:05", None),             # no such month
+        "6/7/8 9:05": ("2028-06-07", "09:05", "2028-06-07 09:05:00"),
+        "1/2": (None, None, None),
+        "": (None, None, None),
+        "1/2/2003 7:5": ("2003-01-02", "007:5", None),
+        "x": (None, None, None),
+    }
+    assert dict(zip(expected, _clean(spark, list(expected)))) == expected
