@@ -2,8 +2,8 @@
 
 ``from_xml`` parses JVM-side against a declared schema. Unlike ``xpath`` it does not fail the job on
 a malformed body: the parsed struct comes back with NULL fields, so such messages can be routed to
-quarantine. Reading whole ``Event`` structs keeps every event's timestamp and alert code together,
-and each event inherits its message's meter and delivery point.
+quarantine. Reading whole ``MeterReading`` and ``Event`` structs keeps every event's timestamp and alert
+code together, and each event inherits its reading's meter and delivery point.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from stratum.functions.datetime import parse_utc_millis, with_time_parts
 # The element layout of the alert message (root element: Envelope).
 ALERT_XML_SCHEMA = (
     "Body struct<MeterReadsReplyMessage: struct<payload: struct<"
-    "MeterReading: struct<Meter: struct<mRID: string>, ServiceDeliveryPoint: struct<mRID: string>, "
-    "Event: array<struct<timestamp: string, argument: array<struct<value: string>>>>>, "
+    "MeterReading: array<struct<Meter: struct<mRID: string>, ServiceDeliveryPoint: struct<mRID: string>, "
+    "Event: array<struct<timestamp: string, argument: array<struct<value: string>>>>>>, "
     "endTime: string>>>"
 )
 ALERT_CODE_ARGUMENT = 6          # the alert code is the value of the 6th argument
@@ -32,30 +32,33 @@ def parse_alert_body(df: DataFrame, body: str = "Body") -> DataFrame:
 
 
 def malformed_alerts(bronze: DataFrame, body: str = "Body") -> DataFrame:
-    """Messages whose body does not parse into a meter reading (quarantine)."""
+    """Messages whose body holds no meter reading (quarantine): exactly those without a row in
+    ``flatten_alerts``."""
     p = parse_alert_body(bronze, body)
-    return p.filter(F.col("_payload.MeterReading").isNull()).drop("_payload")
+    readings = F.coalesce(F.size("_payload.MeterReading"), F.lit(0))
+    return p.filter(readings <= 0).drop("_payload")
 
 
 def flatten_alerts(bronze: DataFrame, body: str = "Body",
                    received: str = "ReceivedTime", keep: list[str] | None = None,
                    time_parts: bool = True) -> DataFrame:
-    """One row per Event: guid, mpan, event_timestamp, alert_code, end_time, received_timestamp,
+    """One row per Event of each MeterReading: guid, mpan, event_timestamp, alert_code, end_time, received_timestamp,
     plus event_date and event_year / _month / _day / _hour strings.
 
-    Messages without events (or not parseable) produce no rows; a missing 6th argument gives a
-    NULL alert code; a timestamp without millis gives a NULL event time. ``keep`` columns of the
+    A reading without events gives one row with a NULL event time and code; messages without readings
+    (or not parseable) produce no rows; a missing 6th argument gives a NULL alert code; a timestamp without millis gives a NULL event time. ``keep`` columns of the
     message are carried onto each of its events.
     """
     keep = list(keep or [])
     p = parse_alert_body(bronze, body)
-    reading = F.col("_payload.MeterReading")
-    events = p.select(
-        reading.getField("Meter").getField("mRID").alias("guid"),
-        reading.getField("ServiceDeliveryPoint").getField("mRID").alias("mpan"),
-        F.explode(reading.getField("Event")).alias("ev"),
-        F.col("_payload.endTime").alias("end_text"),
-        F.col(received).alias("received_timestamp"), *keep)
+    readings = p.select(F.explode("_payload.MeterReading").alias("reading"),
+                        F.col("_payload.endTime").alias("end_text"),
+                        F.col(received).alias("received_timestamp"), *keep)
+    events = readings.select(
+        F.col("reading.Meter.mRID").alias("guid"),
+        F.col("reading.ServiceDeliveryPoint.mRID").alias("mpan"),
+        F.explode_outer("reading.Event").alias("ev"),
+        "end_text", "received_timestamp", *keep)
     flat = events.select(
         "guid", "mpan",
         parse_utc_millis(F.col("ev.timestamp")).alias("event_timestamp"),

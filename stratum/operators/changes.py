@@ -145,11 +145,15 @@ def _as_of_col(as_of: object | None, kind: str) -> Column:
     return F.lit(as_of).cast("date" if kind == "date" else "timestamp")
 
 
+def months_old(col: Column, as_of: object | None, kind: str = "date") -> Column:
+    return F.months_between(_as_of_col(as_of, kind), col)
+
+
 def retention(df: DataFrame, col: str, months: float = 3, as_of: object | None = None,
               kind: str = "date") -> DataFrame:
     """Rows that survive ``DELETE ... WHERE months_between(as_of, col) > months``.
 
     A row whose age is unknown (NULL) is kept, as DELETE would keep it.
     """
-    old = F.months_between(_as_of_col(as_of, kind), F.col(col)) > F.lit(months)
+    old = months_old(F.col(col), as_of, kind) > F.lit(months)
     return df.filter(~F.coalesce(old, F.lit(False)))

@@ -17,6 +17,9 @@ RETAIL_NULL_CUSTOMER_MOD = 17     # o_custkey   -> CustomerID NULL
 RETAIL_NULL_DATE_MOD = 31         # l_partkey   -> InvoiceDate NULL
 RETAIL_BAD_DATE_MOD = 23          # l_partkey   -> InvoiceDate 'bad date'
 ALERT_SECOND_EVENT_MOD = 11       # event_id    -> message carries a second Event
+ALERT_SECOND_READING_MOD = 19     # event_id    -> message carries a reading of the next meter too
+ALERT_NO_EVENT_MOD = 59           # event_id    -> first reading carries no Event
+ALERT_LATE_MOD = 67               # event_id    -> message delivered one batch late
 ALERT_FIVE_ARGS_MOD = 13          # event_id    -> sixth argument missing (no alert code)
 ALERT_NO_MILLIS_MOD = 53          # event_id    -> event time written without millis
 ALERT_MALFORMED_MOD = 97          # event_id    -> body cut short (malformed XML)
@@ -122,6 +125,13 @@ def _arguments(values: list[Column]) -> Column:
     return F.concat(*[F.concat(F.lit("<argument><value>"), v, F.lit("</value></argument>")) for v in values])
 
 
+def _reading(uid: Column, events: Column) -> Column:
+    return F.concat(
+        F.lit("<MeterReading><Meter><mRID>"), F.concat(F.lit("M"), F.lpad(uid.cast("string"), 8, "0")),
+        F.lit("</mRID></Meter><ServiceDeliveryPoint><mRID>"), _mpan(uid), F.lit("</mRID></ServiceDeliveryPoint>"),
+        events, F.lit("</MeterReading>"))
+
+
 def alert_body(ev: DataFrame) -> Column:
     """The XML body text of the message for one event row."""
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -138,13 +148,14 @@ def alert_body(ev: DataFrame) -> Column:
     event2 = F.when(eid % ALERT_SECOND_EVENT_MOD == 0,
                     F.concat(F.lit("<Event><timestamp>"), ev2_text, F.lit("</timestamp>"),
                              _arguments(five + [code]), F.lit("</Event>"))).otherwise(F.lit(""))
+    events = F.when(eid % ALERT_NO_EVENT_MOD == 0, F.lit("")).otherwise(F.concat(event1, event2))
+    event3 = F.concat(F.lit("<Event><timestamp>"), _iso_millis(ev_ts + F.make_dt_interval(secs=F.lit(2))),
+                      F.lit("</timestamp>"), _arguments(five + [code]), F.lit("</Event>"))
+    second = F.when(eid % ALERT_SECOND_READING_MOD == 0, _reading(uid + 1, event3)).otherwise(F.lit(""))
     end_text = _iso_millis(F.col("ts") + F.make_dt_interval(mins=F.lit(15)))
     xml = F.concat(
-        F.lit("<Envelope><Body><MeterReadsReplyMessage><payload><MeterReading>"),
-        F.lit("<Meter><mRID>"), F.concat(F.lit("M"), F.lpad(uid.cast("string"), 8, "0")), F.lit("</mRID></Meter>"),
-        F.lit("<ServiceDeliveryPoint><mRID>"), _mpan(uid), F.lit("</mRID></ServiceDeliveryPoint>"),
-        event1, event2,
-        F.lit("</MeterReading><endTime>"), end_text,
+        F.lit("<Envelope><Body><MeterReadsReplyMessage><payload>"), _reading(uid, events), second,
+        F.lit("<endTime>"), end_text,
         F.lit("</endTime></payload></MeterReadsReplyMessage></Body></Envelope>"))
     return F.when(eid % ALERT_MALFORMED_MOD == 0, F.substring(xml, 1, 120)).otherwise(xml)
 
@@ -155,11 +166,13 @@ ALERT_DELIVERY_DAYS = 10          # deliveries (micro-batches) cover 10 days of
 def alerts_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as (offset string, enqueuedTime, body binary, delivery).
 
-    ``delivery`` numbers the micro-batch a message arrives in (by 10-day blocks of receive time);
+    ``delivery`` numbers the micro-batch a message arrives in (by 10-day blocks of receive time; late
+    messages in the next one);
     a replayed message is an exact copy delivered again in the next batch.
     """
     ev = table(spark, sf_dir, "events")
-    delivery = ((F.dayofmonth("ts") - 1) / ALERT_DELIVERY_DAYS).cast("int")
+    late = (F.col("event_id") % ALERT_LATE_MOD == 0).cast("int")
+    delivery = ((F.dayofmonth("ts") - 1) / ALERT_DELIVERY_DAYS).cast("int") + late
     env = ev.select(F.col("event_id").cast("string").alias("offset"),
                     F.col("ts").alias("enqueuedTime"),
                     F.encode(alert_body(ev), "UTF-8").alias("body"),

@@ -170,7 +170,7 @@ def q_retail_dag(spark, sf_dir):
 # ------------------------------------------------------------------------------- voltage alerts
 from stratum.functions.xml import DEDUPE_COLUMNS  # noqa: E402
 from stratum.operators import aggregates as agg  # noqa: E402
-from stratum.operators.changes import dedupe, retention  # noqa: E402
+from stratum.operators.changes import dedupe  # noqa: E402
 from stratum.plans import voltage  # noqa: E402
 
 FLAT_COLS = [c.strip() for c in osql.FLAT_COLS.split(",")]
@@ -303,14 +303,21 @@ def q_commit_log_report(spark, sf_dir):
     return commit_report(log.read()).select("version", "operation", "num_rows_written")
 
 
-def _history(spark, sf_dir):
-    """Gold history: flattened alerts appended, partitioned by event date; read with its schema."""
+def _stored_history(spark, sf_dir):
+    """Gold history: flattened alerts appended, partitioned by event date. Returns (path, schema)."""
     from stratum.session import scratch_dir
-    from stratum.sources.catalog import overwrite_table, read_partitioned
+    from stratum.sources.catalog import overwrite_table
     path = scratch_dir(spark, "voltage_history") + "/history"
     flat = voltage.flattened(_bronze(spark, sf_dir))
     overwrite_table(flat, path, voltage.GOLD_PARTITION_BY, optimize_write=True)
-    return read_partitioned(spark, path, flat.schema).select(*flat.columns)
+    return path, flat.schema
+
+
+def _history(spark, sf_dir):
+    """The gold history read with its schema."""
+    from stratum.sources.catalog import read_partitioned
+    path, schema = _stored_history(spark, sf_dir)
+    return read_partitioned(spark, path, schema).select(*schema.fieldNames())
 
 
 @register("voltage_history", osql.FLATTEN)
@@ -382,17 +389,25 @@ def q_recon_compare(spark, sf_dir):
 SELECT {osql.BRONZE_COLS} FROM ({osql.BRONZE})
 WHERE NOT COALESCE(CAST(ReceivedDate AS DATE) < DATE '2024-01-15', FALSE)""")
 def q_retention_delete(spark, sf_dir):
-    """Bronze after DELETE WHERE months_between(as_of, ReceivedDate) > 3 (as_of fixed: 2024-04-15)."""
-    return retention(_bronze(spark, sf_dir), "ReceivedDate", 3, as_of=AS_OF, kind="date")
+    """Stored bronze after DELETE WHERE months_between(as_of, ReceivedDate) > 3 (as_of fixed: 2024-04-15)."""
+    from stratum.session import scratch_dir
+    from stratum.sources.catalog import delete_expired, overwrite_table, read_partitioned
+    path, bronze = scratch_dir(spark, "retention") + "/bronze", _bronze(spark, sf_dir)
+    overwrite_table(bronze, path, voltage.BRONZE_PARTITION_BY, optimize_write=True)
+    delete_expired(spark, path, bronze.schema, "ReceivedDate", voltage.BRONZE_PARTITION_BY, 3, AS_OF, "date")
+    return read_partitioned(spark, path, bronze.schema).select(*bronze.columns)
 
 
 @register("retention_delete_ts", f"""
 SELECT {osql.FLAT_COLS} FROM ({osql._FLAT_BASE})
 WHERE NOT COALESCE(event_timestamp < TIMESTAMP '2024-01-15 00:00:00', FALSE)""")
 def q_retention_delete_ts(spark, sf_dir):
-    """Gold history after DELETE WHERE months_between(as_of, event_timestamp) > 3."""
-    return retention(_history(spark, sf_dir), "event_timestamp", 3, as_of=AS_OF + " 00:00:00",
-                     kind="timestamp")
+    """Stored gold history after DELETE WHERE months_between(as_of, event_timestamp) > 3."""
+    from stratum.sources.catalog import delete_expired, read_partitioned
+    path, schema = _stored_history(spark, sf_dir)
+    delete_expired(spark, path, schema, "event_timestamp", voltage.GOLD_PARTITION_BY, 3, AS_OF + " 00:00:00",
+                   "timestamp")
+    return read_partitioned(spark, path, schema).select(*schema.fieldNames())
 
 
 @register("table_counts", f"""
@@ -568,12 +583,11 @@ def q_stream_window_count(spark, sf_dir):
                                     F.col("end_time").cast("timestamp_ntz").alias("end_time"), "count")
 
 
-@register("stream_dedupe", osql.SILVER)
-def q_stream_dedupe(spark, sf_dir):
+def _deduped_stream(spark, sf_dir):
     """Flattened alerts deduped on a stream with the state bounded by an event-time watermark;
-    deliveries (and their replays) arrive in order."""
+    deliveries (and their replays) arrive in order. Returns (rows kept, side table of the others)."""
     from stratum.session import scratch_dir
-    from stratum.streaming.late import dedupe_stream, event_time
+    from stratum.streaming.late import dedupe_stream, event_time, late_rows
     from stratum.streaming.sinks import append_stream
     root = scratch_dir(spark, "stream_dedupe")
     env = fx.alerts_envelope(spark, sf_dir)
@@ -588,7 +602,24 @@ def q_stream_dedupe(spark, sf_dir):
 
     _arrive_in_order(bronze, root, [F.col("delivery") == d for d in deliveries], run)
     s = spark.read.parquet(f"{root}/silver")
-    return s.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")).select(*FLAT_COLS)
+    kept = s.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")).select(*FLAT_COLS)
+    arrived = voltage.flattened(spark.read.schema(bronze.schema).option("recursiveFileLookup", True)
+                                .parquet(f"{root}/in"))
+    late_rows(arrived, kept, DEDUPE_COLUMNS).select(*FLAT_COLS).write.parquet(f"{root}/late")
+    return kept, spark.read.parquet(f"{root}/late")
+
+
+@register("stream_dedupe", osql.SILVER)
+def q_stream_dedupe(spark, sf_dir):
+    """All distinct alerts: those the stream kept and those of its side table."""
+    kept, late = _deduped_stream(spark, sf_dir)
+    return kept.unionByName(late)
+
+
+@register("stream_late_rows", osql.DEDUPE_LATE)
+def q_stream_late_rows(spark, sf_dir):
+    """The side table alone: alerts behind the watermark when they arrived, or without an event time."""
+    return _deduped_stream(spark, sf_dir)[1]
 
 
 @register("stream_late_filter", osql.LATE_FILTER)
@@ -694,6 +725,12 @@ def q_file_report(spark, sf_dir):
     return layout.table_files(_zordered(spark, sf_dir))
 
 
+@register("file_report_total", "SELECT CAST(count(*) AS BIGINT) AS rows, TRUE AS all_files_have_bytes FROM events")
+def q_file_report_total(spark, sf_dir):
+    return layout.table_files(_zordered(spark, sf_dir)).agg(
+        F.sum("rows").alias("rows"), F.every(F.col("bytes") > 0).alias("all_files_have_bytes"))
+
+
 @register("zorder_overlap")
 def q_zorder_overlap(spark, sf_dir):
     """Files a point predicate on each clustered column must open, after Z-ordering."""

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stratum.operators.changes import months_old, retention
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -64,10 +69,8 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         return False
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
     if fmt == "parquet":
-        try:
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
             spark.sql(f"MSCK REPAIR TABLE {name}")
-        except Exception:  # noqa: BLE001 - unpartitioned tables have nothing to repair
-            pass
     return True
 
 
@@ -83,15 +86,64 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
 
 
-def vacuum_snapshots(spark: SparkSession, root: str, keep: set[str]) -> list[str]:
-    """Delete snapshot / staging folders under ``root`` that are not in ``keep``."""
+def delete_expired(spark: SparkSession, path: str, schema: StructType, col: str, date_parts: Sequence[str],
+                   months: float = 3, as_of: object | None = None, kind: str = "date") -> dict[str, int]:
+    """DELETE FROM a stored table WHERE months_between(as_of, col) > months.
+
+    The table is partitioned by ``date_parts``, the (year, month, day) strings of ``col``. Folders of
+    expired days are dropped without reading them; a day that expires in part is rewritten; all other
+    folders, that of unknown dates included, stay as they are. Doing it again changes nothing.
+    """
+    fs, root = _fs(spark, path)
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} belongs to a stream's file log: its files can't be rewritten")
+    glob = root.suffix("/" + "/".join(f"{c}=*" for c in date_parts))
+    folders = [st.getPath().toString() for st in fs.globStatus(glob)]   # one per day
+    days = [(f, *[p.partition("=")[2] for p in f.split("/")[-len(date_parts):]]) for f in folders]
+    days = [d for d in days if all(v.isdigit() for v in d[1:])]
+    if not days:
+        return {"dropped": 0, "rewritten": 0}
+    names = [f"p{i}" for i in range(len(date_parts))]
+    first = F.concat_ws("-", *names).cast("date").cast("timestamp")
+    last = first if kind == "date" else first + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 MICROSECOND")
+    ages = spark.createDataFrame(days, ", ".join(f"{n} string" for n in ["folder", *names])) \
+        .select("*", (months_old(first, as_of, kind) > months).alias("old"),
+                (months_old(last, as_of, kind) > months).alias("all_old")).collect()
+    done = {"dropped": 0, "rewritten": 0}
+    for day in ages:
+        if not day.old:
+            continue
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(day.folder)
+        if not day.all_old:
+            part = read_partitioned(spark, path, schema)
+            for c, n in zip(date_parts, names):
+                part = part.filter(F.col(c) == F.lit(day[n]))
+            staged = f"{path}_retention-{uuid.uuid4().hex[:8]}"
+            overwrite_table(retention(part, col, months, as_of, kind), staged, date_parts)
+            rest = read_partitioned(spark, staged, schema)
+            none_left = rest.isEmpty()
+            if not none_left:
+                overwrite_table(rest, path, date_parts, dynamic=True)
+                done["rewritten"] += 1
+            fs.delete(_fs(spark, staged)[1], True)
+            if not none_left:
+                continue
+        fs.delete(folder, True)
+        done["dropped"] += 1
+    return done
+
+
+def vacuum_snapshots(spark: SparkSession, root: str, keep: set[str], older_than_hours: float = 168) -> list[str]:
+    """Delete snapshot / staging folders under ``root`` that are not in ``keep`` and were last changed
+    over ``older_than_hours`` ago, so that a running job's folder stays (C6)."""
     fs, p = _fs(spark, root)
     removed = []
     if not fs.exists(p):
         return removed
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name not in keep:
+        aged = time.time() - st.getModificationTime() / 1000 >= older_than_hours * 3600
+        if st.isDirectory() and name not in keep and aged:
             fs.delete(st.getPath(), True)
             removed.append(name)
     return removed

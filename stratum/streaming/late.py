@@ -28,11 +28,26 @@ def drop_late(df: DataFrame, ts: str, delay: str, key: Sequence[str]) -> DataFra
 
 
 def dedupe_stream(df: DataFrame, cols: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """Streaming dedupe on columns that include the event time; state is evicted by the watermark."""
+    """Streaming dedupe on columns that include the event time; state is evicted by the watermark.
+
+    Rows without an event time would never be evicted, so they go around the operator; they and the
+    rows behind the watermark are found by ``late_rows``.
+    """
     cols = list(cols)
     if ts not in cols:
         raise ValueError("the dedupe columns must include the event-time column to bound state")
-    return df.withWatermark(ts, delay).dropDuplicates(cols)
+    return df.filter(F.col(ts).isNotNull()).withWatermark(ts, delay).dropDuplicates(cols)
+
+
+def late_rows(arrived: DataFrame, kept: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Side table of a streaming dedupe, as a batch: the distinct rows that arrived but are not among those
+    kept (behind the watermark, or without an event time). NULLs compare as equal."""
+    cols = list(cols)
+    a, k = arrived.dropDuplicates(cols), kept.select(*[F.col(c).alias(f"_kept_{c}") for c in cols])
+    same = F.lit(True)
+    for c in cols:
+        same = same & a[c].eqNullSafe(k[f"_kept_{c}"])
+    return a.join(k, same, "left_anti")
 
 
 def count_by_window_stream(df: DataFrame, ts: str, size: str = "1 hour", delay: str = "1 hour",

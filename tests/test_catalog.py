@@ -60,5 +60,29 @@ def test_merge_schemas_and_read_merged(spark, tmp):
 def test_vacuum_snapshots(spark, tmp):
     for v in ["v=0", "v=1", "v=2"]:
         spark.range(1).write.parquet(f"{tmp}/snap/{v}")
-    removed = vacuum_snapshots(spark, f"{tmp}/snap", keep={"v=2"})
+    assert vacuum_snapshots(spark, f"{tmp}/snap", keep={"v=2"}) == []      # too young
+    removed = vacuum_snapshots(spark, f"{tmp}/snap", keep={"v=2"}, older_than_hours=0)
     assert sorted(removed) == ["v=0", "v=1"] and table_exists(spark, f"{tmp}/snap/v=2")
+
+
+def test_delete_expired_equals_the_filter(spark, tmp):
+    from pyspark.sql import functions as F
+    from stratum.functions.datetime import with_time_parts
+    from stratum.operators.changes import retention
+    from stratum.sources.catalog import delete_expired, overwrite_table, read_partitioned
+    # a row every five hours over five months, some without a time
+    df = spark.range(720).select("id", F.when(F.col("id") % 50 != 7, F.expr(
+        "timestamp_ntz'2024-01-01 01:00:00' + make_interval(0, 0, 0, 0, cast(id * 5 as int))")).alias("t"))
+    df = with_time_parts(df, "t", "e").drop("e_date", "e_hour")
+    parts = ["e_year", "e_month", "e_day"]
+    # fractions of months expire within a day
+    for n, (months, as_of) in enumerate([(3, "2024-05-15 00:00:00"), (2.3, "2024-05-31 13:00:00"), (0, "2025-01-01 00:00:00"),
+                                         (90, "2024-05-15 00:00:00")]):
+        path = f"{tmp}/r{n}"
+        overwrite_table(df, path, parts)
+        done = delete_expired(spark, path, df.schema, "t", parts, months, as_of, "timestamp")
+        expected = sorted(r.id for r in retention(df, "t", months, as_of, "timestamp").collect())
+        assert sorted(r.id for r in read_partitioned(spark, path, df.schema).collect()) == expected
+        assert (done["rewritten"] == 1) == (months == 2.3) and (done["dropped"] == 0) == (months == 90)
+        again = delete_expired(spark, path, df.schema, "t", parts, months, as_of, "timestamp")
+        assert again["dropped"] == 0

@@ -23,6 +23,21 @@ def test_rescue_undeclared_and_malformed(spark):
     assert out[2]._rescued_data == "{not json" and out[2].last_updated is None
 
 
+def test_rescue_nested_and_mistyped(spark):
+    recs = [{"data": {"field": [{"table_id": "1", "last_reported": 5}, {"table_id": "2", "odd.one": 7}], "more": {"x": 1}},
+             "last_updated": 1},
+            {"data": {"field": [{"last_reported": "soon"}]}, "last_updated": "abc"},
+            {"data": "text", "last_updated": 3}, {"data": None, "last_updated": None}, {}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(recs)], "i int, value string")
+    out = {r.i: r for r in parse_json_rescue(df, "value", SCHEMA, keep=["i"]).collect()}
+    lost = {i: json.loads(r._rescued_data) if r._rescued_data else None for i, r in out.items()}
+    assert lost[0] == {"data.field[1].odd\\.one": "7", "data.more": '{"x":1}'}
+    assert [x.table_id for x in out[0].data.field] == ["1", "2"]
+    assert "abc" in lost[1].values() and any("soon" in v for v in lost[1].values())
+    assert lost[2] == {"data": "text"} and out[2].last_updated == 3
+    assert lost[3] is None and lost[4] is None
+
+
 def test_explode_expectations(spark):
     recs = [json.dumps({"data": {"field": [{"table_id": "1", "other_column": "x", "last_reported": 0},
                                            {"other_column": "y", "last_reported": 0},

@@ -82,6 +82,23 @@ def test_window_counts_and_dedupe_bound_state(spark, tmp):
     assert sorted(r.id for r in spark.table("dd").collect()) == [1, 2, 3, 4]
 
 
+def test_late_unique_rows_reach_the_side_table(spark, tmp):
+    from stratum.streaming.late import late_rows
+    d = lambda day: dt.datetime(2024, 1, day)
+    parts = [[(1, d(20)), (2, None)], [(3, d(21)), (1, d(20))], [(4, d(5)), (2, None), (5, d(21))]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, "id long, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp}/in/f{i}")
+        src = spark.readStream.schema("id long, ts timestamp_ntz").option("recursiveFileLookup", True).parquet(f"{tmp}/in")
+        q = append_stream(dedupe_stream(event_time(src, "ts"), ["id", "ts"], "ts", "1 day"), f"{tmp}/out", f"{tmp}/ck")
+        q.awaitTermination()
+    kept = event_time(spark.read.parquet(f"{tmp}/out"), "ts")
+    arrived = event_time(spark.read.option("recursiveFileLookup", True).schema("id long, ts timestamp_ntz").parquet(f"{tmp}/in"), "ts")
+    assert sorted(r.id for r in kept.collect()) == [1, 3, 5]
+    assert sorted(r.id for r in late_rows(arrived, kept, ["id", "ts"]).collect()) == [2, 4]
+    # rows without an event time are not held in state
+    assert max(s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]) <= 3
+
+
 def test_stream_table_and_stop_all(spark, tmp):
     spark.range(10).write.parquet(f"{tmp}/t")
     df = stream_table(spark, f"{tmp}/t")

@@ -68,6 +68,21 @@ def test_flatten_edge_rows(spark):
     assert "4" in bad and "6" in bad and "1" not in bad
 
 
+def test_every_reading_and_readings_without_events(spark):
+    t = dt.datetime(2024, 1, 1, 10, 0)
+    two = _xml([("2024-01-01T09:59:00.123Z", SIX)])
+    other = _xml([("2024-01-01T09:58:00.000Z", SIX)], meter="M2", mpan="1900000000002")
+    reading = other[other.index("<MeterReading>"):other.index("<endTime>")]
+    rows = [("1", t, two.replace("<endTime>", reading + "<endTime>")), ("2", t, _xml([])), ("3", t, "<Envelope/>")]
+    bronze = ingest_envelope(_env(spark, rows))
+    flat = flatten_alerts(bronze, keep=["Offset"]).collect()
+    assert sorted((r.Offset, r.guid, r.alert_code) for r in flat if r.Offset == 1) == [(1, "M1", "1A01"), (1, "M2", "1A01")]
+    padded = [r for r in flat if r.Offset == 2]
+    assert [(r.guid, r.event_timestamp, r.alert_code) for r in padded] == [("M1", None, None)]
+    assert padded[0].end_time == dt.datetime(2024, 1, 1, 10, 15)
+    assert [r.Offset for r in malformed_alerts(bronze).collect()] == [3]
+
+
 def test_region_case_prefixes(spark):
     df = spark.createDataFrame([("1200",), ("1900",), ("1000",), ("9900",), (None,), ("1",)], "mpan string")
     out = [r.dno for r in with_region(df).collect()]
