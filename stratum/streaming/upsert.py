@@ -3,11 +3,9 @@
 Per batch:
 
 1. dedupe the batch (``dedupe_cols``);
-2. read only the target partitions the batch touches: their values are collected (a micro-batch
-   covers a bounded number of partitions, e.g. a few event dates) and become literal partition
-   filters, so the scan lists and reads only those folders. Partition columns derive from a merge
-   key, so a match never crosses partitions;
-3. merge with one full outer join that tags every row update / insert / keep, and write the
+2. read only the target partitions the batch touches, by a semi-join on the partition columns. Partition
+   columns derive from a merge key, so a match never crosses partitions;
+3. merge, tagging every row update / insert / keep, and write the
    touched partitions to a staging folder; the tag counts come from an ``Observation`` on that write;
 4. overwrite just those partitions of the table from the staged copy (dynamic overwrite);
 5. append one commit row (sink id, batch id, version, metrics) to the table's commit log.
