@@ -62,12 +62,14 @@ class WordIds:
                          for w in FAST_WORDS.findall(chunk)])
 
     def part(self, text: str) -> bytes:
-        if BEYOND_FAST.search(text):
+        lower = text.lower()
+        # some capitals below U+0250 have their small letter beyond it
+        if BEYOND_FAST.search(lower) or BEYOND_FAST.search(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if SPLIT_ONLY.search(text):
-            return self.chunk(text.lower())
+        if SPLIT_ONLY.search(lower):
+            return self.chunk(lower)
         get = self.chunks.__getitem__
-        return b"".join([get(c) if len(c) <= 128 else self.chunk(c) for c in text.lower().split()])
+        return b"".join([get(c) if len(c) <= 128 else self.chunk(c) for c in lower.split()])
 
     def __call__(self, text: str) -> bytes:
         if self.special is None or self.special.search(text) is None:

@@ -131,6 +131,15 @@ def test_packing(odd, docs):
     assert packing.pack(odd.limit(0), path).count() == 0
 
 
+def test_word_ids_of_every_code_point_below_0250():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, ids = Tokenizer.from_file(path), packing.word_ids(path)
+    for c in [*map(chr, range(0x250)), "\u212a", "\u212b", "\u1e9e"]:
+        for text in (f"a{c}b", f"{c}li", f"1{c}2", f"!{c}?", f" {c} x", f"{c}{c} {c}", f"it{c}'s"):
+            want = tok.encode(text, add_special_tokens=False).ids
+            assert ids(text) == struct.pack(f"<{len(want)}I", *want), repr(text)
+
+
 def test_quality_rules(spark, sf, odd, docs):
     con = duckdb.connect()
     for df in (docs, odd.filter("doc_id is not null")):
