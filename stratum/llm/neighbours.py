@@ -4,13 +4,13 @@ Equal vectors are one node. Every node keeps the ``k`` nodes it knows to be near
 best within blocks of nodes that are close on a few random directions, and each round joins neighbours of
 neighbours: a node's new neighbours and the nodes that it is a neighbour of meet, compare, and tell each
 other if one is nearer than what the other has. Rounds end when few lists change. A node that very many
-have as neighbour meets them in groups of bounded size. Codes of one byte per component stand for the
-vectors in these joins.
+have as neighbour meets them in groups of bounded size. The vectors themselves, as bytes, go through
+these joins, and lists and beams are ranked by inner products in double precision, so that near-equal
+vectors are told apart at each step.
 
 A query is a node of the graph: its search starts from its own neighbours, each step opens the nodes of
 its beam that aren't open yet, their neighbours are compared with the query where the lists lie, and
-the best enter the beam; it ends when a beam has nothing left to open. The beam is ranked at last by the
-inner product of the original vectors in double precision, and nodes stand for their equal rows.
+the best enter the beam; it ends when a beam has nothing left to open. Nodes stand for their equal rows.
 
 Defined cases: rows with a null id, or a vector that is null, zero, of another length than most, or
 holding a null or non-finite component take no part; of rows with one id the smallest vector counts; ties
@@ -37,17 +37,10 @@ K, JOINED, GROUP, BLOCK, DIRECTIONS = 48, 24, 64, 512, 4
 ROUNDS, CHANGE, BEAM, STEPS = 8, 0.02, 128, 12
 
 
-def _codes(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One byte per component, and each vector's scale."""
-    scale = np.abs(vectors).max(axis=1) / 127
-    return np.rint(vectors / scale[:, None]).astype(np.int8), scale.astype(np.float32)
-
-
-def _matrix(codes, scale) -> np.ndarray:
-    if not len(codes):
-        return np.zeros((0, 1), np.float32)
-    flat = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1).astype(np.float32)
-    return flat * np.asarray(scale, np.float32)[:, None]
+def _matrix(vecs, kind: str) -> np.ndarray:
+    if not len(vecs):
+        return np.zeros((0, 1))
+    return np.frombuffer(b"".join(vecs), kind).reshape(len(vecs), -1).astype(np.float64)
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -59,24 +52,27 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return df.filter(F.size("v") == (size[0][0] if size else 0)).groupBy("id").agg(F.min("v").alias("v"))
 
 
-def _nodes(rows: DataFrame, width: int) -> DataFrame:
-    """(node, code, scale): one per different vector, named by its smallest id."""
+def _kind(vectors: DataFrame, vec_col: str) -> str:
+    """The numpy type that holds the components as they are."""
+    return "<f4" if vectors.schema[vec_col].dataType.elementType.typeName() == "float" else "<f8"
+
+
+def _nodes(rows: DataFrame, kind: str) -> DataFrame:
+    """(node, vec): one per different vector, named by its smallest id."""
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                codes, scale = _codes(np.stack(b["v"].to_numpy()))
-                yield pd.DataFrame({"node": b["node"], "code": [c.tobytes() for c in codes], "scale": scale})
+            yield pd.DataFrame({"node": b["node"], "vec": [np.asarray(v).astype(kind).tobytes() for v in b["v"]]})
 
     return rows.groupBy("v").agg(F.min("id").alias("node")).select("node", "v") \
-        .mapInPandas(encode, "node long, code binary, scale float")
+        .mapInPandas(encode, "node long, vec binary")
 
 
-def _start(nodes: DataFrame, n: int, k: int, width: int) -> DataFrame:
+def _start(nodes: DataFrame, n: int, k: int, width: int, kind: str) -> DataFrame:
     """(a, b, s): the best in blocks of nodes that lie close on a random direction."""
     def blocks(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, own in frame.groupby(["direction", "cell", "part"], sort=False):
-            m, ids = _matrix(own["code"], own["scale"]), own["node"].to_numpy()
+            m, ids = _matrix(own["vec"], kind), own["node"].to_numpy()
             s = m @ m.T
             np.fill_diagonal(s, -np.inf)
             best = np.argsort(-s, axis=1)[:, :min(k, len(ids) - 1)]
@@ -88,8 +84,8 @@ def _start(nodes: DataFrame, n: int, k: int, width: int) -> DataFrame:
         for b in batches:
             if not len(b):
                 continue
-            m = _matrix(b["code"], b["scale"])
-            lines = np.random.default_rng(5).normal(size=(DIRECTIONS, m.shape[1])).astype(np.float32)
+            m = _matrix(b["vec"], kind)
+            lines = np.random.default_rng(5).normal(size=(DIRECTIONS, m.shape[1]))
             at = (m @ lines.T) / np.linalg.norm(m, axis=1)[:, None] * np.sqrt(m.shape[1]) \
                 / np.linalg.norm(lines, axis=1)
             # about evenly filled cells: the place on a direction is close to normal
@@ -97,13 +93,13 @@ def _start(nodes: DataFrame, n: int, k: int, width: int) -> DataFrame:
             for d in range(DIRECTIONS):
                 yield b.assign(direction=d, cell=np.floor(even[:, d] * max(1, round(n / BLOCK))).astype(int))
 
-    celled = stored(nodes.mapInPandas(cells, "node long, code binary, scale float, direction int, cell long"),
+    celled = stored(nodes.mapInPandas(cells, "node long, vec binary, direction int, cell long"),
                     "nn_cells")
     # crowded cells (near-equal vectors) are split by a hash, another one for each direction
     parts = celled.groupBy("direction", "cell").agg(F.ceil(F.count("*") / F.lit(2 * BLOCK)).alias("parts"))
     celled = celled.join(parts, ["direction", "cell"]).withColumn(
         "part", F.pmod(F.xxhash64("node", "direction"), F.col("parts"))).drop("parts")
-    return map_groups(celled, ["direction", "cell", "part"], width, blocks, "a long, b long, s float")
+    return map_groups(celled, ["direction", "cell", "part"], width, blocks, "a long, b long, s double")
 
 
 def _best(pairs: DataFrame, k: int, width: int) -> DataFrame:
@@ -119,10 +115,10 @@ def _best(pairs: DataFrame, k: int, width: int) -> DataFrame:
                              "fresh": cut("fresh")})
 
     return map_groups(pairs, ["a"], width, merge,
-                      "a long, nbrs array<long>, sims array<float>, fresh array<boolean>")
+                      "a long, nbrs array<long>, sims array<double>, fresh array<boolean>")
 
 
-def _round(graph: DataFrame, nodes: DataFrame, joined: int, width: int) -> DataFrame:
+def _round(graph: DataFrame, nodes: DataFrame, joined: int, width: int, kind: str) -> DataFrame:
     """(a, b, s): pairs found among neighbours of one node, where b is nearer to a than a's last one."""
     place = F.posexplode(F.arrays_zip("nbrs", "fresh"))
     last = F.element_at("sims", -1)
@@ -133,30 +129,25 @@ def _round(graph: DataFrame, nodes: DataFrame, joined: int, width: int) -> DataF
                 F.get("order", F.col("i")).alias("nth")) \
         .filter((F.col("fresh") & (F.col("nth") <= joined)) | (~F.col("fresh") & (F.col("i") < joined))) \
         .select("a", "b", "fresh")
-    known = nodes.join(graph.select(F.col("a").alias("node"), last.alias("last")), "node")
     # groups that a node needs for those that have it as neighbour
-    groups = edges.groupBy("b").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("groups")) \
-        .withColumnRenamed("b", "node")
-    known = stored(known.join(groups, "node", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
-                   .hint("shuffle_hash"), "nn_known")
-    edges = edges.join(known.select(F.col("node").alias("b"), F.col("code").alias("b_code"),
-                                    F.col("scale").alias("b_scale"), F.col("last").alias("b_last"),
-                                    F.col("groups").alias("b_groups")), "b")
+    groups = stored(edges.groupBy("b").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("b_groups")), "nn_groups")
+    edges = edges.join(groups, "b").join(groups.select(F.col("b").alias("a"), F.col("b_groups").alias("a_groups")),
+                                         "a", "left")
     # a's neighbour b comes to every group of a; a comes to one group of b
-    a = known.select(F.col("node").alias("a"), F.col("code").alias("a_code"), F.col("scale").alias("a_scale"),
-                     F.col("last").alias("a_last"), F.col("groups").alias("a_groups"))
-    both = edges.join(a, "a")
-    to_a = both.select(F.col("a").alias("via"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("a_groups") - 1)).alias("g"),
-                       F.col("b").alias("node"), F.col("b_code").alias("code"), F.col("b_scale").alias("scale"),
-                       F.col("b_last").alias("last"), "fresh")
-    to_b = both.select(F.col("b").alias("via"), F.pmod(F.xxhash64("a"), F.col("b_groups")).alias("g"),
-                       F.col("a").alias("node"), F.col("a_code").alias("code"), F.col("a_scale").alias("scale"),
-                       F.col("a_last").alias("last"), "fresh")
+    every = F.sequence(F.lit(0).cast("long"), F.coalesce("a_groups", F.lit(1)).cast("long") - 1)
+    to_a = F.transform(every, lambda g: F.struct(F.col("a").alias("via"), g.alias("g"), F.col("b").alias("node")))
+    to_b = F.array(F.struct(F.col("b").alias("via"), F.pmod(F.xxhash64("a"), F.col("b_groups")).cast("long").alias("g"),
+                            F.col("a").alias("node")))
+    # who meets where is settled without the vectors; neighbours of each other would come twice
+    met = edges.select("fresh", F.explode(F.concat(to_a, to_b)).alias("e")).select("e.*", "fresh") \
+        .groupBy("via", "g", "node").agg(F.max("fresh").alias("fresh"))
+    known = nodes.join(graph.select(F.col("a").alias("node"), last.alias("last")), "node")
+    met = met.join(known.hint("shuffle_hash"), "node")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         via, g = frame["via"].to_numpy(), frame["g"].to_numpy()
         starts = np.flatnonzero(np.r_[True, (via[1:] != via[:-1]) | (g[1:] != g[:-1])])
-        m, ids = _matrix(frame["code"], frame["scale"]), frame["node"].to_numpy()
+        m, ids = _matrix(frame["vec"], kind), frame["node"].to_numpy()
         last, fresh = frame["last"].to_numpy(), frame["fresh"].to_numpy()
         a, b, s = [], [], []
         for lo, hi in zip(starts, [*starts[1:], len(frame)]):
@@ -170,21 +161,21 @@ def _round(graph: DataFrame, nodes: DataFrame, joined: int, width: int) -> DataF
             b.append(own[j])
             s.append(sim[i, j])
         found = pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "s": np.concatenate(s)}) if a \
-            else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "s": np.zeros(0, np.float32)})
+            else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "s": np.zeros(0)})
         return found.drop_duplicates(["a", "b"])
 
-    return map_groups(to_a.unionByName(to_b), ["via", "g"], width, compare, "a long, b long, s float")
+    return map_groups(met, ["via", "g"], width, compare, "a long, b long, s double")
 
 
-def build_graph(nodes: DataFrame, n: int, k: int = K, joined: int = JOINED, rounds: int = ROUNDS,
+def build_graph(nodes: DataFrame, n: int, kind: str, k: int = K, joined: int = JOINED, rounds: int = ROUNDS,
                 change: float = CHANGE) -> DataFrame:
     """NN-descent: (a, nbrs, sims, fresh) for each node."""
     spark = nodes.sparkSession
     width = max(shuffle_width(spark), n // 20_000)
-    start = _start(nodes, n, k, width).withColumn("fresh", F.lit(True))
+    start = _start(nodes, n, k, width, kind).withColumn("fresh", F.lit(True))
     graph = stored(_best(start, k, width), "nn_graph")
     for _ in range(rounds):
-        found = _round(graph, nodes, joined, width).withColumn("fresh", F.lit(True))
+        found = _round(graph, nodes, joined, width, kind).withColumn("fresh", F.lit(True))
         taken = F.transform("fresh", lambda x, i: x & (F.size(F.filter(
             F.slice("fresh", 1, i + 1), lambda y: y)) > joined))
         old = graph.withColumn("fresh", taken).select("a", F.explode(F.arrays_zip("nbrs", "sims", "fresh")).alias("e")) \
@@ -199,7 +190,7 @@ def build_graph(nodes: DataFrame, n: int, k: int = K, joined: int = JOINED, roun
     return graph
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, beam: int = BEAM,
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, kind: str, beam: int = BEAM,
            steps: int = STEPS) -> DataFrame:
     """(query, node): the beam of each query node after greedy search."""
     spark = nodes.sparkSession
@@ -210,28 +201,27 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, beam:
         a = frame["a"].to_numpy()
         starts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
         ends = [*starts[1:], len(frame)]
-        code, node, scale = frame["code"].to_numpy(), frame["node"].to_numpy(), frame["scale"].to_numpy()
+        vec, node = frame["vec"].to_numpy(), frame["node"].to_numpy()
         return pd.DataFrame({"a": a[starts], "nbrs": [node[x:y] for x, y in zip(starts, ends)],
-                             "scales": [scale[x:y] for x, y in zip(starts, ends)],
-                             "codes": [b"".join(code[x:y]) for x, y in zip(starts, ends)]})
+                             "vecs": [b"".join(vec[x:y]) for x, y in zip(starts, ends)]})
 
-    # each node's list with its neighbours' codes, laid out once
+    # each node's list with its neighbours' vectors, laid out once
     full = stored(map_groups(edges, ["a"], width, lists,
-                             "a long, nbrs array<long>, scales array<float>, codes binary"), "nn_lists")
+                             "a long, nbrs array<long>, vecs binary"), "nn_lists")
+    released(spark)
     own = queries.select(F.col("node").alias("query")).join(nodes, F.col("query") == F.col("node")) \
-        .select("query", "code", "scale")
+        .select("query", "vec")
     first = own.join(graph, own["query"] == graph["a"]) \
-        .select("query", "code", "scale", F.col("nbrs").alias("beam"), F.col("sims").alias("beam_sims"),
+        .select("query", "vec", F.col("nbrs").alias("beam"), F.col("sims").alias("beam_sims"),
                 F.transform("nbrs", lambda x: F.lit(False)).alias("opened"))
     state = stored(first, "nn_beams")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for q, code, scale, worst, nbrs, scales, codes in b[
-                    ["query", "code", "scale", "worst", "nbrs", "scales", "codes"]].itertuples(index=False):
-                m = np.frombuffer(codes, np.int8).reshape(len(nbrs), -1).astype(np.float32)
-                s = (m @ np.frombuffer(code, np.int8).astype(np.float32)) * scales * np.float32(scale)
+            for q, vec, worst, nbrs, vecs in b[["query", "vec", "worst", "nbrs", "vecs"]].itertuples(index=False):
+                m = np.frombuffer(vecs, kind).reshape(len(nbrs), -1).astype(np.float64)
+                s = m @ np.frombuffer(vec, kind).astype(np.float64)
                 good = (s > worst) & (nbrs != q)
                 if good.any():
                     out.append((q, nbrs[good], s[good]))
@@ -255,14 +245,14 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, beam:
         if not closed.limit(1).count():
             break
         worst = F.when(F.size("beam") < beam, F.lit(float("-inf"))).otherwise(F.element_at("beam_sims", -1))
-        frontier = closed.select("query", "code", "scale", worst.cast("float").alias("worst"),
+        frontier = closed.select("query", "vec", worst.cast("double").alias("worst"),
                                  F.explode(F.arrays_zip("beam", "opened")).alias("e")) \
-            .filter(~F.col("e.opened")).select("query", "code", "scale", "worst", F.col("e.beam").alias("a"))
-        found = frontier.join(full, "a").mapInPandas(compare, "query long, node long, s float")
+            .filter(~F.col("e.opened")).select("query", "vec", "worst", F.col("e.beam").alias("a"))
+        found = frontier.join(full, "a").mapInPandas(compare, "query long, node long, s double")
         had = state.select("query", F.explode(F.arrays_zip("beam", "beam_sims")).alias("e")) \
             .select("query", F.col("e.beam").alias("node"), F.col("e.beam_sims").alias("s"), F.lit(True).alias("opened"))
         beams = map_groups(had.unionByName(found.withColumn("opened", F.lit(False))), ["query"], width, merged,
-                           "query long, beam array<long>, beam_sims array<float>, opened array<boolean>")
+                           "query long, beam array<long>, beam_sims array<double>, opened array<boolean>")
         after = stored(beams.join(own, "query"), "nn_beams")
         dropped(state)
         state = after
@@ -276,8 +266,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, k: int = K, b
     score (inner product of the original vectors in double precision)."""
     spark = vectors.sparkSession
     rows = stored(usable(vectors, id_col, vec_col), "nn_rows")
-    width = shuffle_width(spark)
-    nodes = stored(_nodes(rows, width), "nn_nodes")
+    kind = _kind(vectors, vec_col)
+    nodes = stored(_nodes(rows, kind), "nn_nodes")
     n = nodes.count()
     # a class never gives more than top + 1 rows to a query; the limit by rank runs before the shuffle
     classes = rows.groupBy("v").agg(F.min("id").alias("node"))
@@ -288,8 +278,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, k: int = K, b
                    .select(F.col("id").alias("query_id"), F.col("node").alias("query")), "nn_asked")
     k = min(k, max(1, n - 1))
     if n > 1:
-        graph = build_graph(nodes, n, k)
-        found = search(graph, nodes, asked.select(F.col("query").alias("node")).distinct(), n, beam)
+        graph = build_graph(nodes, n, kind, k)
+        found = search(graph, nodes, asked.select(F.col("query").alias("node")).distinct(), n, kind, beam)
         pairs = found.unionByName(asked.select("query", F.col("query").alias("node")).distinct())
     else:
         pairs = asked.select("query", F.col("query").alias("node")).distinct()

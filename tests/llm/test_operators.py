@@ -284,6 +284,23 @@ def test_nearest(spark, sf, odd):
     assert neighbours.nearest(df.limit(0), spark.createDataFrame([(0,)], "query_id long")).count() == 0
 
 
+@pytest.mark.parametrize("unit", [False, True])
+def test_nearest_tells_near_copies_apart(spark, unit):
+    pick = np.random.default_rng(7)
+    m = pick.normal(size=(4000, 64))
+    m[1000:] = m[0] + 1e-4 * pick.normal(size=(3000, 64))
+    m = (m / np.linalg.norm(m, axis=1, keepdims=True) if unit else m).astype(np.float32)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<float>")
+    asked = list(range(1000, 4000, 50))
+    got = neighbours.nearest(vectors, spark.createDataFrame([(i,) for i in asked], "query_id long")).toPandas()
+    m, ids, hits = m.astype(float), np.arange(len(m)), 0
+    for q in asked:
+        s = m @ m[q]
+        s[q] = -np.inf
+        hits += len(set(np.lexsort((ids, -s))[:20]) & set(got[got.query_id == q].vec_id))
+    assert hits / (20 * len(asked)) >= 0.95
+
+
 def test_chat_format(spark, sf):
     calls = spark.createDataFrame([
         (1, "a", 0, "search", '{"turn": 1, "query": "x"}', None), (1, "b", 2, "search", '{"query":"y"}', "a"),
