@@ -57,7 +57,7 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text_col: str = "text",
                  id_col: str = "doc_id") -> DataFrame:
-    """(id, fp): the fingerprint as a signed long."""
+    """(id, hash of the text, fp): the fingerprint as a signed long."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,8 +65,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text_col: str = "text",
             fps = np.array([fingerprint(t, shingle) for t in b.pop(TMP + "text")], np.uint64)
             yield b.assign(fp=fps.view(np.int64))
 
-    return docs.select(id_col, text_or_empty(text_col).alias(TMP + "text")) \
-        .mapInPandas(run, f"`{id_col}` {id_type}, fp long")
+    text = text_or_empty(text_col)
+    return docs.select(id_col, F.xxhash64(text).alias(TMP + "hash"), text.alias(TMP + "text")) \
+        .mapInPandas(run, f"`{id_col}` {id_type}, {TMP}hash long, fp long")
 
 
 def levels(nodes: DataFrame, n: int, bits: int, shard: int = SHARD) -> list[tuple[int, int]]:
@@ -192,16 +193,22 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy("fp").agg(F.min("to").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, shard: int = SHARD,
-                    block: int = BLOCK, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per row: the id, fingerprint (16 hex digits) and component_id, the smallest id that links of at
-    most ``bits`` differing bits lead to."""
+def _grouped(docs: DataFrame, shingle: int, bits: int, shard: int, block: int, text_col: str,
+             id_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and of each fingerprint its component's root and smallest id."""
     prints = stored(fingerprints(docs, shingle, text_col, id_col), "simhash")
     nodes = stored(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash_nodes")
     roots = components(links(nodes, bits, shard, block))
     named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     firsts = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(firsts, "root").select("fp", "component_id")
+    return prints, named.join(firsts, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, shard: int = SHARD,
+                    block: int = BLOCK, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Per row: the id, fingerprint (16 hex digits) and component_id, the smallest id that links of at
+    most ``bits`` differing bits lead to."""
+    prints, named = _grouped(docs, shingle, bits, shard, block, text_col, id_col)
     return prints.join(named, "fp").select(
         id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -209,8 +216,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, shard: int
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2, text_col: str = "text",
              id_col: str = "doc_id") -> DataFrame:
     """One document of each component, the one with the smallest id, with its columns as they were. Of
-    repeated rows one stays. A row without an id can't be told from others: it stays."""
-    found = near_duplicates(docs, shingle, bits, text_col=text_col, id_col=id_col)
-    keep = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(TMP + "id")).distinct()
-    kept = docs.join(keep, docs[id_col] == keep[TMP + "id"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(docs[id_col].isNull()))
+    repeated rows one stays. Rows are told by id and text, so texts that share an id are judged each by
+    its own component; a row without an id stays only in a component that has no id at all."""
+    prints, named = _grouped(docs, shingle, bits, SHARD, BLOCK, text_col, id_col)
+    # an id as text that is never null, so that the join and the last step are dealt alike
+    key, own = F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit("")), [TMP + "key", TMP + "hash"]
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), key.alias(own[0]), own[1]))
+    keep = prints.join(named.select("fp", "root"), "fp").groupBy("root").agg(first.alias("first")) \
+        .select(*[F.col(f"first.{c}") for c in own]).distinct()
+    return docs.withColumns({own[0]: key, own[1]: F.xxhash64(text_or_empty(text_col))}) \
+        .join(keep, own, "left_semi").dropDuplicates(own).select(*docs.columns)

@@ -252,6 +252,14 @@ def test_simhash(odd, docs, shard, block):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(i for i in by if i is not None)
 
 
+def test_keep_one_tells_rows_by_id_and_text(spark):
+    a, b, c = ("one two three four five six", "red green blue black white pink", "up down left right in out")
+    own = [(1, a), (5, a), (5, b), (5, b), (6, b), (None, a), (None, c), (None, c)]
+    for part in (own, own[::-1]):
+        kept = simhash.keep_one(spark.createDataFrame(part, "doc_id long, text string").coalesce(1))
+        assert rows(kept) == sorted([(1, a), (5, b), (None, c)], key=repr)
+
+
 def test_simhash_finds_chains(spark):
     # each differs from the last by two bits: one component, across all shards
     start = np.random.default_rng(1).integers(0, 2**63, 400)
