@@ -100,5 +100,27 @@ class Memo(dict):
         return value
 
 
+class ByteMemo(dict):
+    """A memo of strings whose two generations hold about ``limit`` bytes each, whatever their lengths."""
+
+    #: Bytes of a key, a value and their place in the dict, besides what they spell.
+    OVERHEAD = 200
+
+    def __init__(self, compute, limit: int):
+        super().__init__()
+        self.compute, self.limit, self.old, self.held = compute, limit, {}, 0
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self.held += self.OVERHEAD + len(key) + (len(value) if isinstance(value, bytes) else 0)
+        if self.held > self.limit:
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self[key] = value
+        return value
+
+
 #: White space directly before a space: then a space isn't always the start of a match of FAST.
 SPACE_RUN = re.compile(f"[{SPACE}] ")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import (
-    byte_bpe, chat_format, language_id, neighbours, packing, quality_rules, simhash, token_count,
+    alignment, byte_bpe, chat_format, decontamination, divergence, language_id, neighbours, packing, quality_rules, simhash, token_count,
     toxicity, url_filter,
 )
 from stratum.llm.common import ready, table
@@ -67,6 +67,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return decontamination.digest(decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -74,5 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_count, op2_nearest_neighbours, op3_byte_bpe, op4_url_filter, op5_quality_rules, op6_language_id,
-    op7_chat_format, op8_simhash, op9_packing, op10_toxicity, pipeline)}
-ORACLES = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL}
+    op7_chat_format, op8_simhash, op9_packing, op10_toxicity, op11_decontamination, op12_source_divergence,
+    op13_tokenizer_alignment, pipeline)}
+ORACLES = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op7_chat_format": chat_format.ORACLE_SQL,
+           "op11_decontamination": decontamination.ORACLE_SQL, "op12_source_divergence": divergence.ORACLE_SQL}
