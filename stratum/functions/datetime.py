@@ -29,7 +29,7 @@ def split_invoice_datetime(col: str = "InvoiceDate") -> dict[str, Column]:
                           F.lpad(F.get(date_parts, 1), 2, "0"))
     clean_time = F.lpad(raw_time, 5, "0")
     stamp = F.concat(clean_date, F.lit(" "), clean_time).try_cast("timestamp_ntz")
-    return {"CleanDate": clean_date, "CleanTime": clean_time, "InvoiceDatetime": stamp}
+    return {"date": clean_date, "time": clean_time, "InvoiceDatetime": stamp}
 
 
 def parse_utc_millis(col: str | Column) -> Column:

@@ -67,6 +67,20 @@ def count_by_window(df: DataFrame, ts: str, size: str = "1 hour", slide: str | N
                       count_name))
 
 
+def count_by_local_hour(df: DataFrame, utc_ts: str, tz: str, count_name: str = "count") -> DataFrame:
+    """Row count per hour of a UTC time, shown with the hour's local beginning and its offset in minutes.
+
+    Hours are told by their UTC instant, so the hour that a clock change repeats is two rows with one
+    local name, and the hour that it skips has none.
+    """
+    utc = F.date_trunc("hour", F.col(utc_ts).cast("timestamp_ntz")).cast("timestamp_ntz")
+    hours = df.filter(F.col(utc_ts).isNotNull()).groupBy(utc.alias("utc_start")).agg(F.count(F.lit(1)).alias(count_name))
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), "utc_start")
+    minutes = F.timestamp_diff("MINUTE", F.col("utc_start"), F.col("local_start"))
+    return hours.withColumn("local_start", local) \
+        .select("utc_start", "local_start", minutes.cast("int").alias("offset_minutes"), count_name).orderBy("utc_start")
+
+
 def reconcile(a: DataFrame, b: DataFrame, on: str | Sequence[str] = "start_time",
               a_name: str = "count_a", b_name: str = "count_b", count_col: str = "count") -> DataFrame:
     """Full outer join of two per-period counts with the difference (missing side counts as 0)."""

@@ -32,7 +32,7 @@ def prefix_case(col: str, mapping: Mapping[str, str], default: str, length: int
 def with_region(df: DataFrame, col: str = "mpan", mapping: Mapping[str, str] | None = None,
                 default: str = "Others", name: str = "dno") -> DataFrame:
     from stratum.plans.voltage import DNO_PREFIXES
-    return df.withColumn(name, prefix_case(col, mapping or DNO_PREFIXES, default))
+    return df.withColumn(name, prefix_case(col, DNO_PREFIXES if mapping is None else mapping, default))
 
 
 def strip_text(col: str, pattern: str) -> Column:

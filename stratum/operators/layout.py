@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Size of a data file that layout jobs aim at.
 FILE_BYTES = 128 << 20
+#: Rows and bytes of the sample that the bounds of text columns are taken from.
+SAMPLE_ROWS, SAMPLE_BYTES = 50_000, 32 << 20
 
 
 def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
@@ -23,26 +25,74 @@ def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
 
 
 def _rank(df: DataFrame, col: str) -> Column:
-    """An order-preserving number for a column of any orderable type: text by its first six bytes,
-    dates and timestamps (with or without zone) by microseconds."""
+    """An order-preserving number for a column of numbers, dates, timestamps (with or without zone, by
+    microseconds) or booleans."""
     kind, c = df.schema[col].dataType.typeName(), F.col(col)
-    if kind in ("string", "binary", "varchar", "char"):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
     if kind in ("date", "timestamp", "timestamp_ntz"):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("int").cast("double") if kind == "boolean" else c.cast("double")
 
 
+def _is_text(df: DataFrame, col: str) -> bool:
+    return df.schema[col].dataType.typeName() in ("string", "binary", "varchar", "char")
+
+
+def _as_text(df: DataFrame, col: str) -> Column:
+    """Text in the order of its bytes; binary values as hex, which keeps their order."""
+    return F.hex(col) if df.schema[col].dataType.typeName() == "binary" else F.col(col).cast("string")
+
+
+def _text_bounds(df: DataFrame, cols: Sequence[str], bits: int) -> dict[str, list[str]]:
+    """Per column, up to 2^bits - 1 ascending values that cut a sample of its whole values evenly.
+
+    One pass takes the sample of all columns; its rows (SAMPLE_ROWS) and bytes (SAMPLE_BYTES) are bounded
+    whatever the size of the table or of its values.
+    """
+    size = F.lit(0)
+    for c in cols:
+        size = size + F.coalesce(F.octet_length(_as_text(df, c)), F.lit(0))
+    rows, total = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    share = min(1.0, SAMPLE_ROWS / max(1, rows), SAMPLE_BYTES / max(1, total or 0))
+    sample = df.select(*[_as_text(df, c).alias(c) for c in cols])
+    sample = sample if share == 1.0 else sample.sample(share, seed=7)
+    found = sample.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in cols]).first()
+    out = {}
+    for c in cols:
+        values, n = found[c], 1 << bits
+        out[c] = sorted({values[len(values) * i // n] for i in range(1, n)}, key=lambda v: v.encode()) if values else []
+    return out
+
+
+def _text_bucket(col: Column, bounds: list[str], bits: int) -> Column:
+    """How many bounds are not above the value, stretched over [0, 2^bits): a binary search over the
+    whole value. NULL is 0."""
+    if not bounds:
+        return F.lit(0).cast("long")
+    steps, n = [1 << i for i in reversed(range(len(bounds).bit_length()))], len(bounds)
+    values = F.lit(bounds)
+    at = F.aggregate(F.lit(steps), F.lit(0), lambda i, step: F.when(
+        F.coalesce(F.get(values, i + step - 1) <= col, F.lit(False)), i + step).otherwise(i))
+    return F.coalesce(F.floor(at * F.lit(float(((1 << bits) - 1) / n))).cast("long"), F.lit(0))
+
+
 def _quantile_buckets(df: DataFrame, cols: Sequence[str], bits: int, relative_error: float) -> DataFrame:
-    """Rank-bucket every column into [0, 2^bits) with approximate quantile bounds (JVM binary search).
+    """Rank-bucket every column into [0, 2^bits): numbers by approximate quantile bounds (JVM binary search),
+    text by bounds of whole values.
 
-    One pass computes the bounds of all columns together; only 2^bits bounds per column reach the
-    driver, whatever the table size. NULLs get their own bucket.
+    One pass computes the bounds of all columns of a kind together; only 2^bits bounds per column reach the
+    plan, whatever the table size. NULLs get the last bucket of numbers, the first of text.
     """
     from pyspark.ml.feature import QuantileDiscretizer
+    text = [c for c in cols if _is_text(df, c)]
+    out = df
+    if text:
+        bounds = _text_bounds(df, text, bits)
+        out = out.withColumns({f"__zb_{c}": _text_bucket(_as_text(df, c), bounds[c], bits) for c in text})
+    cols = [c for c in cols if c not in text]
+    if not cols:
+        return out
     src = [f"__zsrc_{c}" for c in cols]
-    out = df.withColumns({s: _rank(df, c) for s, c in zip(src, cols)})
+    out = out.withColumns({s: _rank(df, c) for s, c in zip(src, cols)})
     qd = QuantileDiscretizer(numBuckets=1 << bits, inputCols=src, outputCols=[f"__zb_{c}" for c in cols],
                              relativeError=relative_error, handleInvalid="keep")
     model = qd.fit(out)

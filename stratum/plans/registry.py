@@ -743,3 +743,6 @@ def q_zorder_overlap(spark, sf_dir):
     total = stats.count()
     return spark.createDataFrame([("user_id", total, u), ("value", total, v)],
                                  "column string, files long, files_to_read long")
+
+
+from stratum.plans import incremental  # noqa: E402,F401  (registers its queries)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.functions.datetime import split_invoice_datetime
 from stratum.operators import aggregates as agg
@@ -46,7 +47,7 @@ def shape_retail(cleaned: DataFrame) -> DataFrame:
     parts = split_invoice_datetime("InvoiceDate")
     return cleaned.select(
         "InvoiceNo", "StockCode", "Description", "Quantity",
-        parts["CleanDate"].alias("InvoiceDate"), parts["CleanTime"].alias("InvoiceTime"),
+        parts["date"].alias("InvoiceDate"), parts["time"].alias("InvoiceTime"),
         parts["InvoiceDatetime"].alias("InvoiceDatetime"),
         "UnitPrice", "CustomerID", "Country")
 
@@ -87,6 +88,14 @@ def quality_split_by_country(quality: DataFrame) -> DataFrame:
     return expect_or_drop(quality, QUALITY_RULES)
 
 
+def _sum_rows(spark: SparkSession, target, name: str, version: int) -> DataFrame:
+    """Signed rows for the sums of a node: what a version changed in the target. Countries are those of all
+    quality rows, superseded ones too, which are only ever added."""
+    if name == "distinct_countries_retail":
+        return target.changes(version).withColumn("_sign", F.lit(1))
+    return target.deltas(version)
+
+
 @dataclass
 class RetailTables:
     root: str
@@ -94,8 +103,28 @@ class RetailTables:
     paths: dict[str, str] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
+        """A node's rows: of the target by merge on read, of a complete dataset its newest snapshot."""
+        from stratum.streaming.snapshots import Snapshots
+        kind = {d[0]: d[3] for d in RETAIL_DATASETS}[name]
+        if kind == "target":
+            return self.target(spark).read()
+        if kind == "complete":
+            return Snapshots(spark, self.paths[name]).read()
         return spark.read.parquet(self.paths[name])
 
+    def target(self, spark: SparkSession):
+        """The keyed target, by append-only changes and the newest row of a key."""
+        from stratum.streaming.buckets import ChangeTable
+        schema = spark.read.parquet(self.paths["quality_retail"]).select(*QUALITY_COLUMNS).schema
+        return ChangeTable(spark, self.paths["retail_sales_all_countries"], schema, CHANGE_KEYS, SEQUENCE_BY)
+
+    def sums(self, spark: SparkSession, name: str):
+        """The sums that a complete dataset is shown from."""
+        from stratum.streaming.buckets import KeptSums
+        groups, value, types = KEPT_SUMS[name]
+        return KeptSums(spark, f"{self.root}/sums/{name}", {c: F.expr(e) for c, e in groups.items()},
+                        F.col(value) if value else None, types)
+
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.table(f"{self.prefix}_{name}")
 
@@ -115,13 +144,32 @@ RETAIL_DATASETS = [
 ]
 
 
+# The sums kept of each complete dataset: its groups, what is summed, and the groups' types.
+KEPT_SUMS = {
+    "distinct_countries_retail": ({"Country": "Country"}, None, {"Country": "string"}),
+    "sales_by_day": ({"Date": f"date_trunc('day', {SEQUENCE_BY})"}, "Quantity", {"Date": "timestamp"}),
+    "sales_by_country": ({"Country": "Country"}, "Quantity", {"Country": "string"}),
+    "top_ten_customers": ({"CustomerID": "CustomerID"}, "Quantity", {"CustomerID": "string"}),
+}
+# How the complete datasets are shown from their sums.
+SHOWN = {
+    "distinct_countries_retail": lambda df: df,
+    "sales_by_day": lambda df: df.orderBy("Date"),
+    "sales_by_country": lambda df: df.orderBy(F.col("TotalSales").desc()),
+    "top_ten_customers": lambda df: df.orderBy(F.col("TotalSales").desc(), F.col("CustomerID").asc()).limit(10),
+}
+
+
 def run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str,
                max_files: int | None = None) -> RetailTables:
     """Run the whole retail graph once, in dependency order.
 
     Streaming datasets run as Structured Streaming queries with ``availableNow`` (each with its own
-    checkpoint, so a re-run only picks up new files); complete datasets are batch recomputations;
-    every materialised dataset is registered as ``<prefix>_<name>`` with its comment and tier.
+    checkpoint, so a re-run only picks up new files). The keyed target appends the new quality rows and
+    merges them into the buckets that they touch; the complete datasets keep sums, to which a version's
+    signed changes are added, and show them as a new snapshot. So a re-run reads new rows, touched
+    buckets and sums, never the whole target. Every materialised dataset is registered as
+    ``<prefix>_<name>`` with its comment and tier.
     """
     from stratum.streaming.datasets import Dataset, live_table, streaming_table
 
@@ -145,12 +193,14 @@ def run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str,
     streaming_table(spark, ds["quality_retail_split_by_country"],
                     quality_split_by_country(upstream("quality_retail")), f"{ck}/split")
 
-    # keyed target: latest per key over everything the quality table holds (exact for any
-    # arrival order), then the complete summaries over it
-    quality = spark.read.parquet(t.paths["quality_retail"])
-    latest = live_table(spark, ds["retail_sales_all_countries"], sales_all_countries(quality))
-    live_table(spark, ds["distinct_countries_retail"], distinct_countries(quality))
-    live_table(spark, ds["sales_by_day"], sales_by_day(latest))
-    live_table(spark, ds["sales_by_country"], sales_by_country(latest))
-    live_table(spark, ds["top_ten_customers"], top_ten_customers(latest))
+    # the keyed target takes the quality rows that are new; its version tells what they changed
+    target = t.target(spark)
+    target.append(upstream("quality_retail").select(*QUALITY_COLUMNS), f"{ck}/target")
+    target.compact()
+    target.read().createOrReplaceTempView(ds["retail_sales_all_countries"].name)
+    for name in KEPT_SUMS:
+        sums = t.sums(spark, name)
+        for version in target.base.versions():      # those added before are left out
+            sums.apply(_sum_rows(spark, target, name, version), version)
+        live_table(spark, ds[name], SHOWN[name](sums.read()))
     return t

@@ -69,7 +69,7 @@ def enriched(silver_df: DataFrame, lookup: DataFrame, connectivity: DataFrame) -
 def gold_table(spark: SparkSession, path: str, schema: StructType, sink_id: str = "vw_voltage_alerts"):
     from stratum.streaming.upsert import UpsertTable
     return UpsertTable(spark, path, MERGE_KEYS, schema, GOLD_PARTITION_BY, sink_id=sink_id,
-                       dedupe_cols=DEDUPE_COLUMNS, on_multiple="all")
+                       dedupe_cols=DEDUPE_COLUMNS, on_multiple="all", partition_from_keys=True)  # event_timestamp's date
 
 
 def run_voltage(spark: SparkSession, envelope_path: str, lookup_path: str, connectivity: DataFrame,

@@ -2,7 +2,8 @@
 streaming or complete table (K6-K9).
 
 A declaration is metadata on top of the sinks: the table is written by ``append_stream`` (streaming),
-a batch overwrite (complete) or not at all (temporary: the DataFrame is handed to the next node);
+as the next snapshot folder (complete) or not at all (temporary: the DataFrame is handed to the next node).
+What the rules of a streaming dataset counted in each micro-batch is kept as rows (``rule_metrics``);
 once the location holds committed data it is registered in the session catalog with its comment and
 properties (``CREATE TABLE ... COMMENT ... TBLPROPERTIES``). Execution order is the caller's code.
 """
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators.quality import expect, expect_or_drop
 
+METRICS_SCHEMA = "dataset string, rule string, batch_id long, rows long, violations long"
+
 
 @dataclass
 class Dataset:
@@ -56,25 +59,49 @@ def streaming_table(spark: SparkSession, ds: Dataset, df: DataFrame, checkpoint:
                     trigger: dict | None = None):
     """Run a declared streaming dataset; a temporary one is returned unmaterialised (K6, K8)."""
     from stratum.streaming.sinks import append_stream
-    out, _ = ds.apply_rules(df)
+    out, observation = ds.apply_rules(df)
     if ds.temporary:
         return out
     q = append_stream(out, ds.path, checkpoint or f"{ds.path}_checkpoint", ds.partition_by, trigger,
                       query_name=ds.name)
     q.awaitTermination()
+    if observation:
+        _keep_metrics(spark, ds, q, observation)
     _register(spark, ds)
     return q
 
 
+def _keep_metrics(spark: SparkSession, ds: Dataset, q, name: str) -> None:
+    """Append what each micro-batch of a run counted: one row per rule and batch."""
+    from stratum.streaming.sinks import observed
+    rows = [(ds.name, rule, m["batch_id"], m["rows"], m[f"violations_{rule}"])
+            for m in observed(q, name) for rule in {**ds.drop_rules, **ds.warn_rules}]
+    if rows:
+        spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{ds.path}_rule_metrics")
+
+
+def rule_metrics(spark: SparkSession, ds: Dataset) -> DataFrame:
+    """(dataset, rule, batch_id, rows, violations): one row per rule and micro-batch (Q1, K6). A batch that
+    came again after a failure counts once."""
+    from stratum.sources.catalog import table_exists
+    path = f"{ds.path}_rule_metrics"
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], METRICS_SCHEMA)
+    return spark.read.schema(METRICS_SCHEMA).parquet(path).dropDuplicates(["dataset", "rule", "batch_id"])
+
+
 def live_table(spark: SparkSession, ds: Dataset, df: DataFrame) -> DataFrame:
-    """Create or refresh a declared complete dataset from a batch query (K7)."""
-    from stratum.sources.catalog import overwrite_table
+    """Create or refresh a declared complete dataset from a batch query (K7): its next snapshot."""
     out, _ = ds.apply_rules(df)
-    overwrite_table(out, ds.path, ds.partition_by)
-    if spark.catalog.tableExists(ds.name):
-        spark.sql(f"REFRESH TABLE {ds.name}")
-    _register(spark, ds)
-    return spark.read.parquet(ds.path)
+    table = snapshots(spark, ds)
+    table.publish(out)
+    return table.read()
+
+
+def snapshots(spark: SparkSession, ds: Dataset):
+    """The snapshot folders of a declared complete dataset."""
+    from stratum.streaming.snapshots import Snapshots
+    return Snapshots(spark, ds.path, ds.name, ds.comment, dict(ds.properties), ds.partition_by)
 
 
 def create_target(spark: SparkSession, ds: Dataset, schema) -> None:

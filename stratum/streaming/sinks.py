@@ -2,7 +2,8 @@
 
 * ``append_stream``  - append to a parquet table through the file sink: exactly-once via the sink's
   own commit log and the query checkpoint; optionally partitioned.
-* ``complete_stream`` - complete-mode aggregates replace the table each trigger (foreachBatch).
+* ``complete_stream`` - complete-mode aggregates replace the table each trigger (foreachBatch): a new
+  snapshot folder becomes the table when it is finished, so readers always see a whole one.
 * ``upsert_stream``   - keyed upsert per micro-batch (foreachBatch + ``UpsertTable.merge_batch``).
 
 ``foreachBatch`` makes PySpark start its Py4J callback server on the driver; the per-batch
@@ -47,10 +48,19 @@ def overwrite_batch(path: str, partition_by: Sequence[str] | None = None) -> Cal
     return fn
 
 
-def complete_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Complete-mode aggregate stream whose table is replaced every trigger (K2)."""
+def publish_batch(table) -> Callable[[DataFrame, int], None]:
+    """Per-batch function that makes the batch's (complete) result the next snapshot of ``table``."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        table.publish(batch)
+    return fn
+
+
+def complete_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                    name: str | None = None) -> StreamingQuery:
+    """Complete-mode aggregate stream whose table (``Snapshots(path)``) is replaced every trigger (K2)."""
+    from stratum.streaming.snapshots import Snapshots
     w = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-           .foreachBatch(overwrite_batch(path)))
+           .foreachBatch(publish_batch(Snapshots(df.sparkSession, path, name))))
     return _trigger(w, trigger).start()
 
 
@@ -71,6 +81,25 @@ def memory_stream(df: DataFrame, name: str, output_mode: str = "append",
     return w.start()
 
 
+def observed(query: StreamingQuery, name: str) -> list[dict]:
+    """The metrics observed under ``name`` in each micro-batch of a run, with its batch id, in order.
+
+    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them; a run of more batches is told
+    by its missing ids rather than by silently smaller sums.
+    """
+    rows = {}
+    for p in query.recentProgress:
+        if p["numInputRows"] and (m := (p.get("observedMetrics") or {}).get(name)) is not None:
+            rows[p["batchId"]] = {"batch_id": p["batchId"], **(m.asDict() if hasattr(m, "asDict") else dict(m))}
+    ids = [p["batchId"] for p in query.recentProgress]
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates", "100")) \
+        if hasattr(query, "_jsq") else 100
+    if ids and len(ids) >= kept:
+        raise RuntimeError(f"the run has {kept} or more progress updates: raise "
+                           "spark.sql.streaming.numRecentProgressUpdates to keep all its metrics")
+    return [rows[b] for b in sorted(rows)]
+
+
 def progress(query: StreamingQuery) -> list[dict]:
     """Rows read per trigger and observed metrics, from the query's recent progress."""
     return [{"batchId": p.get("batchId"), "numInputRows": p.get("numInputRows"),

@@ -2,21 +2,24 @@
 
 Per batch:
 
-1. dedupe the batch (``dedupe_cols``);
-2. read only the target partitions the batch touches, by a semi-join on the partition columns. Partition
-   columns derive from a merge key, so a match never crosses partitions;
+1. dedupe the batch, if ``dedupe_cols`` are given; new columns widen the table's schema (``evolved``);
+2. read only the target partitions the batch touches, by a semi-join on the partition columns. Where they
+   don't derive from a merge key (``partition_from_keys``), the partitions that hold the batch's keys are looked
+   up too, so that a key that moves is stored once;
 3. merge, tagging every row update / insert / keep, and write the
    touched partitions to a staging folder; the tag counts come from an ``Observation`` on that write;
 4. overwrite just those partitions of the table from the staged copy (dynamic overwrite);
 5. append one commit row (sink id, batch id, version, metrics) to the table's commit log.
 
-A replayed batch id that is already committed is skipped. A batch that failed after staging is
+A replayed batch id that is already committed by the same streaming query is skipped; a query that starts
+anew, on a fresh checkpoint, has an id of its own and its batches count from 0 again. A batch that failed after staging is
 re-published from its staged copy, so partitions are never recomputed from a half-written target.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 from collections.abc import Sequence
 
@@ -26,7 +29,8 @@ from pyspark.sql.types import (LongType, MapType, StringType, StructField, Struc
                                TimestampNTZType)
 
 from stratum.operators.changes import dedupe, latest_per_key, merge_upsert_tagged
-from stratum.sources.catalog import overwrite_table, path_exists, table_exists
+from stratum.operators.schema import evolved
+from stratum.sources.catalog import _fs, overwrite_table, path_exists, table_exists
 
 COMMIT_SCHEMA = StructType([
     StructField("sink_id", StringType()),
@@ -57,6 +61,12 @@ class CommitLog:
                                self.read().select("sink_id", "batch_id").collect()}
         return (sink_id, int(batch_id)) in self._committed
 
+    def schema(self) -> StructType | None:
+        """The table's schema as the last commit that changed it has it."""
+        last = self.read().select("version", F.col("operationMetrics")["schema"].alias("s")) \
+            .filter("s IS NOT NULL").agg(F.max_by("s", "version")).first()[0]
+        return StructType.fromJson(json.loads(last)) if last else None
+
     def next_version(self) -> int:
         if self._version is None:
             v = self.read().agg(F.max("version")).first()[0]
@@ -113,12 +123,15 @@ class UpsertTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: StructType,
                  partition_by: Sequence[str] | None = None, sink_id: str = "upsert",
                  dedupe_cols: Sequence[str] | None = None, on_multiple: str = "all",
-                 sequence_by: Sequence[str] | None = None):
+                 sequence_by: Sequence[str] | None = None, partition_from_keys: bool = False):
         self.spark, self.path, self.keys = spark, path, list(keys)
         self.schema, self.partition_by = schema, list(partition_by or [])
         self.sink_id, self.dedupe_cols = sink_id, dedupe_cols
         self.on_multiple, self.sequence_by = on_multiple, sequence_by
+        self.partition_from_keys = partition_from_keys or set(self.partition_by) <= set(self.keys)
         self.log = CommitLog(spark, f"{path}_commits")
+        if path_exists(spark, path) and (stored := self.log.schema()):
+            self.schema = evolved(stored, schema)
         self.staging = f"{path}_staging"
 
     @property
@@ -144,12 +157,20 @@ class UpsertTable:
         no_value = F.lit(False)
         for c in self.partition_by:
             no_value = no_value | F.col(c).isNull()
-        parts = source.select(*self.partition_by).filter(~no_value).distinct()
+        parts = source.select(*self.partition_by)
+        if not self.partition_from_keys:
+            had = target.join(source.select(*self.keys).dropna().distinct(), self.keys, "left_semi")
+            parts = parts.unionByName(had.select(*self.partition_by))
+        parts = parts.filter(~no_value).distinct()
         return target.filter(~no_value).join(parts, self.partition_by, "left_semi").select(*target.columns) \
             .unionByName(target.filter(no_value))
 
     def _source(self, batch: DataFrame) -> DataFrame:
-        src = dedupe(batch.select(*self.columns), self.dedupe_cols)
+        missing = [f for f in self.schema.fields if f.name not in batch.columns]
+        src = batch.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f in missing
+                             else F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        if self.dedupe_cols:
+            src = dedupe(src, self.dedupe_cols)
         if self.on_multiple == "latest":
             nn = F.lit(True)
             for k in self.keys:
@@ -158,12 +179,16 @@ class UpsertTable:
         return src
 
     def merge_batch(self, batch: DataFrame, batch_id: int) -> dict | None:
-        """foreachBatch function: upsert one micro-batch (idempotent per batch id)."""
+        """foreachBatch function: upsert one micro-batch (idempotent per streaming query and batch id)."""
         t0 = time.time()
-        if self.log.committed(self.sink_id, batch_id):
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        sink = f"{self.sink_id}@{query}" if query else self.sink_id
+        if self.log.committed(sink, batch_id):
             return None
+        grown = evolved(self.schema, batch.schema)
+        new_schema, self.schema = (grown, grown) if grown != self.schema else (None, self.schema)
         self.ensure()
-        staged_path = f"{self.staging}/{self.sink_id}-{int(batch_id)}"
+        staged_path = f"{self.staging}/{sink}-{int(batch_id)}"
         metrics: dict = {}
         if not table_exists(self.spark, staged_path):
             # the batch is evaluated once: written to staging, then read for partitions and merge
@@ -186,10 +211,27 @@ class UpsertTable:
                            numOutputRows=m["out"], scanTimeMs=int((time.time() - t0) * 1000))
         else:
             metrics["republished"] = 1
+        if new_schema:
+            metrics["schema"] = new_schema.json()
         t2 = time.time()
         staged = self.spark.read.schema(self.schema).parquet(staged_path)
         overwrite_table(staged, self.path, self.partition_by, dynamic=True)
+        if self.partition_by and not self.partition_from_keys:
+            self._drop_emptied(staged, self.spark.read.schema(self.schema).parquet(f"{staged_path}_source"))
         metrics.update(rewriteTimeMs=int((time.time() - t2) * 1000),
                        executionTimeMs=int((time.time() - t0) * 1000))
-        self.log.append(self.sink_id, batch_id, "MERGE", metrics)
+        self.log.append(sink, batch_id, "MERGE", metrics)
         return metrics
+
+    def _drop_emptied(self, staged: DataFrame, source: DataFrame) -> None:
+        """Delete the folders that all keys have moved out of: of the partitions that hold keys of the batch,
+        those without a row in the new copy. A dynamic overwrite leaves such folders as they were."""
+        had = self.read().join(source.select(*self.keys).dropna().distinct(), self.keys, "left_semi") \
+            .select(*self.partition_by).distinct()
+        now = staged.select(*self.partition_by).distinct()
+        same = [had[c].eqNullSafe(now[c]) for c in self.partition_by]
+        path_of = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        for r in had.join(now, same, "left_anti").collect():   # folders, at most as many as the batch's keys lay in
+            folder = "/".join(path_of(c, None if r[c] is None else str(r[c])) for c in self.partition_by)
+            fs, p = _fs(self.spark, f"{self.path}/{folder}")
+            fs.delete(p, True)

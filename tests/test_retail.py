@@ -7,7 +7,7 @@ def _clean(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "InvoiceDate string")
     p = split_invoice_datetime("InvoiceDate")
     return [(r.d, r.t, str(r.ts) if r.ts else None) for r in
-            df.select(p["CleanDate"].alias("d"), p["CleanTime"].alias("t"), p["InvoiceDatetime"].alias("ts")).collect()]
+            df.select(p["date"].alias("d"), p["time"].alias("t"), p["InvoiceDatetime"].alias("ts")).collect()]
 
 
 def test_invoice_date_edge_rows(spark):
