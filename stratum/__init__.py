@@ -21,9 +21,12 @@ from stratum.sources.envelope import ingest_envelope, stream_bus
 from stratum.sources.files import (empty_like, from_rows, infer_schema, read_csv, read_lookup,
                                    read_table, stream_files, stream_table, with_input_file)
 from stratum.sources.json import parse_json_rescue
-from stratum.streaming.datasets import Dataset, live_table, streaming_table
-from stratum.streaming.late import count_by_window_stream, dedupe_stream, drop_late
+from stratum.streaming.buckets import ChangeTable, KeptSums
+from stratum.streaming.datasets import Dataset, live_table, rule_metrics, streaming_table
+from stratum.streaming.enrich import Branch, run_branches
+from stratum.streaming.late import LateSplit, count_by_window_stream, dedupe_stream, drop_late
 from stratum.streaming.sinks import append_stream, complete_stream, stop_all, upsert_stream
+from stratum.streaming.snapshots import Snapshots
 from stratum.streaming.upsert import CommitLog, UpsertTable
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -224,6 +224,23 @@ def q_url_skipping(spark, sf_dir):
                       (F.avg("files") <= 2).alias("one_file_a_url"))
 
 
+@register("clustered_dataset", osql.RETAIL_QUALITY)
+def q_clustered_dataset(spark, sf_dir):
+    """The quality dataset declared with clustering columns, in deliveries: each run's rows are laid out by
+    customer and time, earlier runs' files stay as they are."""
+    from stratum.streaming.datasets import Dataset, streaming_table
+    root = scratch_dir(spark, "clustered")
+    fx.retail_src(spark, sf_dir).write.parquet(f"{root}/feed")
+    feed = spark.read.parquet(f"{root}/feed")
+    cleaned = feed.drop("arrival")
+    ds = Dataset("clustered_" + root.rsplit("-", 1)[-1], f"{root}/quality", drop_rules=retail.QUALITY_RULES,
+                 cluster_by=["CustomerID", "InvoiceDatetime"])
+    for i, (low, high) in enumerate(RETAIL_DELIVERIES):
+        feed.filter(F.col("arrival").between(low, high)).drop("arrival").write.parquet(f"{root}/in/f{i:03d}")
+        streaming_table(spark, ds, retail.shape_retail(_stream_in(spark, root, cleaned.schema)), f"{root}/ck")
+    return spark.read.parquet(ds.path).select(*retail.QUALITY_COLUMNS)
+
+
 # ------------------------------------------------------------------------------- upserts
 @register("upsert_evolved", """
 WITH b AS (SELECT *, (dayofmonth(ts) - 1) // 10 AS blk FROM events),

@@ -9,14 +9,13 @@ from pyspark.sql.types import StructType
 
 from stratum.functions.columns import stamp_ingest
 from stratum.operators.aggregates import avg_by_key
-from stratum.sources.files import stream_files
+from stratum.sources.files import redistribute, stream_files
 
 
 def bronze_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = 1,
                   partitions: int | None = None) -> DataFrame:
     """CSV files one per trigger, stamped with a random id and the ingest time."""
-    df = stamp_ingest(stream_files(spark, path, "csv", schema, max_files=max_files))
-    return df.repartition(partitions) if partitions else df
+    return stamp_ingest(redistribute(stream_files(spark, path, "csv", schema, max_files=max_files), width=partitions))
 
 
 def silver(bronze: DataFrame, delay: str = "1 day") -> DataFrame:

@@ -734,15 +734,13 @@ def q_file_report_total(spark, sf_dir):
 @register("zorder_overlap")
 def q_zorder_overlap(spark, sf_dir):
     """Files a point predicate on each clustered column must open, after Z-ordering."""
-    z = _zordered(spark, sf_dir)
-    stats = layout.file_stats(z, ["user_id", "value"])
-    probe = fx.table(spark, sf_dir, "events").agg(F.percentile_approx("user_id", 0.5).alias("u"),
-                                                  F.percentile_approx("value", 0.5).alias("v")).first()
-    u = layout.files_overlapping(stats, "user_id", probe["u"]).agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    v = layout.files_overlapping(stats, "value", probe["v"]).agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    total = stats.count()
-    return spark.createDataFrame([("user_id", total, u), ("value", total, v)],
-                                 "column string, files long, files_to_read long")
+    stats = layout.file_stats(_zordered(spark, sf_dir), ["user_id", "value"])
+    probe = fx.table(spark, sf_dir, "events").agg(F.percentile_approx("user_id", 0.5).alias("user_id"),
+                                                  F.percentile_approx("value", 0.5).alias("value"))
+    has = lambda c: F.count_if(F.col(c).between(F.col(f"min_{c}"), F.col(f"max_{c}")))
+    both = stats.join(F.broadcast(probe)).agg(F.count(F.lit(1)).alias("files"), has("user_id").alias("u"), has("value").alias("v"))
+    return both.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), "files", F.col(n).alias("files_to_read"))
+                                           for c, n in (("user_id", "u"), ("value", "v"))])).alias("r")).select("r.*")
 
 
 from stratum.plans import incremental  # noqa: E402,F401  (registers its queries)

@@ -15,7 +15,7 @@ from stratum.operators import aggregates as agg
 from stratum.operators.changes import apply_changes
 from stratum.operators.quality import expect_or_drop, quarantine
 from stratum.plans.fixtures import RETAIL_DDL
-from stratum.sources.files import stream_files, with_input_file
+from stratum.sources.files import redistribute, stream_files, with_input_file
 
 # The declared expectations of the retail flow.
 QUALITY_RULES = {
@@ -38,8 +38,9 @@ def raw_retail_stream(spark: SparkSession, path: str, max_files: int | None = No
     return with_input_file(src)
 
 
-def cleaned_retail(raw: DataFrame) -> DataFrame:
-    return raw.select("*")
+def cleaned_retail(raw: DataFrame, width: int | None = None) -> DataFrame:
+    """The raw rows, dealt out if their scan is narrow (P17), so that the nodes behind it are as wide."""
+    return redistribute(raw.select("*"), width=width)
 
 
 def shape_retail(cleaned: DataFrame) -> DataFrame:

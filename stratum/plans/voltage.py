@@ -12,7 +12,7 @@ from stratum.functions.xml import DEDUPE_COLUMNS, flatten_alerts
 from stratum.operators.changes import dedupe
 from stratum.operators.joins import enrich, strip_text, with_region
 from stratum.sources.envelope import ingest_envelope
-from stratum.sources.files import read_lookup
+from stratum.sources.files import read_lookup, redistribute
 
 # Distribution network by mpan prefix; anything else (or NULL) is 'Others'.
 DNO_PREFIXES = {"12": "LPN", "19": "SPN", "10": "EPN"}
@@ -26,8 +26,10 @@ GOLD_PARTITION_BY = ["event_year", "event_month", "event_day"]
 BRONZE_PARTITION_BY = ["ReceivedYear", "ReceivedMonth", "ReceivedDay"]
 
 
-def bronze(envelope: DataFrame, tz: str = "Europe/London", keep: list[str] | None = None) -> DataFrame:
-    return ingest_envelope(envelope, tz, keep=keep)
+def bronze(envelope: DataFrame, tz: str = "Europe/London", keep: list[str] | None = None,
+           width: int | None = None) -> DataFrame:
+    """Typed envelopes. Their bodies are heavy to parse, so a narrow scan is dealt out first."""
+    return ingest_envelope(redistribute(envelope, width=width), tz, keep=keep)
 
 
 def flattened(bronze_df: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -12,9 +12,6 @@ from pyspark.sql.types import TimestampNTZType
 
 from stratum.functions.datetime import utc_to_local
 
-BRONZE_COLUMNS = ["Offset", "ReceivedTime", "ReceivedDate", "ReceivedYear", "ReceivedMonth",
-                  "ReceivedDay", "Body"]
-
 
 def utc_wall_clock(df: DataFrame, col: str) -> Column:
     """The column as a TIMESTAMP_NTZ UTC wall clock, whether it is NTZ already or an instant."""

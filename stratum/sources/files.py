@@ -71,6 +71,31 @@ def stream_table(spark: SparkSession, path: str, schema: Schema | None = None,
     return r.load(path)
 
 
+#: Bytes of input that make a task of their own when a narrow scan is dealt out.
+TASK_BYTES = 1 << 20
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes of the files and tables that a frame reads (the planner's sizes of its leaves; no job)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def redistribute(df: DataFrame, task_bytes: int = TASK_BYTES, width: int | None = None) -> DataFrame:
+    """Deal rows out before heavy work per row (P17), to a task per ``task_bytes`` of input, at most as many
+    as run at once. A scan that is as wide by its own splits is left as it is, so at scale nothing is
+    shuffled; ``width`` sets the number of partitions outright (streams have no size to go by)."""
+    if width:
+        return df.repartition(width)
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores, size = spark.sparkContext.defaultParallelism, scan_bytes(df)
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    wanted = min(cores, -(-size // task_bytes))
+    return df.repartition(wanted) if wanted > 1 and size < cores * split else df
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """Snapshot read of a table."""
     return spark.read.format(fmt).options(**options).load(path)

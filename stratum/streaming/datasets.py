@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from stratum.operators.quality import expect, expect_or_drop
 
@@ -30,6 +32,8 @@ class Dataset:
     drop_rules: Mapping[str, str] = field(default_factory=dict)
     warn_rules: Mapping[str, str] = field(default_factory=dict)
     temporary: bool = False
+    cluster_by: Sequence[str] = ()     # new files are laid out by these columns
+    cluster_files: int | None = None   # files of a run; by default as many as its size asks for
 
     def apply_rules(self, df: DataFrame):
         """Warn rules are counted (observation), drop rules filter. Returns (df, observation|None)."""
@@ -50,7 +54,7 @@ def _register(spark: SparkSession, ds: Dataset) -> bool:
     comment = ds.comment.replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {ds.name} USING parquet LOCATION '{ds.path}' "
               f"COMMENT '{comment}'" + (f" TBLPROPERTIES ({props})" if props else ""))
-    if ds.partition_by:
+    if ds.partition_by or ds.cluster_by:
         spark.sql(f"MSCK REPAIR TABLE {ds.name}")
     return True
 
@@ -62,6 +66,8 @@ def streaming_table(spark: SparkSession, ds: Dataset, df: DataFrame, checkpoint:
     out, observation = ds.apply_rules(df)
     if ds.temporary:
         return out
+    if ds.cluster_by:
+        return _clustered_table(spark, ds, out, checkpoint or f"{ds.path}_checkpoint", trigger, observation)
     q = append_stream(out, ds.path, checkpoint or f"{ds.path}_checkpoint", ds.partition_by, trigger,
                       query_name=ds.name)
     q.awaitTermination()
@@ -71,6 +77,40 @@ def streaming_table(spark: SparkSession, ds: Dataset, df: DataFrame, checkpoint:
     return q
 
 
+RUN = "_run"
+
+
+def _clustered_table(spark: SparkSession, ds: Dataset, out: DataFrame, checkpoint: str, trigger, observation):
+    """A streaming dataset with clustering columns: arrivals are appended as they come, then a job lays
+    out the runs that aren't laid out yet, ``<path>/_run=<n>``, and only those. A job that broke off is done
+    anew by the next run."""
+    from stratum.operators.layout import cluster_by_zorder
+    from stratum.sources.catalog import _fs, table_exists
+    from stratum.streaming.buckets import folders
+    from stratum.streaming.sinks import append_stream
+    arrivals, schema = f"{ds.path}_arrivals", out.schema
+    q = append_stream(out.withColumn(RUN, F.lit(max(folders(spark, arrivals, RUN), default=-1) + 1)), arrivals, checkpoint,
+                      [RUN], trigger, query_name=ds.name)
+    q.awaitTermination()
+    if observation:
+        _keep_metrics(spark, ds, q, observation)
+    if not table_exists(spark, arrivals):
+        return q
+    came = spark.read.schema(StructType([*schema.fields, StructField(RUN, IntegerType())])).parquet(arrivals)
+    for n in folders(spark, arrivals, RUN):
+        done = f"{ds.path}/{RUN}={n}"
+        if table_exists(spark, done):
+            continue
+        new = came.filter(F.col(RUN) == n).drop(RUN)
+        w = cluster_by_zorder(new, ds.cluster_by, ds.cluster_files).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static")
+        (w.partitionBy(*ds.partition_by) if ds.partition_by else w).parquet(done)
+        fs, p = _fs(spark, f"{ds.path}/_SUCCESS")
+        fs.create(p, True).close()     # the table holds a finished run
+    _register(spark, ds)
+    return q
+
+
 def _keep_metrics(spark: SparkSession, ds: Dataset, q, name: str) -> None:
     """Append what each micro-batch of a run counted: one row per rule and batch."""
     from stratum.streaming.sinks import observed

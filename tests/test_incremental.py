@@ -180,6 +180,41 @@ def test_rule_metrics_are_kept_as_rows(spark, tmp):
         ("has_id", 0, 2, 1), ("has_id", 1, 3, 0), ("short", 0, 2, 1), ("short", 1, 3, 2)]
 
 
+def test_clustered_dataset_lays_out_new_runs_only(spark, tmp):
+    from stratum.streaming.datasets import Dataset, streaming_table
+    ds = Dataset("cl_" + tmp.rsplit("-", 1)[-1], f"{tmp}/out", drop_rules={"has_id": "id IS NOT NULL"}, cluster_by=["id"], cluster_files=4)
+    files = []
+    for i in range(2):
+        spark.range(400).select(F.when(F.col("id") != 7, F.col("id") * 37 % 400 + 400 * i).alias("id"), F.lit("x").alias("s")) \
+            .write.parquet(f"{tmp}/in/f{i}")
+        src = spark.readStream.schema("id long, s string").option("recursiveFileLookup", True).parquet(f"{tmp}/in")
+        streaming_table(spark, ds, src, f"{tmp}/ck")
+        files.append(set(spark.read.parquet(ds.path).inputFiles()))
+    assert files[0] < files[1] and len(files[1]) == 8
+    stored = spark.read.parquet(ds.path)
+    assert stored.count() == 798 and spark.table(ds.name).count() >= 399
+    assert layout.files_overlapping(layout.file_stats(stored, ["id"]), "id", 555).count() == 1
+
+
+def test_narrow_scans_are_dealt_out_by_bytes(spark, tmp):
+    from stratum.sources.files import redistribute, scan_bytes
+    spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s")).coalesce(1).write.parquet(f"{tmp}/t")
+    df = spark.read.parquet(f"{tmp}/t")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    dealt = redistribute(df)
+    assert scan_bytes(df) > 4 << 20 and "Exchange" in plan(dealt)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "Exchange" not in plan(redistribute(df, task_bytes=1 << 30)) and redistribute(df, width=3).rdd.getNumPartitions() == 3
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")       # a wide scan is left as it is
+        assert "Exchange" not in plan(redistribute(df))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    stream = spark.readStream.schema("id long").parquet(f"{tmp}/t")
+    assert redistribute(stream).isStreaming
+
+
 # ------------------------------------------------------------------------------------ upsert table
 def _table(spark, path, schema, **kw):
     from stratum.streaming.upsert import UpsertTable
