@@ -241,6 +241,20 @@ def q_clustered_dataset(spark, sf_dir):
     return spark.read.parquet(ds.path).select(*retail.QUALITY_COLUMNS)
 
 
+@register("file_stats_bounds", """
+SELECT CAST(count(*) AS BIGINT) AS rows, min(user_id) AS min_user_id, max(user_id) AS max_user_id,
+       min(value) AS min_value, max(value) AS max_value, TRUE AS each_file_named FROM events""")
+def q_file_stats_bounds(spark, sf_dir):
+    """The per-file bounds of a Z-ordered table, together: they cover the whole table and every file."""
+    path = scratch_dir(spark, "file_stats") + "/events"
+    layout.cluster_by_zorder(fx.table(spark, sf_dir, "events"), ["user_id", "value"], files=8).write.parquet(path)
+    stored = spark.read.parquet(path)
+    stats = layout.file_stats(stored, ["user_id", "value"])
+    return stats.agg(F.sum("rows").alias("rows"), F.min("min_user_id").alias("min_user_id"), F.max("max_user_id").alias("max_user_id"),
+                     F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"),
+                     (F.count_distinct("file") == F.lit(len(stored.inputFiles()))).alias("each_file_named"))
+
+
 # ------------------------------------------------------------------------------- upserts
 @register("upsert_evolved", """
 WITH b AS (SELECT *, (dayofmonth(ts) - 1) // 10 AS blk FROM events),
