@@ -19,9 +19,15 @@ from stratum.session import scratch_dir
 TMP = "__llm_"
 
 
+#: Bytes of an Arrow batch that a Python worker is handed, so that long texts don't add up.
+BATCH_BYTES = 8 << 20
+
+
 def ready(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per context (as spark-submit --py-files would)."""
+    """Give the executors' Python this package, once per context (as spark-submit --py-files would), and
+    batches of bounded size."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if getattr(sc, "_llm_shipped", False):
         return
     package = Path(stratum.__file__).parent

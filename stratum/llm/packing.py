@@ -26,18 +26,22 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stratum.llm.common import TMP, stored, text_or_empty
-from stratum.llm.pretokens import BEYOND_FAST, FAST_WORDS, Memo, added_tokens, byte_level
+from stratum.llm.pretokens import BEYOND_FAST, FAST_WORDS, ByteMemo, added_tokens, byte_level
 
 #: Window lengths; all but the longest one are powers of two, which are never padded.
 TIERS = (2048, 1024, 512, 256)
 #: Waiting tokens, in windows of the longest tier, at which a task packs.
 WAITING_WINDOWS = 256
+#: Tasks whose sequences are summed up together.
+PARTS = 1000
 #: Tokens of a step: as many sequences of a tier as make this many.
 STEP_TOKENS = 1 << 16
-#: Strings of which a worker remembers the ids (twice as many at most).
-MEMO = 400_000
+#: Bytes of a generation of a worker's memos of strings and their ids (two generations each): those
+#: between white space, and the words in them.
+MEMO_BYTES, WORD_BYTES = 16 << 20, 8 << 20
 #: Characters at which str.split() splits though the pattern has them as symbols.
 SPLIT_ONLY = re.compile("[\x1c-\x1f]")
 
@@ -52,7 +56,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.special, ids = added_tokens(path)
         self.special_ids = {s: array("I", [i]).tobytes() for s, i in ids.items()}
-        self.words, self.chunks = Memo(self.word, MEMO), Memo(self.chunk, MEMO)
+        self.words, self.chunks = ByteMemo(self.word, WORD_BYTES), ByteMemo(self.chunk, MEMO_BYTES)
 
     def word(self, word: str) -> bytes:
         return array("I", [t.id for t in self.tokenizer.model.tokenize(byte_level(word))]).tobytes()
@@ -215,12 +219,15 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, tiers: tuple[int, ...] = T
     if any(t & (t - 1) for t in tiers if t != max(tiers)):
         raise ValueError("tiers below the longest one must be powers of two")
     pieces = stored(_pieces(docs, path, end_id, tuple(tiers), id_col, text_col), "packed")
-    # one row per task and sequence length (a dozen at most), so the sums run over few rows
-    made = pieces.groupBy("tier", "part").agg((F.max("number") + 1).alias("made"))
-    before = made.alias("a").join(made.alias("b"), (F.col("a.tier") == F.col("b.tier"))
-                                  & (F.col("b.part") < F.col("a.part")), "left") \
-        .groupBy(F.col("a.tier").alias("tier"), F.col("a.part").alias("part")) \
-        .agg(F.coalesce(F.sum("b.made"), F.lit(0)).alias("before"))
+    # one row per task and sequence length; running sums over blocks of tasks, then within a block
+    made = pieces.groupBy("tier", "part").agg((F.max("number") + 1).alias("made")) \
+        .withColumn("block", F.floor(F.col("part") / F.lit(PARTS)))
+    before = lambda *by: F.coalesce(F.sum("made").over(
+        Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = made.groupBy("tier", "block").agg(F.sum("made").alias("made")) \
+        .select("tier", "block", before("tier", "block").alias("blocks_before"))
+    before = made.withColumn("before", before("tier", "block", "part")).join(blocks, ["tier", "block"]) \
+        .select("tier", "part", (F.col("before") + F.col("blocks_before")).alias("before"))
     per_step = F.greatest(F.lit(1), F.floor(F.lit(step_tokens) / F.col("tier")))
     return pieces.join(before, ["tier", "part"]).select(
         id_col, "start", "length", "ids_crc32", "doc_tokens",

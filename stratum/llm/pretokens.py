@@ -82,24 +82,6 @@ def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
     return (re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None), ids
 
 
-class Memo(dict):
-    """A memo of bounded size: two generations, so that frequent keys stay when it turns over."""
-
-    def __init__(self, compute, limit: int):
-        super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.compute(key)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class ByteMemo(dict):
     """A memo of strings whose two generations hold about ``limit`` bytes each, whatever their lengths."""
 

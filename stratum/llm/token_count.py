@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from stratum.llm.common import TMP, text_or_empty
 from stratum.llm.pretokens import (
-    BEYOND_FAST, FAST, SPACE_RUN, Memo, added_tokens, byte_letters, byte_level)
+    BEYOND_FAST, FAST, SPACE_RUN, ByteMemo, added_tokens, byte_letters, byte_level)
 
-#: Strings between spaces whose counts a worker remembers (twice as many at most).
-MEMO = 400_000
+#: Bytes of a generation of a worker's memos (two generations each) of the counts of strings between spaces,
+#: and of pre-tokens.
+MEMO_BYTES, PIECE_BYTES = 40 << 20, 16 << 20
 
 
 def whole_tokens(tokenizer) -> list[str]:
@@ -52,8 +53,8 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         self.special, _ = added_tokens(path)
         self.whole = set(whole_tokens(self.tokenizer))
-        self.merged = Memo(self.merge, MEMO)
-        self.spaced = Memo(lambda chunk: self.split_count(" " + chunk), MEMO)
+        self.merged = ByteMemo(self.merge, PIECE_BYTES)
+        self.spaced = ByteMemo(lambda chunk: self.split_count(" " + chunk), MEMO_BYTES)
 
     def merge(self, piece: str) -> int:
         return len(self.tokenizer.model.tokenize(byte_level(piece)))
