@@ -6,8 +6,8 @@ of their parents, byte lengths are taken by id and summed up per document, A's a
 are joined by Acero, and the links' id pairs are counted by ``Table.group_by`` in each task and summed
 up by Spark. With the corpus-wide counts, documents learn how often their own links occur.
 
-A worker encodes strings that no merge crosses (pre-tokens of A, blank-led words of B; for B that is proven
-on the vocabulary first) once per memo, whose bytes are bounded. Links are stored as id lists beside the
+A's texts are merged by rank where the vocabulary proves that the ids stay those of its library (see
+``ByteLevel``). Links are stored as id lists beside the
 documents. The table of counts is sent to the tasks if it has at most ``SHARED_PAIRS`` rows; beyond that,
 documents and the pairs of their chunk meet in a shuffle, a chunk being a bounded number of links, so no pair
 is a hot key and no document leaves its row.
@@ -20,7 +20,7 @@ repeated rows count each; an empty table gives no rows; extra columns don't matt
 from __future__ import annotations
 
 import hashlib
-import re
+import json
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,10 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.common import TMP, shuffle_width, stored
-from stratum.llm.pretokens import BEYOND_FAST, FAST, ByteMemo, byte_letters, byte_level, whole_pattern
+from stratum.llm.pretokens import BEYOND_FAST, byte_letters
 
-#: Bytes of a memo generation of a worker; there are two memos of two generations each.
-MEMO_BYTES = 16 << 20
 #: Characters of the texts that are encoded and aligned at a time, if one text isn't longer.
 SLICE_CHARS = 1 << 20
 #: Most id pairs that are sent to every task (17 bytes each); links of a chunk beyond that.
@@ -47,60 +45,49 @@ BLANK = "▁"
 
 
 class ByteLevel:
-    """Ids and token bytes of a byte-level vocabulary, one pre-token at a time."""
+    """Ids and token bytes of a byte-level vocabulary.
+
+    If every token, spelled out, merges to itself and a merge's rank is its product's id, merging by the rank of
+    what comes out (as the faster library does) takes the same steps as merging by the list of pairs: inside
+    a token's bounds both go on as they would on the token alone. That is proven on the vocabulary when a
+    worker starts; texts beyond the characters whose classes the tests compare take the vocabulary's own library.
+    """
 
     def __init__(self, path: str, pattern: str):
+        import tiktoken
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path).model
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True   # their strings in a text are ordinary text
         back = {c: b for b, c in enumerate(byte_letters())}
-        vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(back[c] for c in token)
-        self.pattern = whole_pattern(pattern)
-        self.memo = ByteMemo(self.merge, MEMO_BYTES)
-
-    def merge(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(byte_level(piece))]).tobytes()
+        with open(path, encoding="utf-8") as f:
+            merges = json.load(f)["model"]["merges"]
+        tokenize, first = self.library.model.tokenize, len(vocabulary) - len(merges)
+        products = ["".join(m if isinstance(m, list) else m.split(" ")) for m in merges]
+        self.by_rank = all(vocabulary.get(p) == first + k for k, p in enumerate(products)) and all(
+            [t.id for t in tokenize(token)] == [i] for token, i in vocabulary.items())
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, special_tokens={},
+                                      mergeable_ranks={self.bytes[i]: i for i in vocabulary.values()})
 
-    def __call__(self, text: str) -> bytes:
-        pieces = (self.pattern if BEYOND_FAST.search(text) else FAST).findall(text)
-        get = self.memo.__getitem__
-        return b"".join([get(p) if len(p) <= 64 else self.merge(p) for p in pieces])
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return [array("I", self.fast.encode_ordinary(t) if self.by_rank and not BEYOND_FAST.search(t)
+                      else self.library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
 
 
 class Pieces:
-    """Ids and token bytes of a piece vocabulary that puts a blank before the text. If no piece has a
-    blank after another sign, words with the blanks before them are encoded one by one."""
+    """Ids and token bytes of a piece vocabulary whose library puts a blank before the text."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
         self.library = SentencePieceProcessor(model_file=path)
-        pieces = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace(BLANK, " ").encode()
-                      for i, p in enumerate(pieces)]
-        self.parted = not any(re.search(f"[^{BLANK}]{BLANK}", p) for i, p in enumerate(pieces)
-                              if not self.library.is_control(i) and not self.library.is_unknown(i))
-        self.blank = array("I", [self.library.piece_to_id(BLANK)]).tobytes()
-        self.memo = ByteMemo(self.word, MEMO_BYTES)
-
-    def merge(self, text: str) -> bytes:
-        return array("I", self.library.encode(text, num_threads=1)).tobytes()
-
-    def word(self, word: str) -> bytes:
-        return self.merge(word) if word else self.blank  # the library puts no blank before nothing
-
-    def __call__(self, text: str) -> bytes:
-        if not self.parted or BLANK in text:
-            return self.merge(text)
-        get = self.memo.__getitem__
-        # each word without its first blank, which the library puts there again
-        words = _WORDS.findall(" " + text)
-        return b"".join([get(w) if len(w) <= 64 else self.word(w) for w in words])
+                      for i in range(self.library.get_piece_size()) for p in [self.library.id_to_piece(i)]]
 
-
-#: Blanks and what follows them up to the next blank; the first blank isn't part of the match.
-_WORDS = re.compile(" ( *[^ ]+| +$|$)")
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return [array("I", ids).tobytes() for ids in self.library.encode(texts, num_threads=1)] if texts else []
 
 
 @lru_cache(maxsize=1)
@@ -108,21 +95,32 @@ def encoders(a_path: str, b_path: str, pattern: str) -> tuple[ByteLevel, Pieces]
     return ByteLevel(a_path, pattern), Pieces(b_path)
 
 
+class Tables:
+    """By id: the token's bytes and how many, of A and B; and each id as text with each sign that can follow it."""
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.bytes = [pa.array(e.bytes, pa.binary()) for e in (a, b)]
+        self.lengths = [pc.binary_length(x).cast(pa.int64()) for x in self.bytes]
+        self.most = max(len(a.bytes), len(b.bytes))
+        self.texts = pa.array([f"{i}{sign}" for sign in _SIGNS for i in range(self.most)])
+
+
 @lru_cache(maxsize=1)
-def _tables(a_path: str, b_path: str, pattern: str) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """Byte lengths of A's and B's tokens, and each id as text with each sign that can follow it."""
-    a, b = encoders(a_path, b_path, pattern)
-    lengths = [pa.array([len(x) for x in e.bytes], pa.int64()) for e in (a, b)]
-    most = max(len(a.bytes), len(b.bytes))
-    return *lengths, pa.array([f"{i}{sign}" for sign in _SIGNS for i in range(most)])
+def _tables(a_path: str, b_path: str, pattern: str) -> Tables:
+    return Tables(*encoders(a_path, b_path, pattern))
 
 
 #: What follows an id: another of its stream, B's ids after A's, the next group, nothing.
 _SIGNS = (",", "|", ";", "")
 
 
-def _spelled(encoder, ids: bytes, want: bytes) -> bool:
-    return b"".join(map(encoder.bytes.__getitem__, memoryview(ids).cast("I"))) == want
+def _spelled(lists: pa.ListArray, token_bytes: pa.Array, lengths: pa.Array, want: list[bytes]) -> np.ndarray:
+    """Whether each document's tokens spell its bytes."""
+    ids = lists.flatten()
+    made = token_bytes.take(ids).cast(pa.large_binary())
+    bounds = np.r_[0, np.cumsum(np.asarray(lengths.take(ids)))][np.asarray(lists.offsets)]
+    data = memoryview(made.buffers()[2] or b"")
+    return np.array([bytes(data[x:y]) == w for x, y, w in zip(bounds.tolist(), bounds[1:].tolist(), want)], bool)
 
 
 def _list(ids: list[bytes]) -> pa.ListArray:
@@ -140,42 +138,41 @@ def _ends(lists: pa.ListArray, lengths: pa.Array) -> tuple[pa.Array, pa.Array, p
     return parent, ids, pc.subtract(sums, pa.array(before).take(parent))
 
 
-def aligned(a: pa.ListArray, b: pa.ListArray, a_lengths: pa.Array, b_lengths: pa.Array,
-            texts: pa.Array) -> dict[str, pa.Array | list]:
+def aligned(a: pa.ListArray, b: pa.ListArray, tables: Tables) -> dict[str, pa.Array | np.ndarray | list]:
     """Per document: n_groups, the links' ids as lists, and groups_sha256."""
-    a_doc, a_id, a_end = _ends(a, a_lengths)
-    b_doc, b_id, b_end = _ends(b, b_lengths)
-    left = pa.table({"doc": a_doc, "end": a_end, "a": a_id, "i": pa.array(np.arange(len(a_id)))})
-    right = pa.table({"doc": b_doc, "end": b_end, "b": b_id, "j": pa.array(np.arange(len(b_id)))})
-    links = left.join(right, ["doc", "end"], join_type="inner", use_threads=False).sort_by([("i", "ascending"), ("j", "ascending")])
-    n = len(a)
-    doc, i, j = (links[c].to_numpy() for c in ("doc", "i", "j"))
+    a_doc, a_id, a_end = _ends(a, tables.lengths[0])
+    b_doc, b_id, b_end = _ends(b, tables.lengths[1])
+    # a document's ends are told from the others' by the document's number above them
+    key = lambda doc, end: pc.bit_wise_or(pc.shift_left(doc.cast(pa.int64()), 40), end)
+    left = pa.table({"key": key(a_doc, a_end), "i": pa.array(np.arange(len(a_id)))})
+    right = pa.table({"key": key(b_doc, b_end), "j": pa.array(np.arange(len(b_id)))})
+    links = left.join(right, "key", join_type="inner", use_threads=False)
+    at, i, j = (links[c].to_numpy() for c in ("key", "i", "j"))
+    order = np.lexsort((j, i))
+    at, i, j, n = at[order], i[order], j[order], len(a)
+    doc = at >> 40
     # a group ends with the last token of each stream there
-    cut = np.r_[(doc[1:] != doc[:-1]) | (links["end"].to_numpy()[1:] != links["end"].to_numpy()[:-1]), True] \
-        if len(doc) else np.zeros(0, bool)
+    cut = np.r_[at[1:] != at[:-1], True][:len(at)]
     groups = np.bincount(doc[cut], minlength=n)
     ends = pa.array(np.r_[0, np.cumsum(np.bincount(doc, minlength=n))], pa.int32())
-    lists = [pa.ListArray.from_arrays(ends, links[c].combine_chunks()) for c in ("a", "b")]
+    a_ids, b_ids = np.asarray(a_id), np.asarray(b_id)
+    lists = [pa.ListArray.from_arrays(ends, pa.array(ids[x])) for ids, x in ((a_ids, i), (b_ids, j))]
     # A's and B's ids of each group in turn: a token stands after all of its stream before it, and after
     # the other stream's tokens of the groups before its own (A) or up to its own (B)
-    ai, bj = i[cut], j[cut]
-    a_group = np.searchsorted(ai, np.arange(len(a_id)))
-    b_group = np.searchsorted(bj, np.arange(len(b_id)))
-    a_place = np.arange(len(a_id)) + np.r_[0, bj + 1][a_group]
-    b_place = np.arange(len(b_id)) + (ai + 1)[b_group] if len(ai) else np.zeros(0, int)
-    a_sign, b_sign = np.zeros(len(a_id), np.int64), np.zeros(len(b_id), np.int64)
+    ai, bj, of = i[cut], j[cut], doc[cut]
+    a_many, b_many = np.diff(np.r_[-1, ai]), np.diff(np.r_[-1, bj])
+    a_place = np.arange(len(a_ids)) + np.repeat(np.r_[0, bj + 1][:len(ai)], a_many)
+    b_place = np.arange(len(b_ids)) + np.repeat(ai + 1, b_many)
+    a_sign, b_sign = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
     a_sign[ai] = 1
-    b_sign[bj] = 2
-    last = np.flatnonzero(np.r_[doc[cut][1:] != doc[cut][:-1], True]) if len(bj) else []
-    b_sign[bj[last]] = 3
-    most = len(texts) // len(_SIGNS)
-    order = np.zeros(len(a_id) + len(b_id), np.int64)
-    order[a_place] = np.asarray(a_id) + most * a_sign
-    order[b_place] = np.asarray(b_id) + most * b_sign
-    spelled = texts.take(pa.array(order))
-    starts = np.frombuffer(spelled.buffers()[1], np.int32, len(spelled) + 1)
+    b_sign[bj] = np.where(np.r_[of[1:] != of[:-1], True][:len(of)], 3, 2)
+    spell = np.zeros(len(a_ids) + len(b_ids), np.int64)
+    spell[a_place] = a_ids + tables.most * a_sign
+    spell[b_place] = b_ids + tables.most * b_sign
+    spelled = tables.texts.take(pa.array(spell))
+    starts = np.frombuffer(spelled.buffers()[1], np.int32, len(spelled) + 1) if len(spelled) else np.zeros(1, np.int32)
     data = memoryview(spelled.buffers()[2]) if len(spelled) else memoryview(b"")
-    bounds = starts[np.asarray(a.offsets) + np.asarray(b.offsets)]
+    bounds = starts[np.asarray(a.offsets) + np.asarray(b.offsets)].tolist()
     sha = [hashlib.sha256(data[x:y]).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])]
     return {"n_groups": groups, "a_links": lists[0], "b_links": lists[1], "groups_sha256": sha}
 
@@ -194,27 +191,30 @@ def token_links(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col:
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_of, b_of = encoders(a_path, b_path, pattern)
-        a_lengths, b_lengths, texts = _tables(a_path, b_path, pattern)
+        streams, tables = encoders(a_path, b_path, pattern), _tables(a_path, b_path, pattern)
         for batch in batches:
             for lo, hi in _slices(batch.column(1)):
                 b = batch.slice(lo, hi - lo)
-                a_ids, b_ids = [], []
-                for raw in b.column(1):
-                    own = raw.as_py() or b""
+                raws, texts = [x.as_py() or b"" for x in b.column(1)], []
+                for raw in raws:
                     try:
-                        text = own.decode("utf-8")
+                        texts.append(raw.decode("utf-8"))
                     except UnicodeDecodeError:
-                        text = ""
-                    a, c = (a_of(" " + text), b_of(text)) if text else (b"", b"")
-                    if text and not (_spelled(a_of, a, b" " + own) and _spelled(b_of, c, b" " + own)):
-                        a, c = b"", b""
-                    a_ids.append(a)
-                    b_ids.append(c)
-                found = aligned(_list(a_ids), _list(b_ids), a_lengths, b_lengths, texts)
+                        texts.append("")
+                some = [k for k, t in enumerate(texts) if t]
+                ids = [[b""] * len(texts) for _ in streams]
+                for own, encode, blank in zip(ids, streams, (" ", "")):
+                    for k, made in zip(some, encode([blank + texts[k] for k in some])):
+                        own[k] = made
+                lists, want = list(map(_list, ids)), [b" " + raw if t else b"" for raw, t in zip(raws, texts)]
+                good = np.logical_and(*(_spelled(x, y, z, want) for x, y, z in zip(lists, tables.bytes, tables.lengths)))
+                if not good.all():
+                    ids = [[x if g else b"" for x, g in zip(own, good)] for own in ids]
+                    lists = list(map(_list, ids))
+                found = aligned(*lists, tables)
+                sizes = [pc.list_value_length(x).cast(pa.int64()) for x in lists]
                 yield pa.RecordBatch.from_pydict({
-                    id_col: b.column(0), "n_a": pa.array([len(x) // 4 for x in a_ids], pa.int64()),
-                    "n_b": pa.array([len(x) // 4 for x in b_ids], pa.int64()), "n_groups": pa.array(found["n_groups"], pa.int64()),
+                    id_col: b.column(0), "n_a": sizes[0], "n_b": sizes[1], "n_groups": pa.array(found["n_groups"], pa.int64()),
                     "groups_sha256": pa.array(found["groups_sha256"], pa.string()),
                     "a_links": found["a_links"], "b_links": found["b_links"]})
 
