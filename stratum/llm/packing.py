@@ -41,7 +41,7 @@ PARTS = 1000
 STEP_TOKENS = 1 << 16
 #: Bytes of a generation of a worker's memos of strings and their ids (two generations each): those
 #: between white space, and the words in them.
-MEMO_BYTES, WORD_BYTES = 16 << 20, 8 << 20
+MEMO_BYTES, WORD_BYTES = 80 << 20, 24 << 20
 #: Characters at which str.split() splits though the pattern has them as symbols.
 SPLIT_ONLY = re.compile("[\x1c-\x1f]")
 
