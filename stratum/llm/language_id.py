@@ -116,7 +116,8 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, text_col: str = "te
     per_language = {r[0]: r[1] for r in labelled.groupBy(label_col).count().collect()}
     if not per_language:
         return model_of({})
-    bucket = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
+    # of id and text: rows without an id differ by their texts
+    bucket = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(1 << 20))
     chosen = reduce(Column.__or__, [
         (F.col(label_col) == x) & (bucket < int(min(1.0, train_rows / n) * (1 << 20)) + 1)
         for x, n in per_language.items()])
