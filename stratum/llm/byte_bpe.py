@@ -131,13 +131,15 @@ class TreeBpe:
         if end - start <= TEXT_LEAF:
             return self.library.encode_ordinary(text[start:end])
         mid = (start + end) // 2
+        if SEAM.match(text, mid):  # matches never run over a seam: nothing has to be encoded again
+            return self.encode(text, start, mid) + self.encode(text, mid, end)
         width = 64
         while True:  # grow the window to a seam on each side, or to the half's other end
             low, high = max(start, mid - width), min(end, mid + width)
             seams = [m.start() for m in SEAM.finditer(text, low, mid)]
             a = seams[-1] if seams else start if low == start else None
             after = SEAM.search(text, mid, high)
-            b = after.start() if after and after.start() > mid else end if high == end else None
+            b = after.start() if after else end if high == end else None
             if a is not None and b is not None:
                 break
             width *= 4
