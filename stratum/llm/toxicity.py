@@ -7,7 +7,8 @@ words come out alike, as both dictionaries share their ordinary part. A logistic
 distances, fitted on sample documents that built no dictionary, gives the score.
 
 The lexicon holds the words of toxic sample documents that begin with a prefix seen in far more
-contexts (preceding words) in toxic than in ordinary documents. Counting contexts, not
+contexts (preceding words) in toxic than in ordinary documents; words shorter than a prefix, from three
+letters on (two beyond ASCII), are prefixes of their own. Counting contexts, not
 occurrences, keeps passages out that are merely copied between toxic documents.
 
 The sample: about ``sample_docs`` documents of each class (twice as many ordinary ones), picked by a hash
@@ -38,6 +39,8 @@ SAMPLE_DOCS, ORDINARY_BYTES, LEXICON_BYTES = 1500, 1 << 16, 4096
 #: Bytes of a window and from one to the next; letters of prefixes; how many times as many contexts.
 WINDOW, STRIDE, PREFIX, CONTRAST = 96, 64, (4, 8), 10
 LEVEL, MIN_MATCH, THRESHOLD = 3, 5, 0.3
+#: Letters of the shortest words of the lexicon: with the blanks around it, what a dictionary can match.
+SHORT = 3
 FEATURES = 5
 
 
@@ -87,12 +90,16 @@ def lexicon(sample: DataFrame, size: int = LEXICON_BYTES) -> list[str]:
     pairs = words.select("toxic", F.explode(F.arrays_zip(
         F.col("w").alias("word"), F.concat(F.array(F.lit("")), F.col("w")).alias("before"))).alias("p")) \
         .select("toxic", F.col("p.word").alias("word"), F.pmod(F.xxhash64("p.before"), F.lit(4096)).alias("c")) \
-        .filter(F.length("word") >= PREFIX[0])
+        .filter((F.length("word") >= SHORT) | ((F.length("word") >= SHORT - 1) & (F.octet_length("word") > F.length("word"))))
     counted = pairs.groupBy("toxic", "word", "c").count()
     counted = stored(counted, "toxicity_words")
-    prefixes = F.explode(F.sequence(F.lit(PREFIX[0]), F.least(F.lit(PREFIX[1]), F.length("word"))))
+    prefixes = F.explode(F.sequence(F.least(F.lit(PREFIX[0]), F.length("word")),
+                                    F.least(F.lit(PREFIX[1]), F.length("word"))))
+    # a short word stands for itself, not for all that begins like it
+    prefix = lambda n: F.when(F.length("word") < PREFIX[0], F.concat("word", F.lit(" "))) \
+        .otherwise(F.substring(F.col("word"), F.lit(1), F.col(n)))
     contexts = counted.select("toxic", "word", "c", prefixes.alias("n")) \
-        .select("toxic", "c", F.substring(F.col("word"), F.lit(1), F.col("n")).alias("prefix")).distinct() \
+        .select("toxic", "c", prefix("n").alias("prefix")).distinct() \
         .groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("plain"))
     docs = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     ratio = docs.get(1, 0) / max(1, docs.get(0, 0))
@@ -100,9 +107,9 @@ def lexicon(sample: DataFrame, size: int = LEXICON_BYTES) -> list[str]:
         F.col("toxic") - 2 * F.sqrt("toxic") > CONTRAST * (F.col("plain") + 0.5) * ratio).select("prefix")
     of_toxic = counted.filter("toxic = 1").groupBy("word").agg(F.sum("count").alias("n"))
     found = of_toxic.select("word", "n", prefixes.alias("k")) \
-        .withColumn("prefix", F.substring(F.col("word"), F.lit(1), F.col("k"))) \
+        .withColumn("prefix", prefix("k")) \
         .join(telling, "prefix", "left_semi").groupBy("word").agg(F.max("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "word").limit(size // PREFIX[0]).collect()
+    top = found.orderBy(F.desc("n"), "word").limit(size // SHORT).collect()
     out, left = [], size
     for r in top:
         left -= len(r["word"].encode("utf-8")) + 2
