@@ -10,7 +10,8 @@ so a chain of n calls takes about log2(n) joins. A call whose dependency is miss
 on a cycle, or that depend on one, have depth null and come last.
 
 Defined cases: of several calls or results with one identifier, the one of the smallest turn (then text)
-counts and the number of all is reported; null identifiers never link; arguments that aren't a JSON
+counts and the number of all is reported; null identifiers never link, and they and results without a
+call are rows of ``unlinked``; arguments that aren't a JSON
 object are invalid and stay null in the record; an empty table gives an empty result; extra columns
 don't matter.
 """
@@ -122,6 +123,20 @@ def linked_calls(calls: DataFrame, results: DataFrame, schemas=SCHEMAS) -> DataF
                      record.alias("record"))
 
 
+def unlinked(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """What ``linked_calls`` has no row for: (kind, conv_id, call_id, turn, text) of calls without a
+    conversation or an identifier ('call', with their arguments) and of results without either, or whose
+    call there isn't ('result', with their content). Each such row comes once for each time it is there."""
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    told = calls.filter(named).select("conv_id", "call_id").distinct()
+    orphans = results.filter(named).hint("shuffle_hash").join(told, ["conv_id", "call_id"], "left_anti")
+    out = [("call", calls.filter(~named), "arguments"), ("result", results.filter(~named), "content"),
+           ("result", orphans, "content")]
+    parts = [df.select(F.lit(kind).alias("kind"), "conv_id", F.col("call_id").cast("string").alias("call_id"), "turn",
+                       F.col(text).alias("text")) for kind, df, text in out]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tool calls that conversations stand for: each user turn calls a tool with its text, named by the
     turn; the assistant's turn after it is that call's result; a call depends on the one two turns
