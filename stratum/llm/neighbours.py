@@ -4,13 +4,17 @@ Equal vectors are one node. Every node keeps the ``k`` nodes it knows to be near
 best within blocks of nodes that are close on a few random directions, and each round joins neighbours of
 neighbours: a node's new neighbours and the nodes that it is a neighbour of meet, compare, and tell each
 other if one is nearer than what the other has. Rounds end when few lists change. A node that very many
-have as neighbour meets them in groups of bounded size. The vectors themselves, as bytes, go through
-these joins, and lists and beams are ranked by inner products in double precision, so that near-equal
-vectors are told apart at each step.
+have as neighbour meets them in groups of bounded size.
 
-A query is a node of the graph: its search starts from its own neighbours, each step opens the nodes of
-its beam that aren't open yet, their neighbours are compared with the query where the lists lie, and
-the best enter the beam; it ends when a beam has nothing left to open. Nodes stand for their equal rows.
+Who meets where is settled by ids alone. Meetings are then held in cells, the sides of some random planes on
+which the meeting's node lies, and each vector goes to a cell once, however many meetings it attends
+there; a cell tells each node only the best ``k`` it has found. Lists and beams are ranked by inner products
+of the original vectors in double precision, so that near-equal vectors are told apart at each step.
+
+A query is a node of the graph: its search starts from its own neighbours; each step opens the nodes of
+its beam that aren't open yet, and their neighbours, as ids, are compared with the query in its cell, where
+the best enter the beam. The search ends when no beam has anything left to open. Nodes stand for their
+equal rows.
 
 Defined cases: rows with a null id, or a vector that is null, zero, of another length than most, or
 holding a null or non-finite component take no part; of rows with one id the smallest vector counts; ties
@@ -33,8 +37,13 @@ from stratum.llm.common import dropped, map_groups, released, shuffle_width, sto
 #: Neighbours per node; of those, how many new ones join in a round; nodes of a group besides a node's own
 #: neighbours; nodes of a starting block and the number of random directions.
 K, JOINED, GROUP, BLOCK, DIRECTIONS = 48, 24, 64, 512, 4
-#: Most rounds; share of list entries that must change for another round; nodes in a query's beam; steps.
-ROUNDS, CHANGE, BEAM, STEPS = 8, 0.02, 128, 12
+#: Most rounds; share of list entries that must change for another round; nodes in a query's beam.
+ROUNDS, CHANGE, BEAM = 8, 0.02, 128
+#: Nodes of a cell aimed at (twice as many at most); what the root of a small table's nodes is divided by for
+#: the number of its cells; queries of a cell that search together.
+CELL, SPREAD, ASKED = 8192, 25, 512
+#: Nodes of a block, whose lists are merged together.
+BLOCK_NODES = 256
 
 
 def _matrix(vecs, kind: str) -> np.ndarray:
@@ -57,28 +66,84 @@ def _kind(vectors: DataFrame, vec_col: str) -> str:
     return "<f4" if vectors.schema[vec_col].dataType.elementType.typeName() == "float" else "<f8"
 
 
-def _nodes(rows: DataFrame, kind: str) -> DataFrame:
-    """(node, vec): one per different vector, named by its smallest id."""
+def _planes(size: int, n: int) -> np.ndarray:
+    """Random planes that cut n nodes into cells of about CELL; a small table into more, smaller ones, whose
+    number grows as the root of n, so that its tasks have work while vectors go to few cells."""
+    cells = max(1.0, n ** 0.5 / SPREAD, n / CELL)
+    return np.random.default_rng(11).normal(size=(round(np.log2(cells)), size))
+
+
+def _nodes(rows: DataFrame, kind: str, n: int) -> DataFrame:
+    """(node, vec, cell): one per different vector, named by its smallest id."""
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"node": b["node"], "vec": [np.asarray(v).astype(kind).tobytes() for v in b["v"]]})
+            if not len(b):
+                continue
+            m = np.stack([np.asarray(v).astype(kind) for v in b["v"]])
+            sides = m.astype(np.float64) @ _planes(m.shape[1], n).T > 0
+            yield pd.DataFrame({"node": b["node"], "vec": [v.tobytes() for v in m],
+                                "cell": sides @ (1 << np.arange(sides.shape[1])) if sides.shape[1] else 0})
+
+    nodes = stored(rows.groupBy("v").agg(F.min("id").alias("node")).select("node", "v")
+                   .mapInPandas(encode, "node long, vec binary, cell long"), "nn_nodes")
+    # crowded cells (near-equal vectors) are split by a hash; a cell's number holds its part
+    parts = nodes.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(2 * CELL)).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    return stored(nodes.join(parts, "cell").select("node", "vec", (F.shiftleft(part, 24) + F.col("cell")).alias("cell")), "nn_nodes")
+
+
+#: What a task found for the nodes of a block, as pairs: a row per block, not per node.
+TOLD = "block long, a array<long>, b array<long>, s array<double>"
+
+
+def _block_count(n: int) -> int:
+    """A prime number of blocks of nodes (node modulo it), so that even steps between ids fill them alike."""
+    at = max(2, n // BLOCK_NODES)
+    while any(at % d == 0 for d in range(2, int(at ** 0.5) + 1)):
+        at += 1
+    return at
+
+
+def _column(parts) -> pd.Series:
+    return pd.Series(list(parts), dtype=object)
 
-    return rows.groupBy("v").agg(F.min("id").alias("node")).select("node", "v") \
-        .mapInPandas(encode, "node long, vec binary")
+
+def _best_of(a: np.ndarray, b: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each a, a pair found twice counted once."""
+    order = np.lexsort((b, a))
+    a, b, s = a[order], b[order], s[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][:len(a)]
+    a, b, s = a[new], b[new], s[new]
+    order = np.lexsort((b, -s, a))
+    a, b, s = a[order], b[order], s[order]
+    keep = np.arange(len(a)) - np.searchsorted(a, a) < k
+    return a[keep], b[keep], s[keep]
+
+
+def _told(a: np.ndarray, b: np.ndarray, s: np.ndarray, k: int, blocks: int) -> pd.DataFrame:
+    """TOLD: the k best that this frame has found for each a."""
+    a, b, s = _best_of(a, b, s, k)
+    block = a % blocks
+    order = np.argsort(block, kind="stable")
+    block, a, b, s = block[order], a[order], b[order], s[order]
+    numbers, starts = np.unique(block, return_index=True)
+    cut = lambda c: _column(np.split(c, starts[1:]) if len(numbers) else [])
+    return pd.DataFrame({"block": numbers, "a": cut(a), "b": cut(b), "s": cut(s)})
 
 
 def _start(nodes: DataFrame, n: int, k: int, width: int, kind: str) -> DataFrame:
-    """(a, b, s): the best in blocks of nodes that lie close on a random direction."""
-    def blocks(frame: pd.DataFrame) -> pd.DataFrame:
+    """TOLD: the best in blocks of nodes that lie close on a random direction."""
+    blocks = _block_count(n)
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, own in frame.groupby(["direction", "cell", "part"], sort=False):
             m, ids = _matrix(own["vec"], kind), own["node"].to_numpy()
             s = m @ m.T
             np.fill_diagonal(s, -np.inf)
-            best = np.argsort(-s, axis=1)[:, :min(k, len(ids) - 1)]
-            out.append(pd.DataFrame({"a": np.repeat(ids, best.shape[1]), "b": ids[best].ravel(),
-                                     "s": np.take_along_axis(s, best, 1).ravel()}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "s": []})
+            best = np.argsort(-s, axis=1)[:, :min(max(1, 2 * k // DIRECTIONS), len(ids) - 1)]
+            out.append((np.repeat(ids, best.shape[1]), ids[best].ravel(), np.take_along_axis(s, best, 1).ravel()))
+        return _told(*map(np.concatenate, zip(*out)), k, blocks)
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -93,94 +158,124 @@ def _start(nodes: DataFrame, n: int, k: int, width: int, kind: str) -> DataFrame
             for d in range(DIRECTIONS):
                 yield b.assign(direction=d, cell=np.floor(even[:, d] * max(1, round(n / BLOCK))).astype(int))
 
-    celled = stored(nodes.mapInPandas(cells, "node long, vec binary, direction int, cell long"),
-                    "nn_cells")
+    celled = stored(nodes.select("node", "vec").mapInPandas(cells, "node long, vec binary, direction int, cell long"), "nn_cells")
     # crowded cells (near-equal vectors) are split by a hash, another one for each direction
     parts = celled.groupBy("direction", "cell").agg(F.ceil(F.count("*") / F.lit(2 * BLOCK)).alias("parts"))
     celled = celled.join(parts, ["direction", "cell"]).withColumn(
         "part", F.pmod(F.xxhash64("node", "direction"), F.col("parts"))).drop("parts")
-    return map_groups(celled, ["direction", "cell", "part"], width, blocks, "a long, b long, s double")
+    return map_groups(celled, ["direction", "cell", "part"], width, compare, TOLD)
+
 
+def _merged(lists: DataFrame, told: DataFrame, n: int, k: int, joined: int, width: int) -> DataFrame:
+    """(a, cell, vec, nbrs, sims, fresh, role): each node's k best, nearest first; a pair told twice counts
+    once, and is fresh only if no list had it as joined before. role: 2 for the fresh ones that join next,
+    1 for others that join, 0 for those that don't."""
+    blocks = _block_count(n)
+    own = lists.select(F.pmod("a", F.lit(blocks)).alias("block"), F.col("a").alias("node"), "cell", "vec",
+                       F.array_repeat("a", F.size("nbrs")).alias("a"), F.col("nbrs").alias("b"), F.col("sims").alias("s"), "fresh")
+    new = told.select("block", *[F.lit(0).cast("long").alias(c) for c in ("node", "cell")], F.lit(None).cast("binary").alias("vec"),
+                      "a", "b", "s", F.transform("a", lambda x: F.lit(True)).alias("fresh"))
 
-def _best(pairs: DataFrame, k: int, width: int) -> DataFrame:
-    """(a, nbrs, sims, fresh): each node's k best, nearest first; a pair told twice counts once, and is
-    fresh only if no list had it as joined before."""
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["a", "b", "fresh"], kind="stable").drop_duplicates(["a", "b"])
-        frame = frame.sort_values(["a", "s", "b"], ascending=[True, False, True], kind="stable")
-        frame = frame[frame.groupby("a").cumcount() < k]
-        starts = np.flatnonzero(np.r_[True, frame["a"].to_numpy()[1:] != frame["a"].to_numpy()[:-1]])
-        cut = lambda c: np.split(frame[c].to_numpy(), starts[1:])
-        return pd.DataFrame({"a": frame["a"].to_numpy()[starts], "nbrs": cut("b"), "sims": cut("s"),
-                             "fresh": cut("fresh")})
-
-    return map_groups(pairs, ["a"], width, merge,
-                      "a long, nbrs array<long>, sims array<double>, fresh array<boolean>")
-
-
-def _round(graph: DataFrame, nodes: DataFrame, joined: int, width: int, kind: str) -> DataFrame:
-    """(a, b, s): pairs found among neighbours of one node, where b is nearer to a than a's last one."""
-    place = F.posexplode(F.arrays_zip("nbrs", "fresh"))
-    last = F.element_at("sims", -1)
-    # how many fresh ones there are up to each place
-    order = F.transform("fresh", lambda x, i: F.size(F.filter(F.slice("fresh", 1, i + 1), lambda y: y)))
-    edges = graph.withColumn("order", order).select("a", "order", place.alias("i", "e")) \
-        .select("a", F.col("e.nbrs").alias("b"), F.col("e.fresh").alias("fresh"), "i",
-                F.get("order", F.col("i")).alias("nth")) \
-        .filter((F.col("fresh") & (F.col("nth") <= joined)) | (~F.col("fresh") & (F.col("i") < joined))) \
-        .select("a", "b", "fresh")
+        base = frame[frame["vec"].notna()].sort_values("node")
+        a, b, s, fresh = (np.concatenate(frame[c].to_numpy()).astype(t)
+                          for c, t in (("a", np.int64), ("b", np.int64), ("s", float), ("fresh", bool)))
+        order = np.lexsort((fresh, b, a))
+        a, b, s, fresh = a[order], b[order], s[order], fresh[order]
+        first = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][:len(a)]
+        a, b, s, fresh = a[first], b[first], s[first], fresh[first]
+        order = np.lexsort((b, -s, a))
+        a, b, s, fresh = a[order], b[order], s[order], fresh[order]
+        rank = np.arange(len(a)) - np.searchsorted(a, a)
+        a, b, s, fresh, rank = (x[rank < k] for x in (a, b, s, fresh, rank))
+        sums = np.r_[0, np.cumsum(fresh)]
+        nth = sums[1:] - sums[np.searchsorted(a, a)]
+        role = np.where(fresh, np.where(nth <= joined, 2, 0), np.where(rank < joined, 1, 0)).astype(np.int8)
+        ends = np.searchsorted(a, base["node"].to_numpy(), side="right")
+        cut = lambda c: _column(np.split(c, ends)[:len(base)])
+        return pd.DataFrame({"a": base["node"].to_numpy(), "cell": base["cell"].to_numpy(), "vec": base["vec"].to_numpy(),
+                             "nbrs": cut(b), "sims": cut(s), "fresh": cut(fresh), "role": cut(role)})
+
+    return map_groups(own.unionByName(new), ["block"], width, merge,
+                      "a long, cell long, vec binary, nbrs array<long>, sims array<double>, fresh array<boolean>, "
+                      "role array<tinyint>")
+
+
+def _seated(parties: DataFrame, who: str, graph: DataFrame, k: int) -> DataFrame:
+    """(cell, node, vec, last): each vector once for each cell where it is wanted; ``last``: the least that a
+    node must be told."""
+    last = F.when(F.size("nbrs") < k, F.lit(float("-inf"))).otherwise(F.get("sims", F.size("sims") - 1))
+    seats = parties.select("cell", F.explode(who).alias("node")).distinct()
+    return seats.join(graph.select(F.col("a").alias("node"), "vec", last.alias("last")), "node")
+
+
+def _round(graph: DataFrame, n: int, k: int, width: int, kind: str) -> DataFrame:
+    """TOLD: pairs found among neighbours of one node, where b is nearer to a than a's last one."""
+    blocks = _block_count(n)
+    edges = graph.select("a", F.col("cell").alias("a_cell"), F.explode(F.arrays_zip("nbrs", "role")).alias("e")) \
+        .select("a", "a_cell", F.col("e.nbrs").alias("b"), F.col("e.role").alias("role")).filter("role > 0") \
+        .select("a", "a_cell", "b", (F.col("role") == 2).alias("fresh"))
     # groups that a node needs for those that have it as neighbour
-    groups = stored(edges.groupBy("b").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("b_groups")), "nn_groups")
+    groups = edges.groupBy("b").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("b_groups")) \
+        .join(graph.select(F.col("a").alias("b"), F.col("cell").alias("b_cell")), "b")
+    groups = stored(groups, "nn_groups")
     edges = edges.join(groups, "b").join(groups.select(F.col("b").alias("a"), F.col("b_groups").alias("a_groups")),
                                          "a", "left")
     # a's neighbour b comes to every group of a; a comes to one group of b
     every = F.sequence(F.lit(0).cast("long"), F.coalesce("a_groups", F.lit(1)).cast("long") - 1)
-    to_a = F.transform(every, lambda g: F.struct(F.col("a").alias("via"), g.alias("g"), F.col("b").alias("node")))
-    to_b = F.array(F.struct(F.col("b").alias("via"), F.pmod(F.xxhash64("a"), F.col("b_groups")).cast("long").alias("g"),
-                            F.col("a").alias("node")))
-    # who meets where is settled without the vectors; neighbours of each other would come twice
-    met = edges.select("fresh", F.explode(F.concat(to_a, to_b)).alias("e")).select("e.*", "fresh") \
-        .groupBy("via", "g", "node").agg(F.max("fresh").alias("fresh"))
-    known = nodes.join(graph.select(F.col("a").alias("node"), last.alias("last")), "node")
-    met = met.join(known.hint("shuffle_hash"), "node")
+    to_a = F.transform(every, lambda g: F.struct(F.col("a").alias("via"), F.col("a_cell").alias("cell"), g.alias("g"),
+                                                 F.col("b").alias("node")))
+    to_b = F.array(F.struct(F.col("b").alias("via"), F.col("b_cell").alias("cell"),
+                            F.pmod(F.xxhash64("a"), F.col("b_groups")).cast("long").alias("g"), F.col("a").alias("node")))
+    met = edges.select("fresh", F.explode(F.concat(to_a, to_b)).alias("e")).select("e.*", "fresh")
+    # a node's first group meets in its cell, the others of a node that many have as neighbour anywhere
+    cell = F.when(F.col("g") == 0, F.col("cell")).otherwise(-1 - F.pmod(F.xxhash64("via", "g"), F.lit(max(width, n // 2000)).cast("long")))
+    parties = met.groupBy("via", "g", "cell").agg(F.collect_list("node").alias("who"), F.collect_list("fresh").alias("fresh")) \
+        .filter(F.exists("fresh", lambda x: x)).select(cell.alias("cell"), "via", "who", "fresh")
+    parties = stored(parties, "nn_parties")
+    seats = _seated(parties, "who", graph, k)
+    no_one = F.array().cast("array<long>")
+    rows = parties.select("cell", "via", F.lit(0).cast("long").alias("node"), F.lit(None).cast("binary").alias("vec"),
+                          F.lit(0.0).alias("last"), "who", "fresh") \
+        .unionByName(seats.select("cell", F.lit(0).cast("long").alias("via"), "node", "vec", "last", no_one.alias("who"),
+                                  F.array().cast("array<boolean>").alias("fresh")))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        via, g = frame["via"].to_numpy(), frame["g"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (via[1:] != via[:-1]) | (g[1:] != g[:-1])])
-        m, ids = _matrix(frame["vec"], kind), frame["node"].to_numpy()
-        last, fresh = frame["last"].to_numpy(), frame["fresh"].to_numpy()
-        a, b, s = [], [], []
-        for lo, hi in zip(starts, [*starts[1:], len(frame)]):
-            if not fresh[lo:hi].any():
-                continue
-            sim = m[lo:hi] @ m[lo:hi].T
-            own, new = ids[lo:hi], fresh[lo:hi]
-            nearer = (sim > last[lo:hi, None]) & (new[:, None] | new[None, :]) & (own[:, None] != own[None, :])
-            i, j = np.nonzero(nearer)
-            a.append(own[i])
-            b.append(own[j])
-            s.append(sim[i, j])
-        found = pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "s": np.concatenate(s)}) if a \
-            else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "s": np.zeros(0)})
-        return found.drop_duplicates(["a", "b"])
-
-    return map_groups(met, ["via", "g"], width, compare, "a long, b long, s double")
+        a, b, s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for _, own in frame.groupby("cell", sort=False):
+            seat = own[own["vec"].notna()].sort_values("node")
+            ids, last = seat["node"].to_numpy(), seat["last"].to_numpy()
+            m = np.frombuffer(b"".join(seat["vec"]), kind).reshape(len(ids), -1)
+            party = own[own["vec"].isna()]
+            for who, new in zip(party["who"], party["fresh"]):
+                who, place = np.unique(who, return_inverse=True)
+                at, fresh = np.searchsorted(ids, who), np.zeros(len(who), bool)
+                fresh[place[new.astype(bool)]] = True
+                v = m[at].astype(np.float64)
+                sim = v @ v.T
+                nearer = (sim > last[at, None]) & (fresh[:, None] | fresh[None, :])
+                np.fill_diagonal(nearer, False)
+                i, j = np.nonzero(nearer)
+                a.append(who[i])
+                b.append(who[j])
+                s.append(sim[i, j])
+        return _told(np.concatenate(a), np.concatenate(b), np.concatenate(s), k, blocks)
+
+    return map_groups(rows, ["cell"], width, compare, TOLD)
 
 
 def build_graph(nodes: DataFrame, n: int, kind: str, k: int = K, joined: int = JOINED, rounds: int = ROUNDS,
                 change: float = CHANGE) -> DataFrame:
-    """NN-descent: (a, nbrs, sims, fresh) for each node."""
+    """NN-descent: (a, cell, vec, nbrs, sims, fresh, role) for each node."""
     spark = nodes.sparkSession
     width = max(shuffle_width(spark), n // 20_000)
-    start = _start(nodes, n, k, width, kind).withColumn("fresh", F.lit(True))
-    graph = stored(_best(start, k, width), "nn_graph")
+    none = [F.array().cast(t).alias(c) for c, t in (("nbrs", "array<long>"), ("sims", "array<double>"), ("fresh", "array<boolean>"))]
+    alone = nodes.select(F.col("node").alias("a"), "cell", "vec", *none)
+    graph = stored(_merged(alone, _start(nodes, n, k, width, kind), n, k, joined, width), "nn_graph")
     for _ in range(rounds):
-        found = _round(graph, nodes, joined, width, kind).withColumn("fresh", F.lit(True))
-        taken = F.transform("fresh", lambda x, i: x & (F.size(F.filter(
-            F.slice("fresh", 1, i + 1), lambda y: y)) > joined))
-        old = graph.withColumn("fresh", taken).select("a", F.explode(F.arrays_zip("nbrs", "sims", "fresh")).alias("e")) \
-            .select("a", F.col("e.nbrs").alias("b"), F.col("e.sims").alias("s"), F.col("e.fresh").alias("fresh"))
-        after = stored(_best(old.unionByName(found), k, width), "nn_graph")
+        old = graph.select("a", "cell", "vec", "nbrs", "sims",
+                           F.zip_with("fresh", "role", lambda x, r: x & (r != 2)).alias("fresh"))
+        after = stored(_merged(old, _round(graph, n, k, width, kind), n, k, joined, width), "nn_graph")
         dropped(graph)
         graph = after
         fresh, all_ = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("nbrs"))).collect()[0]
@@ -190,74 +285,60 @@ def build_graph(nodes: DataFrame, n: int, kind: str, k: int = K, joined: int = J
     return graph
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, kind: str, beam: int = BEAM,
-           steps: int = STEPS) -> DataFrame:
+def search(graph: DataFrame, queries: DataFrame, n: int, kind: str, k: int = K, beam: int = BEAM) -> DataFrame:
     """(query, node): the beam of each query node after greedy search."""
-    spark = nodes.sparkSession
+    spark = graph.sparkSession
     width = max(shuffle_width(spark), n // 20_000)
-    edges = graph.select("a", F.explode("nbrs").alias("node")).join(nodes, "node")
-
-    def lists(frame: pd.DataFrame) -> pd.DataFrame:
-        a = frame["a"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
-        ends = [*starts[1:], len(frame)]
-        vec, node = frame["vec"].to_numpy(), frame["node"].to_numpy()
-        return pd.DataFrame({"a": a[starts], "nbrs": [node[x:y] for x, y in zip(starts, ends)],
-                             "vecs": [b"".join(vec[x:y]) for x, y in zip(starts, ends)]})
-
-    # each node's list with its neighbours' vectors, laid out once
-    full = stored(map_groups(edges, ["a"], width, lists,
-                             "a long, nbrs array<long>, vecs binary"), "nn_lists")
-    released(spark)
-    own = queries.select(F.col("node").alias("query")).join(nodes, F.col("query") == F.col("node")) \
-        .select("query", "vec")
-    first = own.join(graph, own["query"] == graph["a"]) \
-        .select("query", "vec", F.col("nbrs").alias("beam"), F.col("sims").alias("beam_sims"),
-                F.transform("nbrs", lambda x: F.lit(False)).alias("opened"))
-    state = stored(first, "nn_beams")
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for q, vec, worst, nbrs, vecs in b[["query", "vec", "worst", "nbrs", "vecs"]].itertuples(index=False):
-                m = np.frombuffer(vecs, kind).reshape(len(nbrs), -1).astype(np.float64)
-                s = m @ np.frombuffer(vec, kind).astype(np.float64)
-                good = (s > worst) & (nbrs != q)
-                if good.any():
-                    out.append((q, nbrs[good], s[good]))
-            if out:
-                yield pd.DataFrame({"query": np.repeat([o[0] for o in out], [len(o[1]) for o in out]),
-                                    "node": np.concatenate([o[1] for o in out]),
-                                    "s": np.concatenate([o[2] for o in out])}).drop_duplicates(["query", "node"])
-
-    def merged(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["query", "node", "opened"], ascending=[True, True, False], kind="stable") \
-            .drop_duplicates(["query", "node"])
-        frame = frame.sort_values(["query", "s", "node"], ascending=[True, False, True], kind="stable")
-        frame = frame[frame.groupby("query").cumcount() < beam]
-        q = frame["query"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-        cut = lambda c: np.split(frame[c].to_numpy(), starts[1:])
-        return pd.DataFrame({"query": q[starts], "beam": cut("node"), "beam_sims": cut("s"), "opened": cut("opened")})
-
-    for _ in range(steps):
+    own = graph.join(queries.select(F.col("node").alias("a")), "a", "left_semi")
+    # cells with very many queries are held in parts
+    crowd = own.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(ASKED)).alias("parts"))
+    part = F.pmod(F.xxhash64("a"), F.col("parts"))
+    state = stored(own.join(crowd, "cell").select(
+        F.col("a").alias("query"), (F.shiftleft(part, 40) + F.col("cell")).alias("cell"), "vec", F.col("nbrs").alias("beam"),
+        "sims", F.transform("nbrs", lambda x: F.lit(False)).alias("opened")), "nn_beams")
+    columns = "query long, cell long, vec binary, beam array<long>, sims array<double>, opened array<boolean>"
+    done = []
+
+    def step(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, own in frame.groupby("cell", sort=False):
+            seat = own[own["seated"]].sort_values("query")
+            ids = seat["query"].to_numpy()
+            m = np.frombuffer(b"".join(seat["vec"]), kind).reshape(len(ids), -1) if len(ids) else None
+            for q, cell, vec, had, sims, asked in own[~own["seated"]][["query", "cell", "vec", "beam", "sims", "asked"]] \
+                    .itertuples(index=False):
+                s = m[np.searchsorted(ids, asked)].astype(np.float64) @ np.frombuffer(vec, kind).astype(np.float64) \
+                    if len(asked) else np.zeros(0)
+                node, s = np.r_[had, asked], np.r_[sims, s]
+                opened = np.arange(len(node)) < len(had)
+                best = np.lexsort((node, -s))[:beam]
+                out.append((q, cell, vec, node[best], s[best], opened[best]))
+        names = ["query", "cell", "vec", "beam", "sims", "opened"]
+        return pd.DataFrame({c: _column(o[i] for o in out) for i, c in enumerate(names)}).astype({"query": "int64", "cell": "int64"})
+
+    while True:
         closed = state.filter(F.exists("opened", lambda x: ~x))
+        done.append(state.filter(~F.exists("opened", lambda x: ~x)).select("query", F.explode("beam").alias("node")))
         if not closed.limit(1).count():
             break
-        worst = F.when(F.size("beam") < beam, F.lit(float("-inf"))).otherwise(F.element_at("beam_sims", -1))
-        frontier = closed.select("query", "vec", worst.cast("double").alias("worst"),
-                                 F.explode(F.arrays_zip("beam", "opened")).alias("e")) \
-            .filter(~F.col("e.opened")).select("query", "vec", "worst", F.col("e.beam").alias("a"))
-        found = frontier.join(full, "a").mapInPandas(compare, "query long, node long, s double")
-        had = state.select("query", F.explode(F.arrays_zip("beam", "beam_sims")).alias("e")) \
-            .select("query", F.col("e.beam").alias("node"), F.col("e.beam_sims").alias("s"), F.lit(True).alias("opened"))
-        beams = map_groups(had.unionByName(found.withColumn("opened", F.lit(False))), ["query"], width, merged,
-                           "query long, beam array<long>, beam_sims array<double>, opened array<boolean>")
-        after = stored(beams.join(own, "query"), "nn_beams")
-        dropped(state)
-        state = after
+        frontier = closed.select("query", F.explode(F.arrays_zip("beam", "opened")).alias("e")).filter(~F.col("e.opened")) \
+            .select("query", F.col("e.beam").alias("a"))
+        told = frontier.join(graph.select("a", "nbrs"), "a").select("query", F.explode("nbrs").alias("node")) \
+            .groupBy("query").agg(F.collect_set("node").alias("told"))
+        asked = F.array_except(F.array_except("told", "beam"), F.array("query"))
+        parties = stored(closed.join(told, "query", "left")
+                         .withColumn("asked", F.coalesce(asked, F.array().cast("array<long>"))).drop("told"), "nn_asking")
+        seats = _seated(parties, "asked", graph, k)
+        empty = [F.array().cast(t).alias(c) for c, t in (("beam", "array<long>"), ("sims", "array<double>"),
+                                                         ("opened", "array<boolean>"), ("asked", "array<long>"))]
+        rows = parties.withColumn("seated", F.lit(False)).unionByName(
+            seats.select(F.col("node").alias("query"), "cell", "vec", *empty, F.lit(True).alias("seated")))
+        state = stored(map_groups(rows, ["cell"], width, step, columns), "nn_beams")
         released(spark)
-    return state.select("query", F.explode("beam").alias("node"))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, k: int = K, beam: int = BEAM,
@@ -267,8 +348,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, k: int = K, b
     spark = vectors.sparkSession
     rows = stored(usable(vectors, id_col, vec_col), "nn_rows")
     kind = _kind(vectors, vec_col)
-    nodes = stored(_nodes(rows, kind), "nn_nodes")
-    n = nodes.count()
+    n = rows.select("v").distinct().count()
+    nodes = _nodes(rows, kind, n)
     # a class never gives more than top + 1 rows to a query; the limit by rank runs before the shuffle
     classes = rows.groupBy("v").agg(F.min("id").alias("node"))
     of = stored(rows.join(classes, "v").select("id", "node"), "nn_classes")
@@ -279,7 +360,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, k: int = K, b
     k = min(k, max(1, n - 1))
     if n > 1:
         graph = build_graph(nodes, n, kind, k)
-        found = search(graph, nodes, asked.select(F.col("query").alias("node")).distinct(), n, kind, beam)
+        found = search(graph, asked.select(F.col("query").alias("node")).distinct(), n, kind, k, beam)
         pairs = found.unionByName(asked.select("query", F.col("query").alias("node")).distinct())
     else:
         pairs = asked.select("query", F.col("query").alias("node")).distinct()
