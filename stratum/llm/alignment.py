@@ -7,8 +7,7 @@ are joined by Acero, and the links' id pairs are counted by ``Table.group_by`` i
 up by Spark. With the corpus-wide counts, documents learn how often their own links occur.
 
 A's texts are merged by rank where the vocabulary proves that the ids stay those of its library (see
-``ByteLevel``). Links are stored as id lists beside the
-documents. The table of counts is sent to the tasks if it has at most ``SHARED_PAIRS`` rows; beyond that,
+``merges_by_rank``). Links are stored as id lists beside the documents. The table of counts is sent to the tasks if it has at most ``SHARED_PAIRS`` rows; beyond that,
 documents and the pairs of their chunk meet in a shuffle, a chunk being a bounded number of links, so no pair
 is a hot key and no document leaves its row.
 
@@ -23,10 +22,9 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -36,7 +34,7 @@ from stratum.llm.common import TMP, shuffle_width, stored
 from stratum.llm.pretokens import BEYOND_FAST, byte_letters
 
 #: Characters of the texts that are encoded and aligned at a time, if one text isn't longer.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 #: Most id pairs that are sent to every task (17 bytes each); links of a chunk beyond that.
 SHARED_PAIRS, CHUNK_LINKS = 1 << 21, 1 << 20
 #: Different pairs that a task holds before it hands their counts on.
@@ -44,34 +42,47 @@ HELD = 400_000
 BLANK = "▁"
 
 
-class ByteLevel:
-    """Ids and token bytes of a byte-level vocabulary.
+def merges_by_rank(path: str) -> bool:
+    """Whether merging by the rank of what comes out takes the same steps as merging by the list of pairs.
 
-    If every token, spelled out, merges to itself and a merge's rank is its product's id, merging by the rank of
-    what comes out (as the faster library does) takes the same steps as merging by the list of pairs: inside
-    a token's bounds both go on as they would on the token alone. That is proven on the vocabulary when a
-    worker starts; texts beyond the characters whose classes the tests compare take the vocabulary's own library.
+    It does if every token, spelled out, merges to itself and a merge's rank is its product's id: inside a
+    token's bounds both ways go on as they would on the token alone. Proven on the whole vocabulary.
     """
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(path)
+    vocabulary = library.get_vocab(with_added_tokens=False)
+    with open(path, encoding="utf-8") as f:
+        merges = json.load(f)["model"]["merges"]
+    products = ["".join(m if isinstance(m, list) else m.split(" ")) for m in merges]
+    tokenize, first = library.model.tokenize, len(vocabulary) - len(merges)
+    return all(vocabulary.get(p) == first + k for k, p in enumerate(products)) and \
+        all([t.id for t in tokenize(token)] == [i] for token, i in vocabulary.items())
+
 
-    def __init__(self, path: str, pattern: str):
+class ByteLevel:
+    """Ids and token bytes of a byte-level vocabulary: by rank, with the faster library, if ``by_rank``
+    (proven beforehand); texts beyond the characters whose classes the tests compare, and all others, take
+    the vocabulary's own library."""
+
+    def __init__(self, path: str, pattern: str, by_rank: bool):
         import tiktoken
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True   # their strings in a text are ordinary text
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
         back = {c: b for b, c in enumerate(byte_letters())}
-        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.path, self.by_rank = path, by_rank
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(back[c] for c in token)
-        with open(path, encoding="utf-8") as f:
-            merges = json.load(f)["model"]["merges"]
-        tokenize, first = self.library.model.tokenize, len(vocabulary) - len(merges)
-        products = ["".join(m if isinstance(m, list) else m.split(" ")) for m in merges]
-        self.by_rank = all(vocabulary.get(p) == first + k for k, p in enumerate(products)) and all(
-            [t.id for t in tokenize(token)] == [i] for token, i in vocabulary.items())
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, special_tokens={},
                                       mergeable_ranks={self.bytes[i]: i for i in vocabulary.values()})
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+        library = Tokenizer.from_file(self.path)
+        library.encode_special_tokens = True   # their strings in a text are ordinary text
+        return library
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         return [array("I", self.fast.encode_ordinary(t) if self.by_rank and not BEYOND_FAST.search(t)
                       else self.library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
@@ -91,8 +102,8 @@ class Pieces:
 
 
 @lru_cache(maxsize=1)
-def encoders(a_path: str, b_path: str, pattern: str) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(a_path, pattern), Pieces(b_path)
+def encoders(a_path: str, b_path: str, pattern: str, by_rank: bool) -> tuple[ByteLevel, Pieces]:
+    return ByteLevel(a_path, pattern, by_rank), Pieces(b_path)
 
 
 class Tables:
@@ -106,8 +117,8 @@ class Tables:
 
 
 @lru_cache(maxsize=1)
-def _tables(a_path: str, b_path: str, pattern: str) -> Tables:
-    return Tables(*encoders(a_path, b_path, pattern))
+def _tables(a_path: str, b_path: str, pattern: str, by_rank: bool) -> Tables:
+    return Tables(*encoders(a_path, b_path, pattern, by_rank))
 
 
 #: What follows an id: another of its stream, B's ids after A's, the next group, nothing.
@@ -189,9 +200,10 @@ def token_links(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col:
                 text_col: str = "text") -> DataFrame:
     """Per document: the id, n_a, n_b, n_groups, groups_sha256, and its links as lists a_links, b_links."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    vocabularies = a_path, b_path, pattern, merges_by_rank(a_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        streams, tables = encoders(a_path, b_path, pattern), _tables(a_path, b_path, pattern)
+        streams, tables = encoders(*vocabularies), _tables(*vocabularies)
         for batch in batches:
             for lo, hi in _slices(batch.column(1)):
                 b = batch.slice(lo, hi - lo)
