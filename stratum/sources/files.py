@@ -72,7 +72,7 @@ def stream_table(spark: SparkSession, path: str, schema: Schema | None = None,
 
 
 #: Bytes of input that make a task of their own when a narrow scan is dealt out.
-TASK_BYTES = 1 << 20
+TASK_BYTES = 1 << 18
 
 
 def scan_bytes(df: DataFrame) -> int:
