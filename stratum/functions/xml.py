@@ -51,7 +51,9 @@ def flatten_alerts(bronze: DataFrame, body: str = "Body",
     """
     keep = list(keep or [])
     p = parse_alert_body(bronze, body)
-    readings = p.select(F.explode("_payload.MeterReading").alias("reading"),
+    # with the empty array, the optimizer doesn't ask for the array's size in a filter of its own, which it would
+    # push below exchanges, down to the scan, and for which every body would be parsed once more
+    readings = p.select(F.explode(F.coalesce("_payload.MeterReading", F.array())).alias("reading"),
                         F.col("_payload.endTime").alias("end_text"),
                         F.col(received).alias("received_timestamp"), *keep)
     events = readings.select(

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.sources.files import redistribute
+
 # Edge-row rules of the derived feeds (modulo of the named id column).
 RETAIL_NULL_INVOICE_MOD = 29      # l_orderkey  -> InvoiceNo NULL
 RETAIL_NULL_CUSTOMER_MOD = 17     # o_custkey   -> CustomerID NULL
@@ -170,17 +172,16 @@ def alerts_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages in the next one);
     a replayed message is an exact copy delivered again in the next batch.
     """
-    ev = table(spark, sf_dir, "events")
+    # a narrow scan is dealt out by its few columns, before the long bodies are made
+    ev = redistribute(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     late = (F.col("event_id") % ALERT_LATE_MOD == 0).cast("int")
     delivery = ((F.dayofmonth("ts") - 1) / ALERT_DELIVERY_DAYS).cast("int") + late
-    env = ev.select(F.col("event_id").cast("string").alias("offset"),
-                    F.col("ts").alias("enqueuedTime"),
-                    F.encode(alert_body(ev), "UTF-8").alias("body"),
-                    delivery.alias("delivery"),
-                    F.col("event_id"))
-    replays = (env.filter(F.col("event_id") % ALERT_REPLAY_MOD == 0)
-                  .withColumn("delivery", F.col("delivery") + 1))
-    return env.unionByName(replays).drop("event_id")
+    replayed = F.col("event_id") % ALERT_REPLAY_MOD == 0
+    ev = ev.withColumn("delivery", F.explode(F.when(replayed, F.array(delivery, delivery + 1)).otherwise(F.array(delivery))))
+    return ev.select(F.col("event_id").cast("string").alias("offset"),
+                     F.col("ts").alias("enqueuedTime"),
+                     F.encode(alert_body(ev), "UTF-8").alias("body"),
+                     "delivery")
 
 
 # Header of the alert-code lookup CSV (names with spaces, as delivered).

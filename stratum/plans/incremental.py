@@ -140,7 +140,7 @@ def _two_branches(spark, sf_dir):
     from stratum.streaming.enrich import Branch, run_branches
     root = scratch_dir(spark, "stream_enriched")
     env = fx.alerts_envelope(spark, sf_dir)
-    bronze = voltage.bronze(env, keep=["delivery"])
+    bronze = voltage.bronze(env, keep=["delivery"], dealt=True)
     bronze.write.partitionBy("delivery").parquet(f"{root}/all")
     stored = spark.read.schema(bronze.schema).parquet(f"{root}/all")
     deliveries = sorted(r[0] for r in stored.select("delivery").distinct().collect())

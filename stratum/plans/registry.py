@@ -178,7 +178,7 @@ AS_OF = "2024-04-15"
 
 
 def _bronze(spark, sf_dir, with_delivery=False):
-    return voltage.bronze(fx.alerts_envelope(spark, sf_dir), keep=["delivery"] if with_delivery else [])
+    return voltage.bronze(fx.alerts_envelope(spark, sf_dir), keep=["delivery"] if with_delivery else [], dealt=True)
 
 
 def _lookup(spark, sf_dir):
@@ -189,7 +189,7 @@ def _lookup(spark, sf_dir):
 
 @register("envelope_ingest", f"SELECT {osql.BRONZE_COLS} FROM ({osql.BRONZE})")
 def q_envelope_ingest(spark, sf_dir):
-    return voltage.bronze(fx.alerts_envelope(spark, sf_dir).drop("delivery"))
+    return voltage.bronze(fx.alerts_envelope(spark, sf_dir).drop("delivery"), dealt=True)
 
 
 @register("voltage_flatten", osql.FLATTEN)
@@ -240,7 +240,7 @@ def _gold_run(spark, sf_dir):
     env = fx.alerts_envelope(spark, sf_dir)
     lookup = _lookup(spark, sf_dir)
     conn = fx.connectivity(spark, sf_dir)
-    batches = voltage.enriched(voltage.silver(voltage.bronze(env, keep=["delivery"]), keep=["delivery"]),
+    batches = voltage.enriched(voltage.silver(voltage.bronze(env, keep=["delivery"], dealt=True), keep=["delivery"]),
                                lookup, conn)
     batches.write.partitionBy("delivery").parquet(f"{root}/batches")
     staged = spark.read.parquet(f"{root}/batches")
@@ -592,7 +592,7 @@ def _deduped_stream(spark, sf_dir):
     root = scratch_dir(spark, "stream_dedupe")
     env = fx.alerts_envelope(spark, sf_dir)
     deliveries = sorted(r[0] for r in env.select("delivery").distinct().collect())
-    bronze = voltage.bronze(env, keep=["delivery"])
+    bronze = voltage.bronze(env, keep=["delivery"], dealt=True)
 
     def run():
         flat = event_time(voltage.flattened(_stream_in(spark, root, bronze.schema).drop("delivery")),

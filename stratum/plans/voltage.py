@@ -27,9 +27,10 @@ BRONZE_PARTITION_BY = ["ReceivedYear", "ReceivedMonth", "ReceivedDay"]
 
 
 def bronze(envelope: DataFrame, tz: str = "Europe/London", keep: list[str] | None = None,
-           width: int | None = None) -> DataFrame:
-    """Typed envelopes. Their bodies are heavy to parse, so a narrow scan is dealt out first."""
-    return ingest_envelope(redistribute(envelope, width=width), tz, keep=keep)
+           width: int | None = None, dealt: bool = False) -> DataFrame:
+    """Typed envelopes. Their bodies are heavy to parse, so a narrow scan is dealt out first (P17), unless
+    the envelopes were made from rows already ``dealt`` out."""
+    return ingest_envelope(envelope if dealt else redistribute(envelope, width=width), tz, keep=keep)
 
 
 def flattened(bronze_df: DataFrame, keep: list[str] | None = None) -> DataFrame:

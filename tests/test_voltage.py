@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.functions.xml import flatten_alerts, malformed_alerts
@@ -169,3 +170,33 @@ def test_kafka_shaped_envelope_with_instant_timestamps(spark):
         assert r.ReceivedTime == dt.datetime(2024, 7, 1, 11, 0)          # 10:00 UTC -> 11:00 BST
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _events_table(spark, tmp, n=60):
+    e = spark.range(n)
+    e.select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 06:00:00' + make_interval(0,0,0,cast(id % 30 as int))").alias("ts"),
+             (F.col("id") % 7).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"),
+             F.lit("{}").alias("props")).write.parquet(f"{tmp}/events.parquet")
+    return tmp
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_count_parses_each_body_once(spark, tmp):
+    spark.createDataFrame([("<Envelope/>", dt.datetime(2024, 1, 1))], "Body string, ReceivedTime timestamp_ntz") \
+        .write.parquet(f"{tmp}/bronze")
+    flat = voltage.flattened(spark.read.parquet(f"{tmp}/bronze").repartition(2))
+    for df in (flat.agg(F.count(F.lit(1))), flat.select("mpan", "alert_code").distinct()):
+        assert _optimized(df).count("from_xml") == 1
+
+
+def test_envelopes_are_dealt_out_before_their_bodies_are_made(spark, tmp):
+    from stratum.plans import fixtures as fx
+    env = fx.alerts_envelope(spark, _events_table(spark, tmp, 100))
+    assert _optimized(env).count("Relation [") == 1
+    got = {(r.offset, r.delivery) for r in env.collect()}
+    late = lambda i: (i % 30) // fx.ALERT_DELIVERY_DAYS + (i % fx.ALERT_LATE_MOD == 0)
+    assert got == {(str(i), late(i) + k) for i in range(100) for k in ((0, 1) if i % fx.ALERT_REPLAY_MOD == 0 else (0,))}
+    assert env.count() == 105
