@@ -136,8 +136,11 @@ LATE_CODE = "signup"
 
 
 def _two_branches(spark, sf_dir):
-    """Bronze in deliveries; from it a history and an enriched stream, whose lookup grows after the first run."""
+    """Bronze in deliveries, flattened by a stream of its own, so that bodies are parsed once for both branches;
+    from that a history and an enriched stream, whose lookup grows after the first run."""
+    from stratum.sources.files import stream_table
     from stratum.streaming.enrich import Branch, run_branches
+    from stratum.streaming.sinks import append_stream
     root = scratch_dir(spark, "stream_enriched")
     env = fx.alerts_envelope(spark, sf_dir)
     bronze = voltage.bronze(env, keep=["delivery"], dealt=True)
@@ -147,15 +150,17 @@ def _two_branches(spark, sf_dir):
     whole, conn = _lookup(spark, sf_dir), fx.connectivity(spark, sf_dir)
     late = fx.ALERT_CODES[LATE_CODE]
     schema = bronze.drop("delivery").schema
+    flat = voltage.flattened(bronze.drop("delivery")).schema
     for d in deliveries:
         stored.filter(F.col("delivery") == d).drop("delivery").write.mode("append").parquet(f"{root}/bronze")
         lookup = (lambda: whole.filter(F.col("alert_code") != late)) if d == deliveries[0] else (lambda: whole)
-        run_branches(spark, f"{root}/bronze", schema, [
-            Branch("history", f"{root}/history", lambda b: voltage.flattened(b), {}, voltage.GOLD_PARTITION_BY),
-            Branch("enriched", f"{root}/enriched",
-                   lambda b, lookup, connectivity: voltage.enriched(voltage.flattened(b), lookup, connectivity),
+        append_stream(voltage.flattened(stream_table(spark, f"{root}/bronze", schema)), f"{root}/flat",
+                      f"{root}/ck/flat").awaitTermination()
+        run_branches(spark, f"{root}/flat", flat, [
+            Branch("history", f"{root}/history", lambda f: f, {}, voltage.GOLD_PARTITION_BY),
+            Branch("enriched", f"{root}/enriched", voltage.enriched,
                    {"lookup": lookup, "connectivity": lambda: conn})], f"{root}/ck")
-    return root, voltage.flattened(spark.read.schema(schema).parquet(f"{root}/bronze")).schema
+    return root, flat
 
 
 @register("stream_history", osql.FLATTEN)

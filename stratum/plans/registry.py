@@ -168,6 +168,7 @@ def q_retail_dag(spark, sf_dir):
 
 
 # ------------------------------------------------------------------------------- voltage alerts
+from stratum.functions.datetime import with_time_parts  # noqa: E402
 from stratum.functions.xml import DEDUPE_COLUMNS  # noqa: E402
 from stratum.operators import aggregates as agg  # noqa: E402
 from stratum.operators.changes import dedupe  # noqa: E402
@@ -587,25 +588,29 @@ def _deduped_stream(spark, sf_dir):
     """Flattened alerts deduped on a stream with the state bounded by an event-time watermark;
     deliveries (and their replays) arrive in order. Returns (rows kept, side table of the others)."""
     from stratum.session import scratch_dir
+    from stratum.sources.files import stream_table
     from stratum.streaming.late import dedupe_stream, event_time, late_rows
     from stratum.streaming.sinks import append_stream
     root = scratch_dir(spark, "stream_dedupe")
     env = fx.alerts_envelope(spark, sf_dir)
     deliveries = sorted(r[0] for r in env.select("delivery").distinct().collect())
     bronze = voltage.bronze(env, keep=["delivery"], dealt=True)
+    schema = voltage.flattened(bronze.drop("delivery")).schema
 
     def run():
-        flat = event_time(voltage.flattened(_stream_in(spark, root, bronze.schema).drop("delivery")),
-                          "event_timestamp")
+        # the bodies are parsed once: the stream stores its flattened rows, which the dedupe and the side table read
+        append_stream(voltage.flattened(_stream_in(spark, root, bronze.schema).drop("delivery")), f"{root}/flat",
+                      f"{root}/ck_flat").awaitTermination()
+        flat = event_time(stream_table(spark, f"{root}/flat", schema), "event_timestamp")
         out = dedupe_stream(flat, DEDUPE_COLUMNS, "event_timestamp", "1 day")
         return append_stream(out, f"{root}/silver", f"{root}/ck")
 
     _arrive_in_order(bronze, root, [F.col("delivery") == d for d in deliveries], run)
     s = spark.read.parquet(f"{root}/silver")
     kept = s.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")).select(*FLAT_COLS)
-    arrived = voltage.flattened(spark.read.schema(bronze.schema).option("recursiveFileLookup", True)
-                                .parquet(f"{root}/in"))
-    late_rows(arrived, kept, DEDUPE_COLUMNS).select(*FLAT_COLS).write.parquet(f"{root}/late")
+    arrived = spark.read.schema(schema).parquet(f"{root}/flat").select(*DEDUPE_COLUMNS)
+    with_time_parts(late_rows(arrived, kept, DEDUPE_COLUMNS), "event_timestamp", "event").select(*FLAT_COLS) \
+        .write.parquet(f"{root}/late")
     return kept, spark.read.parquet(f"{root}/late")
 
 

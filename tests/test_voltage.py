@@ -200,3 +200,21 @@ def test_envelopes_are_dealt_out_before_their_bodies_are_made(spark, tmp):
     late = lambda i: (i % 30) // fx.ALERT_DELIVERY_DAYS + (i % fx.ALERT_LATE_MOD == 0)
     assert got == {(str(i), late(i) + k) for i in range(100) for k in ((0, 1) if i % fx.ALERT_REPLAY_MOD == 0 else (0,))}
     assert env.count() == 105
+
+
+def test_streams_read_rows_that_were_flattened_once(spark, tmp):
+    import glob
+    from stratum.plans import incremental, registry
+    from stratum.session import checkpoint_root
+    sf_dir = _events_table(spark, tmp)
+    spark.range(9).select(F.col("id").alias("c_custkey"), F.lit("n").alias("c_name"), F.lit("s").alias("c_mktsegment"),
+                          F.lit(1).alias("c_nationkey")).write.parquet(f"{tmp}/customer.parquet")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    flat = voltage.flattened(registry._bronze(spark, sf_dir))
+    seen = set(glob.glob(f"{checkpoint_root(spark)}/stratum/*/flat"))
+    kept, late = registry._deduped_stream(spark, sf_dir)
+    assert rows(kept.unionByName(late)) == rows(flat.select(*registry.FLAT_COLS).distinct())
+    history = incremental.q_stream_history(spark, sf_dir)
+    assert rows(history) == rows(flat.select(*history.columns))
+    stored = set(glob.glob(f"{checkpoint_root(spark)}/stratum/*/flat")) - seen
+    assert len(stored) == 2 and all(rows(spark.read.parquet(p).select(*flat.columns)) == rows(flat) for p in stored)
