@@ -8,7 +8,8 @@ Per batch:
    up too, so that a key that moves is stored once;
 3. merge, tagging every row update / insert / keep, and write the
    touched partitions to a staging folder; the tag counts come from an ``Observation`` on that write;
-4. overwrite just those partitions of the table from the staged copy (dynamic overwrite);
+4. put the staged folders in the place of just those partitions of the table (where keys may move between
+   partitions, by a dynamic overwrite from the staged copy);
 5. append one commit row (sink id, batch id, version, metrics) to the table's commit log.
 
 A replayed batch id that is already committed by the same streaming query is skipped; a query that starts
@@ -187,10 +188,11 @@ class UpsertTable:
             return None
         grown = evolved(self.schema, batch.schema)
         new_schema, self.schema = (grown, grown) if grown != self.schema else (None, self.schema)
-        self.ensure()
         staged_path = f"{self.staging}/{sink}-{int(batch_id)}"
         metrics: dict = {}
-        if not table_exists(self.spark, staged_path):
+        published = path_exists(self.spark, f"{staged_path}_published")
+        if not published and not table_exists(self.spark, staged_path):
+            self.ensure()
             # the batch is evaluated once: written to staging, then read for partitions and merge
             src_path = f"{staged_path}_source"
             src = self._source(batch)
@@ -214,15 +216,35 @@ class UpsertTable:
         if new_schema:
             metrics["schema"] = new_schema.json()
         t2 = time.time()
-        staged = self.spark.read.schema(self.schema).parquet(staged_path)
-        overwrite_table(staged, self.path, self.partition_by, dynamic=True)
         if self.partition_by and not self.partition_from_keys:
+            staged = self.spark.read.schema(self.schema).parquet(staged_path)
+            overwrite_table(staged, self.path, self.partition_by, dynamic=True)
             self._drop_emptied(staged, self.spark.read.schema(self.schema).parquet(f"{staged_path}_source"))
+        elif not published:
+            self._move(staged_path)
         metrics.update(rewriteTimeMs=int((time.time() - t2) * 1000),
                        executionTimeMs=int((time.time() - t0) * 1000))
         self.log.append(sink, batch_id, "MERGE", metrics)
         return metrics
 
+    def _move(self, staged_path: str) -> None:
+        """Put the staged folders in the table's place, without copying their rows. A folder is moved whole: after
+        a failure those that are still staged are moved, and the mark at the end tells that none is left."""
+        fs, staged = _fs(self.spark, staged_path)
+        made = lambda p: _fs(self.spark, p)[1]
+        if self.partition_by:
+            found = fs.globStatus(staged.suffix("/" + "/".join(f"{c}=*" for c in self.partition_by)))
+            ends = ["/".join(st.getPath().toString().split("/")[-len(self.partition_by):]) for st in found]
+            moves = [(st.getPath(), made(f"{self.path}/").suffix(f"/{end}")) for st, end in zip(found, ends)]
+        else:
+            moves = [(staged, made(self.path))]
+        for src, dst in moves:
+            fs.delete(dst, True)
+            fs.mkdirs(dst.getParent())
+            if not fs.rename(src, dst):
+                raise OSError(f"{src} could not be moved to {dst}")
+        fs.create(made(f"{staged_path}_published"), True).close()
+
     def _drop_emptied(self, staged: DataFrame, source: DataFrame) -> None:
         """Delete the folders that all keys have moved out of: of the partitions that hold keys of the batch,
         those without a row in the new copy. A dynamic overwrite leaves such folders as they were."""

@@ -218,3 +218,24 @@ def test_streams_read_rows_that_were_flattened_once(spark, tmp):
     assert rows(history) == rows(flat.select(*history.columns))
     stored = set(glob.glob(f"{checkpoint_root(spark)}/stratum/*/flat")) - seen
     assert len(stored) == 2 and all(rows(spark.read.parquet(p).select(*flat.columns)) == rows(flat) for p in stored)
+
+
+def test_staged_folders_are_moved_into_the_table(spark, tmp):
+    from stratum.sources.catalog import path_exists
+    from stratum.streaming.upsert import UpsertTable
+    t1, t2 = dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 2, 1)
+    b0 = _gold_rows(spark, [("m1", t1, t1, "a", "2024", "01", "01"), ("m2", t2, t2, "b", "2024", "01", "02")])
+    b1 = _gold_rows(spark, [("m1", t1, t1, "a2", "2024", "01", "01")])
+    for name, parts in (("whole", []), ("parts", voltage.GOLD_PARTITION_BY)):
+        new = lambda: UpsertTable(spark, f"{tmp}/{name}", voltage.MERGE_KEYS, b0.schema, parts, "s", partition_from_keys=True)  # noqa: E731,B023
+        new().merge_batch(b0, 0)
+        for fails in ("_move", "log"):          # before the move, then between it and the commit row
+            table, batch = new(), (1 if fails == "_move" else 2)
+            setattr(*((table, "_move") if fails == "_move" else (table.log, "append")), lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                table.merge_batch(b1, batch)
+            assert new().merge_batch(b1, batch)["republished"] == 1 and new().merge_batch(b1, batch) is None
+            assert sorted((r.mpan, r.v) for r in new().read().collect()) == [("m1", "a2"), ("m2", "b")]
+        folder = f"{tmp}/{name}_staging/s-0"     # no second copy of the rows is left
+        assert path_exists(spark, f"{folder}_published") and not path_exists(spark, f"{folder}/event_year=2024/event_month=01/event_day=01")
+        assert parts or not path_exists(spark, folder)
