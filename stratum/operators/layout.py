@@ -19,9 +19,11 @@ SAMPLE_ROWS, SAMPLE_BYTES = 50_000, 32 << 20
 
 
 def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
-    """Files to write for the frame's estimated size (the planner's statistics; no job)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, -(-size // file_bytes))
+    """Files to write for the frame's size: the planner's statistics, or the plain size of its rows where that is
+    more. Stored columns may be packed many times over, while the task that sorts a file holds whole rows."""
+    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    plain = df.count() * df._jdf.schema().defaultSize()
+    return max(1, -(-max(stored, plain) // file_bytes))
 
 
 def _rank(df: DataFrame, col: str) -> Column:

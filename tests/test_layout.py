@@ -68,3 +68,11 @@ def test_prefix_case_custom_mapping(spark):
     df = spark.createDataFrame([("ab1",), ("cd2",), (None,)], "x string")
     out = [r.y for r in df.select(prefix_case("x", {"ab": "A", "cd": "C"}, "other").alias("y")).collect()]
     assert out == ["A", "C", "other"]
+
+
+def test_file_count_of_packed_rows_follows_their_plain_size(spark, tmp):
+    spark.range(20_000).select(F.lit("a").alias("a"), F.lit(1.0).alias("b")).coalesce(1).write.parquet(f"{tmp}/p")
+    packed = spark.read.parquet(f"{tmp}/p")
+    assert layout.file_count(packed, 1 << 16) >= 5           # a few hundred bytes are stored
+    layout.cluster_by_zorder(packed, ["b"], bits=2).write.parquet(f"{tmp}/z")
+    assert spark.read.parquet(f"{tmp}/z").count() == 20_000
