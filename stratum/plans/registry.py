@@ -42,7 +42,7 @@ def _retail_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from stratum.session import scratch_dir
     path = scratch_dir(spark, "retail_cleaned") + "/cleaned"
-    retail.cleaned_retail(fx.retail_src(spark, sf_dir).drop("arrival")).write.parquet(path)
+    retail.cleaned_retail(fx.retail_src(spark, sf_dir).drop("arrival"), dealt=True).write.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -38,9 +38,10 @@ def raw_retail_stream(spark: SparkSession, path: str, max_files: int | None = No
     return with_input_file(src)
 
 
-def cleaned_retail(raw: DataFrame, width: int | None = None) -> DataFrame:
-    """The raw rows, dealt out if their scan is narrow (P17), so that the nodes behind it are as wide."""
-    return redistribute(raw.select("*"), width=width)
+def cleaned_retail(raw: DataFrame, width: int | None = None, dealt: bool = False) -> DataFrame:
+    """The raw rows, dealt out if their scan is narrow (P17), so that the nodes behind it are as wide; not again
+    if they were made from rows already ``dealt`` out."""
+    return raw.select("*") if dealt else redistribute(raw.select("*"), width=width)
 
 
 def shape_retail(cleaned: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import datetime as dt
+
 
 from stratum.functions.datetime import split_invoice_datetime
 from stratum.plans import retail
@@ -53,3 +55,34 @@ def test_invoice_clean_up_of_odd_texts(spark):
         "x": (None, None, None),
     }
     assert dict(zip(expected, _clean(spark, list(expected)))) == expected
+
+
+def test_lines_are_not_shuffled_by_customer(spark, tmp):
+    from stratum.plans import fixtures as fx
+    lines = [(1, 5, 2.0, 10.0), (1, 6, 3.0, 20.0), (2, 5, 4.0, 30.0), (9, 5, 1.0, 1.0), (None, 5, 1.0, 1.0)]
+    made = {"lineitem": spark.createDataFrame([(*r, dt.datetime(1996, 1, 2)) for r in lines],
+                                              "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"),
+            "orders": spark.createDataFrame([(1, 7), (1, 7), (2, 8), (3, 7)], "o_orderkey long, o_custkey long"),
+            "customer": spark.createDataFrame([(7, 1), (8, 2)], "c_custkey long, c_nationkey int"),
+            "nation": spark.createDataFrame([(1, "FR"), (3, "DE")], "n_nationkey int, n_name string"),
+            "part": spark.createDataFrame([(5, "bolt")], "p_partkey long, p_name string")}
+    for name, df in made.items():
+        df.write.parquet(f"{tmp}/{name}.parquet")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src = fx.retail_src(spark, tmp)
+        plan = src._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(plan):
+        if "hashpartitioning(o_custkey" in line:
+            under = []
+            for x in plan[i + 1:]:
+                if depth(x) <= depth(line):
+                    break
+                under.append(x)
+            assert not any("l_orderkey" in x for x in under)
+    got = sorted((r.InvoiceNo, r.StockCode, r.Description or "", r.CustomerID, r.Country, r.arrival) for r in src.collect())
+    assert got == [("1", "5", "bolt", "7", "FR", 1996)] * 2 + [("1", "6", "", "7", "FR", 1996)] * 2
