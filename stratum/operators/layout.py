@@ -14,16 +14,33 @@ from pyspark.sql import functions as F
 
 #: Size of a data file that layout jobs aim at.
 FILE_BYTES = 128 << 20
+#: What a sort holds of a row besides its values: header, Z-value and buckets, pointers.
+ROW_BYTES = 64
 #: Rows and bytes of the sample that the bounds of text columns are taken from.
 SAMPLE_ROWS, SAMPLE_BYTES = 50_000, 32 << 20
 
 
+def _col(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _plain_bytes(df: DataFrame) -> int:
+    """About the bytes that a sort holds for the frame's rows: ROW_BYTES each, 8 a column, texts by their own length
+    and nested values by that of their JSON. One pass, which reads only the columns of these two kinds."""
+    size = F.lit(ROW_BYTES + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        c, kind = _col(f.name), f.dataType.typeName()
+        if _is_text(df, f.name) or kind in ("array", "map", "struct", "variant"):
+            text = c if _is_text(df, f.name) else F.to_json(c)
+            size = size + F.coalesce(F.octet_length(text), F.lit(0))
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
 def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
     """Files to write for the frame's size: the planner's statistics, or the plain size of its rows where that is
     more. Stored columns may be packed many times over, while the task that sorts a file holds whole rows."""
     stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    plain = df.count() * df._jdf.schema().defaultSize()
-    return max(1, -(-max(stored, plain) // file_bytes))
+    return max(1, -(-max(stored, _plain_bytes(df)) // file_bytes))
 
 
 def _rank(df: DataFrame, col: str) -> Column:

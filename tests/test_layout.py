@@ -76,3 +76,12 @@ def test_file_count_of_packed_rows_follows_their_plain_size(spark, tmp):
     assert layout.file_count(packed, 1 << 16) >= 5           # a few hundred bytes are stored
     layout.cluster_by_zorder(packed, ["b"], bits=2).write.parquet(f"{tmp}/z")
     assert spark.read.parquet(f"{tmp}/z").count() == 20_000
+
+
+def test_file_count_follows_the_length_of_packed_texts(spark, tmp):
+    spark.range(2_000).select("id", F.expr("repeat('a', 1000)").alias("a.b"), F.expr("map('k', array(repeat('b', 1000)))").alias("m"),
+                              F.lit(None).cast("string").alias("n")).coalesce(1).write.parquet(f"{tmp}/p")
+    packed = spark.read.parquet(f"{tmp}/p")
+    assert 4 <= layout.file_count(packed, 1 << 20) <= 5      # 4.2 MB of rows, a few KB stored
+    assert layout.file_count(packed.drop("m"), 1 << 20) == layout.file_count(packed.drop("a.b"), 1 << 20) == 3
+    assert layout.file_count(packed.filter("id < 0").select("id"), 1 << 40) == 1
