@@ -125,6 +125,11 @@ def _quantile_buckets(df: DataFrame, cols: Sequence[str], bits: int, relative_er
     return out
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that Spark can hash."""
+    return F.xxhash64(*[_col(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
 def zorder_value(cols: Sequence[str], bits: int) -> Column:
     """Interleave the bits of the per-column buckets: bit i of column j -> bit i*n + j."""
     n = len(cols)
@@ -138,14 +143,16 @@ def zorder_value(cols: Sequence[str], bits: int) -> Column:
 
 def cluster_by_zorder(df: DataFrame, cols: Sequence[str], files: int | None = None, bits: int | None = None,
                       relative_error: float = 0.001) -> DataFrame:
-    """Rows range-partitioned into ``files`` partitions (by default as many as the size asks for) by
-    Z-value and sorted within each."""
+    """Rows range-partitioned into ``files`` partitions by Z-value and sorted within each. By default there are as
+    many as the size asks for, and rows of one Z-value may go to several, by a hash of the whole row: else a value
+    that most rows share would put them into one task, however large the table is."""
     cols = list(cols)
+    ranges = ["__z"] if files else ["__z", _row_hash(df)]
     files = files or file_count(df)
     bits = bits or max(1, min(10, 62 // len(cols)))
     b = _quantile_buckets(df, cols, bits, relative_error)
     z = b.withColumn("__z", zorder_value(cols, bits))
-    return (z.repartitionByRange(files, "__z").sortWithinPartitions("__z")
+    return (z.repartitionByRange(files, *ranges).sortWithinPartitions("__z")
              .drop("__z", *[f"__zb_{c}" for c in cols]))
 
 

@@ -85,3 +85,14 @@ def test_file_count_follows_the_length_of_packed_texts(spark, tmp):
     assert 4 <= layout.file_count(packed, 1 << 20) <= 5      # 4.2 MB of rows, a few KB stored
     assert layout.file_count(packed.drop("m"), 1 << 20) == layout.file_count(packed.drop("a.b"), 1 << 20) == 3
     assert layout.file_count(packed.filter("id < 0").select("id"), 1 << 40) == 1
+
+
+def test_zorder_cuts_a_value_that_most_rows_share(spark, tmp, monkeypatch):
+    monkeypatch.setattr(layout.file_count, "__defaults__", (1 << 16,))
+    df = spark.range(4_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("u"), F.expr("map('k', id)").alias("m.m"))
+    layout.cluster_by_zorder(df, ["u"]).write.parquet(f"{tmp}/z")
+    stored = spark.read.parquet(f"{tmp}/z")
+    rows = [r["rows"] for r in layout.table_files(stored).collect()]
+    assert len(rows) >= 4 and sum(rows) == 4_000 and max(rows) < 2_000      # 3,600 rows have no u
+    assert sorted(r.id for r in stored.select("id").collect()) == list(range(4_000))
+    assert layout.files_overlapping(layout.file_stats(stored, ["u"]), "u", 2000).count() == 1
