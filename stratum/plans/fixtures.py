@@ -8,9 +8,12 @@ transformation of the tables, so its size grows with theirs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.session import freed_shuffles
 from stratum.sources.files import redistribute
 
 # Edge-row rules of the derived feeds (modulo of the named id column).
@@ -117,11 +120,17 @@ def land_retail_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
     path = f"{root}/retail_csv"
     # no shuffle by the partition column: every task writes its rows to the few year folders, so
     # one year never lands in a single task and the folders keep one file per writing task
-    (retail_src(spark, sf_dir).select(*RETAIL_CSV_COLUMNS, "arrival")
-        .write.mode("overwrite").partitionBy("arrival").option("header", True).csv(path))
+    with freed_shuffles(spark):
+        write_retail_csv(retail_src(spark, sf_dir).select(*RETAIL_CSV_COLUMNS, "arrival"), path, ["arrival"])
     return path
 
 
+def write_retail_csv(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Packed CSV files with a header. One task reads a packed file whole, so each holds a million rows at most."""
+    rows.write.mode("overwrite").partitionBy(*partition_by).option("maxRecordsPerFile", 1_000_000) \
+        .option("zlib.compress.level", "BEST_SPEED").csv(path, header=True, compression="gzip")
+
+
 # ---------------------------------------------------------------------------------------------
 # Voltage alerts: events as message-bus envelopes with XML bodies
 

@@ -161,9 +161,12 @@ def q_retail_countries(spark, sf_dir):
 def q_retail_dag(spark, sf_dir):
     """The whole retail graph (streams + complete tables) in dependency order; returns the top ten."""
     from stratum.session import scratch_dir
+    from stratum.sources.catalog import delete_folder
     root = scratch_dir(spark, "retail_dag")
     csv = fx.land_retail_csv(spark, sf_dir, root)
-    tables = retail.run_retail(spark, csv, root, prefix="retail_" + root.rsplit("-", 1)[-1])
+    # the landed files go once the raw table holds their rows
+    tables = retail.run_retail(spark, csv, root, prefix="retail_" + root.rsplit("-", 1)[-1], keep_hours=0,
+                               landed=lambda: delete_folder(spark, csv))
     return _round(tables.table(spark, "top_ten_customers"), ["TotalSales"])
 
 

@@ -5,6 +5,7 @@ frames and (the streaming nodes) on streams. ``run_retail`` executes the graph i
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from stratum.operators import aggregates as agg
 from stratum.operators.changes import apply_changes
 from stratum.operators.quality import expect_or_drop, quarantine
 from stratum.plans.fixtures import RETAIL_DDL
+from stratum.session import freed_shuffles
 from stratum.sources.files import redistribute, stream_files, with_input_file
 
 # The declared expectations of the retail flow.
@@ -118,7 +120,8 @@ class RetailTables:
         """The keyed target, by append-only changes and the newest row of a key."""
         from stratum.streaming.buckets import ChangeTable
         schema = spark.read.parquet(self.paths["quality_retail"]).select(*QUALITY_COLUMNS).schema
-        return ChangeTable(spark, self.paths["retail_sales_all_countries"], schema, CHANGE_KEYS, SEQUENCE_BY)
+        return ChangeTable(spark, self.paths["retail_sales_all_countries"], schema, CHANGE_KEYS, SEQUENCE_BY,
+                           compression=CODEC)
 
     def sums(self, spark: SparkSession, name: str):
         """The sums that a complete dataset is shown from."""
@@ -162,8 +165,13 @@ SHOWN = {
 }
 
 
+#: Codec of the stored rows: the graph keeps them in six tables.
+CODEC = "zstd"
+
+
 def run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str,
-               max_files: int | None = None) -> RetailTables:
+               max_files: int | None = None, keep_hours: float | None = None,
+               landed: Callable[[], None] | None = None) -> RetailTables:
     """Run the whole retail graph once, in dependency order.
 
     Streaming datasets run as Structured Streaming queries with ``availableNow`` (each with its own
@@ -171,16 +179,24 @@ def run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str,
     merges them into the buckets that they touch; the complete datasets keep sums, to which a version's
     signed changes are added, and show them as a new snapshot. So a re-run reads new rows, touched
     buckets and sums, never the whole target. Every materialised dataset is registered as
-    ``<prefix>_<name>`` with its comment and tier.
+    ``<prefix>_<name>`` with its comment and tier. Given ``keep_hours``, a run deletes what is superseded for
+    longer: older versions of buckets, sums and snapshots, and changes that the target and its sums hold.
+    ``landed`` is called once the raw table holds the files that came.
     """
-    from stratum.streaming.datasets import Dataset, live_table, streaming_table
+    with freed_shuffles(spark):
+        return _run_retail(spark, csv_path, root, prefix, max_files, keep_hours, landed)
+
+
+def _run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str, max_files: int | None,
+                keep_hours: float | None, landed: Callable[[], None] | None) -> RetailTables:
+    from stratum.streaming.datasets import Dataset, live_table, snapshots, streaming_table
 
     t = RetailTables(root, prefix)
     ds = {}
     for name, tier, parts, kind in RETAIL_DATASETS:
         t.paths[name] = f"{root}/tables/{name}"
         ds[name] = Dataset(f"{prefix}_{name}", t.paths[name], comment=f"retail {kind} dataset {name}",
-                           properties={"quality": tier} if tier else {}, partition_by=parts)
+                           properties={"quality": tier} if tier else {}, partition_by=parts, compression=CODEC)
     ck = f"{root}/checkpoints"
 
     def upstream(name: str) -> DataFrame:
@@ -188,6 +204,8 @@ def run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str,
         return spark.readStream.schema(schema).parquet(t.paths[name])
 
     streaming_table(spark, ds["raw_retail"], raw_retail_stream(spark, csv_path, max_files), f"{ck}/raw")
+    if landed:
+        landed()
     streaming_table(spark, ds["cleaned_retail"], cleaned_retail(upstream("raw_retail")), f"{ck}/cleaned")
     cleaned_s = upstream("cleaned_retail")
     streaming_table(spark, ds["quality_retail"], quality_retail(cleaned_s), f"{ck}/quality")
@@ -202,7 +220,13 @@ def run_retail(spark: SparkSession, csv_path: str, root: str, prefix: str,
     target.read().createOrReplaceTempView(ds["retail_sales_all_countries"].name)
     for name in KEPT_SUMS:
         sums = t.sums(spark, name)
-        for version in target.base.versions():      # those added before are left out
-            sums.apply(_sum_rows(spark, target, name, version), version)
+        for version in target.base.versions():
+            if not sums.applied(version):           # the changes of one that is may be gone
+                sums.apply(_sum_rows(spark, target, name, version), version)
         live_table(spark, ds[name], SHOWN[name](sums.read()))
+    if keep_hours is not None:                      # all sums hold all versions
+        target.vacuum(keep_hours)
+        for name in KEPT_SUMS:
+            t.sums(spark, name).vacuum(keep_hours)
+            snapshots(spark, ds[name]).vacuum(keep_hours)
     return t

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +45,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query are deleted when the query ends, not when the driver's garbage
+    collector finds them: a job of many queries then holds those of one. A frame that is run a second time is
+    shuffled anew."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only if the session has none (tests)."""
     sc = spark.sparkContext

@@ -24,6 +24,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with what it holds; False if there is none."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A committed table: a batch write leaves ``_SUCCESS``, the stream file sink ``_spark_metadata``."""
     return path_exists(spark, f"{path}/_SUCCESS") or path_exists(spark, f"{path}/_spark_metadata")

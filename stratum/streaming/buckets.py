@@ -29,6 +29,8 @@ from stratum.operators.changes import latest_per_key
 from stratum.sources.catalog import _fs, table_exists
 
 BUCKET, GENERATION = "_bucket", "_generation"
+#: Stored bytes that are merged at a time: the shuffles of a merge, several times as large, are limited by it.
+TURN_BYTES = 1 << 28
 
 
 def folders(spark: SparkSession, path: str, name: str) -> list[int]:
@@ -40,11 +42,17 @@ def folders(spark: SparkSession, path: str, name: str) -> list[int]:
     return sorted(int(f.partition("=")[2]) for f in found if f.startswith(f"{name}=") and f.partition("=")[2].isdigit())
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 class BucketFolders:
     """Rows of a table by version and bucket; a bucket's rows are those of its newest finished version."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int):
-        self.spark, self.path, self.schema = spark, path, schema
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int,
+                 compression: str | None = None):
+        self.spark, self.path, self.schema, self.compression = spark, path, schema, compression
         self.keys, self.buckets = list(keys), buckets
         self._finished: dict[int, list[int]] = {}   # a finished version never changes
 
@@ -77,11 +85,14 @@ class BucketFolders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def write(self, df: DataFrame, version: int) -> None:
-        """A version: all rows of each bucket that ``df`` has rows of."""
-        df.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET) \
-            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET) \
-            .parquet(self.folder(version))
+    def write(self, df: DataFrame, version: int, first: bool = True, last: bool = True) -> None:
+        """A version: all rows of each bucket that ``df`` has rows of. It may be written in turns, each with
+        buckets of its own; the last one finishes it, and a first one begins it anew."""
+        w = df.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET) \
+            .write.mode("overwrite" if first else "append").option("partitionOverwriteMode", "static") \
+            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(last).lower())
+        w = w.option("compression", self.compression) if self.compression else w
+        w.partitionBy(BUCKET).parquet(self.folder(version))
 
     def vacuum(self, older_than_hours: float = 168) -> list[int]:
         """Delete versions of which no bucket is current and that are older than this (a reader's grace)."""
@@ -103,8 +114,9 @@ class ChangeTable:
     are a key like any other."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
-                 sequence_by: str | Sequence[str], buckets: int = 16):
+                 sequence_by: str | Sequence[str], buckets: int = 16, compression: str | None = None):
         self.spark, self.path, self.schema, self.keys = spark, path, schema, list(keys)
+        self.compression = compression
         seq = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
         names = schema.fieldNames()
         self.sequence_by = seq
@@ -112,7 +124,7 @@ class ChangeTable:
         was = StructType([StructField(c, schema[c].dataType) for c in self.order])
         stored = StructType([*[StructField(c, schema[c].dataType) for c in names],
                              StructField("_was", was), StructField("_changed", BooleanType())])
-        self.base = BucketFolders(spark, f"{path}/base", stored, self.keys, buckets)
+        self.base = BucketFolders(spark, f"{path}/base", stored, self.keys, buckets, compression)
 
     @property
     def columns(self) -> list[str]:
@@ -136,10 +148,12 @@ class ChangeTable:
         rows = changes.select(*self.columns).withColumn(BUCKET, self.base.bucket())
         if changes.isStreaming:
             q = append_stream(rows.withColumn(GENERATION, F.lit(number)), f"{self.path}/changes", checkpoint,
-                              [GENERATION, BUCKET], trigger)
+                              [GENERATION, BUCKET], trigger, compression=self.compression)
             q.awaitTermination()
             return q
-        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/appended/generation={number}")
+        w = rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET)
+        w = w.option("compression", self.compression) if self.compression else w
+        w.parquet(f"{self.path}/appended/generation={number}")
         return None
 
     def _changes(self, generations: Iterable[int]) -> DataFrame | None:
@@ -160,8 +174,23 @@ class ChangeTable:
             return base
         return latest_per_key(base.unionByName(changes.select(*self.columns)), self.keys, self.sequence_by)
 
+    def _turns(self, touched: Iterable[int], generations: Iterable[int]) -> list[list[int]]:
+        """The touched buckets in turns of about ``TURN_BYTES`` of stored rows, old and new, at least one bucket each."""
+        layout, turns, held = self.base.layout(), [], 0
+        came = [f"{self.path}/{f}={g}" for g in generations for f in (f"changes/{GENERATION}", "appended/generation")]
+        for b in touched:
+            old = [self.base.folder(layout[b])] if b in layout else []
+            size = sum(stored_bytes(self.spark, f"{p}/{BUCKET}={b}") for p in [*came, *old])
+            if not turns or held + size > TURN_BYTES:
+                turns.append([])
+                held = 0
+            turns[-1].append(b)
+            held += size
+        return turns
+
     def compact(self) -> int | None:
-        """Merge the pending generations into the buckets that they touch. Returns the new version."""
+        """Merge the pending generations into the buckets that they touch, a turn of buckets after the other.
+        Returns the new version."""
         pending = self.pending()
         changes = self._changes(pending)
         if changes is None:
@@ -169,15 +198,21 @@ class ChangeTable:
         touched = sorted(r[0] for r in changes.select(BUCKET).distinct().collect())  # at most the number of buckets
         if not touched:
             return None   # nothing was committed
-        old = self.base.read(touched).select(*self.columns)
+        turns = self._turns(touched, pending)
+        for i, some in enumerate(turns):
+            new = changes if len(turns) == 1 else changes.filter(F.col(BUCKET).isin(some))
+            self.base.write(self._merged(some, new), pending[-1], first=i == 0, last=i == len(turns) - 1)
+        return pending[-1]
+
+    def _merged(self, buckets: Iterable[int], changes: DataFrame) -> DataFrame:
+        """The newest row of each key of some buckets, with the one before if it changed."""
+        old = self.base.read(buckets).select(*self.columns)
         row = F.struct(*self.order)
         merged = old.withColumn("_had", F.lit(True)).unionByName(changes.select(*self.columns).withColumn("_had", F.lit(False))) \
             .groupBy(*self.keys).agg(F.max(row).alias("_now"), F.max(F.when(F.col("_had"), row)).alias("_was"))
         changed = F.col("_was").isNull() | (F.col("_now") > F.col("_was"))
-        merged = merged.select(*[F.col(c) if c in self.keys else F.col(f"_now.{c}").alias(c) for c in self.columns],
-                               F.when(changed, F.col("_was")).alias("_was"), changed.alias("_changed"))
-        self.base.write(merged, pending[-1])
-        return pending[-1]
+        return merged.select(*[F.col(c) if c in self.keys else F.col(f"_now.{c}").alias(c) for c in self.columns],
+                             F.when(changed, F.col("_was")).alias("_was"), changed.alias("_changed"))
 
     def deltas(self, version: int) -> DataFrame:
         """What a version changed, as signed rows: the old row of a key with ``_sign`` -1, the new one with 1."""
@@ -225,9 +260,13 @@ class KeptSums:
         schema = ", ".join(f"`{c}` {types[c]}" for c in groups) + f", _sum {self.DECIMAL}, _values long, _rows long"
         self.stored = BucketFolders(spark, path, StructType.fromDDL(schema), list(groups), buckets)
 
+    def applied(self, version: int) -> bool:
+        """Versions are added in order, so one below the newest was, even if its folder is gone."""
+        return version <= max(self.stored.versions(), default=-1)
+
     def apply(self, deltas: DataFrame, version: int) -> bool:
         """Add the signed rows of a version; one that was added before is left out."""
-        if self.stored.finished(version):
+        if self.applied(version):
             return False
         sign, names = F.col("_sign"), list(self.groups)
         value = F.lit(None).cast(self.DECIMAL) if self.value is None else self.value.cast(self.DECIMAL)

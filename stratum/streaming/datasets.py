@@ -34,6 +34,7 @@ class Dataset:
     temporary: bool = False
     cluster_by: Sequence[str] = ()     # new files are laid out by these columns
     cluster_files: int | None = None   # files of a run; by default as many as its size asks for
+    compression: str | None = None     # codec of a streaming dataset's files; by default the session's
 
     def apply_rules(self, df: DataFrame):
         """Warn rules are counted (observation), drop rules filter. Returns (df, observation|None)."""
@@ -69,7 +70,7 @@ def streaming_table(spark: SparkSession, ds: Dataset, df: DataFrame, checkpoint:
     if ds.cluster_by:
         return _clustered_table(spark, ds, out, checkpoint or f"{ds.path}_checkpoint", trigger, observation)
     q = append_stream(out, ds.path, checkpoint or f"{ds.path}_checkpoint", ds.partition_by, trigger,
-                      query_name=ds.name)
+                      query_name=ds.name, compression=ds.compression)
     q.awaitTermination()
     if observation:
         _keep_metrics(spark, ds, q, observation)
@@ -90,7 +91,7 @@ def _clustered_table(spark: SparkSession, ds: Dataset, out: DataFrame, checkpoin
     from stratum.streaming.sinks import append_stream
     arrivals, schema = f"{ds.path}_arrivals", out.schema
     q = append_stream(out.withColumn(RUN, F.lit(max(folders(spark, arrivals, RUN), default=-1) + 1)), arrivals, checkpoint,
-                      [RUN], trigger, query_name=ds.name)
+                      [RUN], trigger, query_name=ds.name, compression=ds.compression)
     q.awaitTermination()
     if observation:
         _keep_metrics(spark, ds, q, observation)
@@ -104,6 +105,7 @@ def _clustered_table(spark: SparkSession, ds: Dataset, out: DataFrame, checkpoin
         new = came.filter(F.col(RUN) == n).drop(RUN)
         w = cluster_by_zorder(new, ds.cluster_by, ds.cluster_files).write.mode("overwrite") \
             .option("partitionOverwriteMode", "static")
+        w = w.option("compression", ds.compression) if ds.compression else w
         (w.partitionBy(*ds.partition_by) if ds.partition_by else w).parquet(done)
         fs, p = _fs(spark, f"{ds.path}/_SUCCESS")
         fs.create(p, True).close()     # the table holds a finished run

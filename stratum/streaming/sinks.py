@@ -26,13 +26,15 @@ def _trigger(writer, trigger: dict | None):
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] | None = None,
                   trigger: dict | None = None, fmt: str = "parquet", query_name: str | None = None,
-                  max_records_per_file: int | None = None) -> StreamingQuery:
-    """Append a stream to a table at ``path`` (K1, K3). Default trigger: availableNow."""
+                  max_records_per_file: int | None = None, compression: str | None = None) -> StreamingQuery:
+    """Append a stream to a table at ``path`` (K1, K3). Default trigger: availableNow; default codec: the session's."""
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
+    if compression:
+        w = w.option("compression", compression)
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start(path)

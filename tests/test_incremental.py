@@ -290,3 +290,53 @@ def test_hours_across_both_clock_changes(spark):
     got = [(r.local_start.strftime("%m-%d %H"), r.offset_minutes, r["count"])
            for r in agg.count_by_local_hour(df, "ts", "Europe/London").collect()]
     assert got == [("03-31 00", 0, 1), ("03-31 02", 60, 1), ("10-27 00", 60, 1), ("10-27 01", 60, 2), ("10-27 01", 0, 1)]
+
+
+def test_a_version_written_in_turns_is_whole_or_not_there(spark, tmp, monkeypatch):
+    from stratum.streaming import buckets
+    monkeypatch.setattr(buckets, "TURN_BYTES", 1)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    table = ChangeTable(spark, f"{tmp}/t", schema, ["k"], "seq", buckets=4)
+    first = [(c, 1, "x", 1.0) for c in "abcdefgh"] + [(None, 1, "x", 1.0)]
+    table.append(spark.createDataFrame(first, SCHEMA))
+    turns, write = [], buckets.BucketFolders.write
+    monkeypatch.setattr(buckets.BucketFolders, "write", lambda self, df, *a, **k: (turns.append(k), write(self, df, *a, **k)) and None)
+    assert table.compact() == 0 and len(turns) == len(table.base.layout()) > 1
+    second = [("a", 2, "y", 2.0), ("b", 0, "y", 2.0), ("h", 1, "z", 1.0), (None, 3, "y", 4.0), ("n", 1, "y", 1.0)]
+    table.append(spark.createDataFrame(second, SCHEMA))
+
+    def breaks(self, df, version, first=True, last=True):
+        if not first:
+            raise OSError("broke off")
+        write(self, df, version, first, last)
+    want = _rows(apply_changes(None, spark.createDataFrame(first + second, SCHEMA), "k", "seq"))
+    with monkeypatch.context() as m:
+        m.setattr(buckets.BucketFolders, "write", breaks)
+        with pytest.raises(OSError):
+            table.compact()
+    again = ChangeTable(spark, f"{tmp}/t", schema, ["k"], "seq", buckets=4)
+    assert again.base.versions() == [0] and again.pending() == [1] and _rows(again.read()) == want
+    assert again.compact() == 1 and _rows(again.read()) == want and again.base.versions() == [0, 1]
+    assert _rows(again.deltas(1)) == _rows(spark.createDataFrame(
+        [(-1, "a", 1, "x", 1.0), (1, "a", 2, "y", 2.0), (-1, "h", 1, "x", 1.0), (1, "h", 1, "z", 1.0),
+         (-1, None, 1, "x", 1.0), (1, None, 3, "y", 4.0), (1, "n", 1, "y", 1.0)], "_sign int, " + SCHEMA))
+
+
+def test_retail_runs_keep_only_what_is_current(spark, tmp):
+    from stratum.plans import retail
+    head = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+    lines = [["1,s,d,2,1/2/11 3:04,1.5,c1,UK", "2,s,d,3,1/2/11 3:05,1.5,c2,FR", "3,s,d,1,1/2/11 3:05,1.5,c3,FR"],
+             ["1,s,d,5,1/3/11 3:04,1.5,c1,DE", "1,s,d,9,1/1/11 3:04,1.5,c1,ES"], ["2,s,d,3,1/2/11 3:05,1.5,c2,FR"], []]
+    for i, part in enumerate(lines):
+        spark.createDataFrame([(head + "\n".join(part),)], "value string").coalesce(1).write.text(f"{tmp}/csv/f{i}")
+        t = retail.run_retail(spark, f"{tmp}/csv", f"{tmp}/run", f"cur_{i}_{tmp.rsplit('-', 1)[-1]}", keep_hours=0)
+        latest = retail.sales_all_countries(spark.read.parquet(t.paths["quality_retail"]))
+        assert _rows(t.read(spark, "retail_sales_all_countries")) == _rows(latest)
+        for name, fn in (("sales_by_day", retail.sales_by_day), ("sales_by_country", retail.sales_by_country),
+                         ("top_ten_customers", retail.top_ten_customers)):
+            assert _rows(t.read(spark, name)) == _rows(fn(latest)), (i, name)
+            assert len(folders(spark, t.paths[name], "snapshot")) == 1
+        target = t.target(spark)
+        assert target.generations() == [] and target.pending() == []
+        assert set(target.base.versions()) == set(target.base.layout().values()) | {max(target.base.versions())}
+    assert _rows(t.read(spark, "distinct_countries_retail")) == [("DE",), ("ES",), ("FR",), ("UK",)]

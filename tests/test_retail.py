@@ -86,3 +86,79 @@ def test_lines_are_not_shuffled_by_customer(spark, tmp):
             assert not any("l_orderkey" in x for x in under)
     got = sorted((r.InvoiceNo, r.StockCode, r.Description or "", r.CustomerID, r.Country, r.arrival) for r in src.collect())
     assert got == [("1", "5", "bolt", "7", "FR", 1996)] * 2 + [("1", "6", "", "7", "FR", 1996)] * 2
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffles_are_freed_with_the_query_that_made_them(spark, tmp):
+    import time
+
+    import pytest
+
+    from stratum.session import freed_shuffles
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(name), _shuffle_files(spark)
+    with pytest.raises(ValueError):
+        with freed_shuffles(spark):
+            df = spark.range(1000).repartition(3)
+            df.write.parquet(f"{tmp}/a")
+            assert df.count() == 1000 and df.distinct().count() == 1000
+            raise ValueError
+    until = time.time() + 20                            # files are deleted in the background
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before and spark.conf.get(name) == was
+
+
+def _small_tables(spark, path):
+    """Lines of 1996, 1998 and 1990; the line of 1998 changes the invoice of 1996."""
+    lines = [(1, 5, 2.0, dt.datetime(1996, 1, 2)), (1, 6, 3.0, dt.datetime(1998, 1, 2)), (2, 5, 4.0, dt.datetime(1990, 1, 2)),
+             (29, 5, 4.0, dt.datetime(1998, 1, 2)), (3, 5, 7.0, None)]
+    made = {"lineitem": spark.createDataFrame([(o, p, q, 1.0, d) for o, p, q, d in lines],
+                                              "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"),
+            "orders": spark.createDataFrame([(1, 7), (2, 8), (29, 8), (3, 8)], "o_orderkey long, o_custkey long"),
+            "customer": spark.createDataFrame([(7, 1), (8, 2)], "c_custkey long, c_nationkey int"),
+            "nation": spark.createDataFrame([(1, "FR"), (2, "DE")], "n_nationkey int, n_name string"),
+            "part": spark.createDataFrame([(5, "bolt")], "p_partkey long, p_name string")}
+    for name, df in made.items():
+        df.write.parquet(f"{path}/{name}.parquet")
+
+
+def test_landed_csv_is_packed_in_files_of_bounded_rows(spark, tmp):
+    import os
+
+    from stratum.plans import fixtures as fx
+    _small_tables(spark, tmp)
+    csv = fx.land_retail_csv(spark, tmp, f"{tmp}/out")
+    files = [f for _, _, fs in os.walk(csv) for f in fs if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    rows = spark.range(1_000_001).selectExpr(*[f"cast(null as string) as {c}" for c in fx.RETAIL_CSV_COLUMNS]).coalesce(1)
+    fx.write_retail_csv(rows, f"{tmp}/many")
+    assert len([f for f in os.listdir(f"{tmp}/many") if f.startswith("part-")]) == 2
+    assert spark.read.option("header", True).schema(fx.RETAIL_DDL).csv(csv).count() == 5
+
+
+def test_retail_dag_holds_each_row_once_per_dataset(spark, tmp):
+    import os
+
+    from stratum.plans import registry
+    from stratum.session import checkpoint_root
+    _small_tables(spark, tmp)
+    base = f"{checkpoint_root(spark)}/stratum".removeprefix("file:")
+    before = set(os.listdir(base))
+    got = [tuple(r) for r in registry.q_retail_dag(spark, tmp).collect()]
+    assert got == [("8", 4.0), ("7", 3.0)]
+    root, = [f"{base}/{d}" for d in set(os.listdir(base)) - before if d.startswith("retail_dag-")]
+    assert not os.path.exists(f"{root}/retail_csv")                                       # raw holds its rows
+    count = lambda name: spark.read.parquet(f"{root}/tables/{name}").count()
+    assert [count(n) for n in ("raw_retail", "cleaned_retail", "quality_retail", "quarantined_retail",
+                               "quality_retail_split_by_country")] == [5, 5, 3, 2, 3]
+    target = f"{root}/tables/retail_sales_all_countries"
+    assert os.listdir(f"{target}/base") == ["version=0"]
+    assert not [d for d in os.listdir(f"{target}/changes") if d.startswith("_generation=")]
+    stored = [f for n in ("raw_retail", "quality_retail", "retail_sales_all_countries") for _, _, fs in os.walk(f"{root}/tables/{n}")
+              for f in fs if f.endswith(".parquet")]
+    assert stored and all(".zstd." in f for f in stored)
