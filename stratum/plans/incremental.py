@@ -6,6 +6,8 @@ tables in several deliveries and runs the streams once per delivery.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from stratum.plans import fixtures as fx
 from stratum.plans import iot, retail, voltage
 from stratum.plans import oracle as osql
 from stratum.plans.registry import _iot_csv, _lookup, _round, _stream_in, register
-from stratum.session import scratch_dir
+from stratum.session import freed_shuffles, scratch_dir
+from stratum.sources.catalog import delete_folder
 
 # ------------------------------------------------------------------------------------ retail
 #: Arrival years of the deliveries, newest first: older rows arrive late.
@@ -25,19 +28,23 @@ _RUNS: dict[tuple, object] = {}
 
 def _incremental_retail(spark: SparkSession, sf_dir: str):
     """The retail graph run once per delivery; the second delivery holds the first one again. The tables are
-    kept for the session, as several queries show their nodes."""
+    kept for the session, as several queries show their nodes; what is landed for them goes once it is read."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         root = scratch_dir(spark, "retail_incremental")
-        fx.retail_src(spark, sf_dir).write.parquet(f"{root}/feed")
-        feed = spark.read.parquet(f"{root}/feed")
+        number = F.coalesce(*[F.when(F.col("arrival").between(low, high), i) for i, (low, high) in enumerate(RETAIL_DELIVERIES)])
+        feed = fx.retail_src(spark, sf_dir).withColumn("delivery", number).drop("arrival")
+        with freed_shuffles(spark):
+            feed.write.option("compression", retail.CODEC).partitionBy("delivery").parquet(f"{root}/feed")
         prefix = "retail_inc_" + root.rsplit("-", 1)[-1]
-        for i, (low, high) in enumerate(RETAIL_DELIVERIES):
-            part = feed.filter(F.col("arrival").between(low, high))
-            if i == 1:
-                part = part.unionByName(feed.filter(F.col("arrival").between(*RETAIL_DELIVERIES[0])))
-            part.select(*fx.RETAIL_CSV_COLUMNS).write.option("header", True).csv(f"{root}/csv/delivery={i}")
-            tables = retail.run_retail(spark, f"{root}/csv", root, prefix)
+        for i in range(len(RETAIL_DELIVERIES)):
+            parts = [0, 1] if i == 1 else [i]
+            rows = spark.read.schema(feed.schema).parquet(f"{root}/feed").filter(F.col("delivery").isin(parts))
+            fx.write_retail_csv(rows.select(*fx.RETAIL_CSV_COLUMNS), f"{root}/csv/delivery={i}")
+            for p in parts if i else []:        # not delivered again
+                delete_folder(spark, f"{root}/feed/delivery={p}")
+            tables = retail.run_retail(spark, f"{root}/csv", root, prefix, keep_hours=0,
+                                       landed=partial(delete_folder, spark, f"{root}/csv/delivery={i}"))
         _RUNS[key] = tables
     return _RUNS[key]
 

@@ -340,3 +340,20 @@ def test_retail_runs_keep_only_what_is_current(spark, tmp):
         assert target.generations() == [] and target.pending() == []
         assert set(target.base.versions()) == set(target.base.layout().values()) | {max(target.base.versions())}
     assert _rows(t.read(spark, "distinct_countries_retail")) == [("DE",), ("ES",), ("FR",), ("UK",)]
+
+
+def test_retail_deliveries_leave_no_landed_copies(spark, tmp):
+    import os
+
+    from stratum.plans import incremental
+    from stratum.session import checkpoint_root
+    from tests.test_retail import _small_tables
+    _small_tables(spark, tmp)
+    base = f"{checkpoint_root(spark)}/stratum".removeprefix("file:")
+    before = set(os.listdir(base))
+    assert _rows(incremental.q_retail_kept_by_country(spark, tmp)) == [("DE", 4.0), ("FR", 3.0)]
+    root, = [f"{base}/{d}" for d in set(os.listdir(base)) - before if d.startswith("retail_incremental-")]
+    # lines without a date are in no delivery
+    assert not [d for n in ("feed", "csv") for d in os.listdir(f"{root}/{n}") if d in ("delivery=0", "delivery=1", "delivery=2")]
+    assert spark.read.parquet(f"{root}/tables/raw_retail").count() == 6      # the second delivery brings 1998 again
+    assert incremental.q_retail_changes_target(spark, tmp).count() == 2
